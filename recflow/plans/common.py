@@ -44,7 +44,9 @@ def finish(df: DataFrame, places: int = 6) -> DataFrame:
         elif isinstance(t, T.ArrayType):
             et = t.elementType
             if isinstance(et, (T.DoubleType, T.FloatType)):
-                c = F.transform(c, lambda x: F.round(x.cast("double"), places))
+                # fixed-point text: never scientific notation, same in any engine
+                c = F.transform(c, lambda x: F.round(x.cast("double"), places)
+                                .cast(f"decimal(38,{places})"))
             c = F.array_join(c, ",")
         elif isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")

@@ -49,12 +49,12 @@ def traj_ctes(src: str, name: str = "traj", k: int = 10, keys: str = "") -> str:
 {name} AS (
   SELECT {ka}a.user_id, a.rn, a.total_ratings, a.ts,
     string_agg(CAST(b.item_id AS VARCHAR), ',' ORDER BY b.rn) FILTER (WHERE b.rn < a.rn) AS state_item_ids,
-    string_agg(CAST(b.rating AS VARCHAR), ',' ORDER BY b.rn) FILTER (WHERE b.rn < a.rn) AS state_ratings,
+    string_agg(CAST(CAST(round(b.rating, 6) AS DECIMAL(38,6)) AS VARCHAR), ',' ORDER BY b.rn) FILTER (WHERE b.rn < a.rn) AS state_ratings,
     a.item_id AS action_item_id, a.rating AS reward,
     string_agg(CAST(b.item_id AS VARCHAR), ',' ORDER BY b.rn) FILTER (WHERE b.rn > a.rn - {k}) AS next_state_item_ids,
-    string_agg(CAST(b.rating AS VARCHAR), ',' ORDER BY b.rn) FILTER (WHERE b.rn > a.rn - {k}) AS next_state_ratings,
-    string_agg(CAST(round((b.rating - 0.5) / 4.5, 6) AS VARCHAR), ',' ORDER BY b.rn) FILTER (WHERE b.rn < a.rn) AS state_ratings_normalized,
-    string_agg(CAST(round((b.rating - 0.5) / 4.5, 6) AS VARCHAR), ',' ORDER BY b.rn) FILTER (WHERE b.rn > a.rn - {k}) AS next_state_ratings_normalized
+    string_agg(CAST(CAST(round(b.rating, 6) AS DECIMAL(38,6)) AS VARCHAR), ',' ORDER BY b.rn) FILTER (WHERE b.rn > a.rn - {k}) AS next_state_ratings,
+    string_agg(CAST(CAST(round((b.rating - 0.5) / 4.5, 6) AS DECIMAL(38,6)) AS VARCHAR), ',' ORDER BY b.rn) FILTER (WHERE b.rn < a.rn) AS state_ratings_normalized,
+    string_agg(CAST(CAST(round((b.rating - 0.5) / 4.5, 6) AS DECIMAL(38,6)) AS VARCHAR), ',' ORDER BY b.rn) FILTER (WHERE b.rn > a.rn - {k}) AS next_state_ratings_normalized
   FROM {name}_seq a JOIN {name}_seq b
     ON {kj}a.user_id = b.user_id AND b.rn BETWEEN a.rn - {k} AND a.rn
   WHERE a.rn > {k}
@@ -153,3 +153,130 @@ ORACLE["traj_sample"] = sql(traj_ctes("train"), select=f"""
 SELECT user_id, rn, total_ratings, ts, state_item_ids, state_ratings, action_item_id,
        round(reward, 6) AS reward, next_state_item_ids, next_state_ratings
 FROM traj ORDER BY md5(concat_ws(':', user_id, rn, 42)), user_id, rn LIMIT 1000""")
+
+# ---------------------------------------------------------------- features
+from recflow.functions.columns import genre_column  # noqa: E402
+from recflow.sources.tables import DATA_GENRES  # noqa: E402
+
+
+def _flag(g: str) -> str:
+    return f"CAST(list_contains(string_split(genres, '|'), '{g}') AS BIGINT)"
+
+
+FLAGS = ",\n       ".join(f"{_flag(g)} AS {genre_column(g)}" for g in DATA_GENRES)
+FLAG_COLS = ", ".join(genre_column(g) for g in DATA_GENRES)
+
+FEAT = f"""
+flags AS (SELECT item_id, {FLAGS} FROM items),
+yr AS (SELECT item_id, title,
+              TRY_CAST(regexp_extract(title, '\\((\\d{{4}})\\)', 1) AS INTEGER) AS y FROM items),
+years AS (SELECT item_id, title,
+                 CAST(coalesce(nullif(y, 0), (SELECT quantile_disc(y, 0.5) FROM yr WHERE y > 0)) AS BIGINT)
+                   AS release_year FROM yr),
+istats AS (SELECT item_id, avg(rating) AS avg_rating, coalesce(stddev_samp(rating), 0) AS rating_std,
+                  count(*) AS rating_count FROM ratings GROUP BY item_id),
+ipop AS (SELECT *, percent_rank() OVER (ORDER BY rating_count) AS popularity_percentile FROM istats),
+ifeat AS (SELECT i.item_id, i.title, i.genres, {", ".join("f." + genre_column(g) for g in DATA_GENRES)},
+                 y.release_year, p.avg_rating, p.rating_std, p.rating_count, p.popularity_percentile
+          FROM items i JOIN flags f USING (item_id) JOIN years y USING (item_id)
+          JOIN ipop p USING (item_id)),
+ustats AS (SELECT user_id, avg(rating) AS avg_rating, coalesce(stddev_samp(rating), 0) AS rating_std,
+                  count(*) AS rating_count, min(ts) AS first_ts, max(ts) AS last_ts,
+                  (max(ts) - min(ts)) / 86400.0 AS active_days FROM ratings GROUP BY user_id),
+upref AS (SELECT r.user_id, {", ".join(
+    f"coalesce(avg(CASE WHEN f.{genre_column(g)} = 1 THEN r.rating END), 0) AS {genre_column(g).replace('genre_', 'pref_', 1)}"
+    for g in DATA_GENRES)}
+          FROM ratings r JOIN flags f USING (item_id) GROUP BY r.user_id),
+idx AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS idx FROM ifeat)"""
+
+R6 = lambda c: f"round({c}, 6) AS {c}"
+PREF_COLS = [genre_column(g).replace("genre_", "pref_", 1) for g in DATA_GENRES]
+
+ORACLE["item_genre_flags"] = sql(FEAT, select=f"SELECT * FROM flags")
+ORACLE["item_release_year"] = sql(FEAT, select="SELECT item_id, title, release_year FROM years")
+ORACLE["item_stats"] = sql(FEAT, select=f"""
+SELECT item_id, {R6('avg_rating')}, {R6('rating_std')}, rating_count FROM istats""")
+ORACLE["item_popularity"] = sql(FEAT, select=f"""
+SELECT item_id, {R6('avg_rating')}, {R6('rating_std')}, rating_count, {R6('popularity_percentile')}
+FROM ipop""")
+ORACLE["item_features"] = sql(FEAT, select=f"""
+SELECT item_id, title, genres, {FLAG_COLS}, release_year, {R6('avg_rating')}, {R6('rating_std')},
+       rating_count, {R6('popularity_percentile')} FROM ifeat""")
+ORACLE["user_stats"] = sql(FEAT, select=f"""
+SELECT user_id, {R6('avg_rating')}, {R6('rating_std')}, rating_count, first_ts, last_ts,
+       {R6('active_days')} FROM ustats""")
+ORACLE["user_genre_pref"] = sql(FEAT, select=f"""
+SELECT user_id, {", ".join(R6(c) for c in PREF_COLS)} FROM upref""")
+ORACLE["user_features"] = sql(FEAT, select=f"""
+SELECT s.user_id, {R6('avg_rating')}, {R6('rating_std')}, rating_count, first_ts, last_ts,
+       {R6('active_days')}, {", ".join(R6(c) for c in PREF_COLS)}
+FROM ustats s JOIN upref USING (user_id)""")
+ORACLE["item_dense_index"] = sql(FEAT, select="SELECT item_id, idx FROM idx")
+
+
+def _dec(x: str) -> str:
+    return f"CAST(CAST(round({x}, 6) AS DECIMAL(38,6)) AS VARCHAR)"
+
+
+ORACLE["traj_indexed"] = sql(FEAT, """
+ti_seq AS (
+  SELECT t.*, coalesce(i.idx, -1) AS idx,
+         row_number() OVER (PARTITION BY t.user_id ORDER BY t.ts, t.item_id, t.rating) AS rn
+  FROM train t LEFT JOIN idx i USING (item_id))""", select="""
+SELECT a.user_id, a.rn,
+  string_agg(CAST(b.idx AS VARCHAR), ',' ORDER BY b.rn) FILTER (WHERE b.rn < a.rn) AS state_idx,
+  a.idx AS action_idx,
+  string_agg(CAST(b.idx AS VARCHAR), ',' ORDER BY b.rn) FILTER (WHERE b.rn > a.rn - 10) AS next_state_idx
+FROM ti_seq a JOIN ti_seq b ON a.user_id = b.user_id AND b.rn BETWEEN a.rn - 10 AND a.rn
+WHERE a.rn > 10
+GROUP BY a.user_id, a.rn, a.idx""")
+
+_VEC_PARTS = ([f"CAST({_flag(g)} AS DOUBLE)" for g in DATA_GENRES]
+              + [f"CAST(least(greatest(coalesce(y.release_year, 1990), 1900), 2030) // 10 - 190 = {b} AS DOUBLE)"
+                 for b in range(14)]
+              + ["coalesce(p.avg_rating, 3.5)", "coalesce(p.rating_std, 0.5)",
+                 "coalesce(p.popularity_percentile, 0.5)"])
+ORACLE["item_content_vector"] = sql(FEAT, select=f"""
+SELECT i.item_id, concat_ws(',', {", ".join(_dec(x) for x in _VEC_PARTS)}) AS vector
+FROM items i LEFT JOIN years y USING (item_id) LEFT JOIN ipop p USING (item_id)""")
+
+# ---------------------------------------------------------------- time windows
+TIME = """
+tb AS (SELECT min(ts) AS t_min, max(ts) AS t_max, (max(ts) - min(ts)) / 4.0 AS w FROM ratings),
+aw AS (SELECT r.*, CAST(CASE WHEN tb.w > 0 THEN least(3, floor((r.ts - tb.t_min) / tb.w)) ELSE 0 END AS BIGINT)
+                     AS window_id
+       FROM ratings r, tb),
+rounds AS (SELECT CAST(r AS BIGINT) AS round, CAST(w AS BIGINT) AS window_id,
+                  CASE WHEN w = r THEN 'test' ELSE 'train' END AS part
+           FROM range(1, 4) t1(r), range(0, 4) t2(w) WHERE w <= r),
+rdata AS (SELECT round, part, user_id, item_id, rating, ts FROM aw JOIN rounds USING (window_id)),
+relig AS (SELECT round, count(*) AS train_rows, count(DISTINCT user_id) AS train_users,
+                 CAST(count(*) >= 11 * count(DISTINCT user_id) AS BIGINT) AS eligible
+          FROM rdata WHERE part = 'train' GROUP BY round),
+rtrain AS (SELECT round, user_id, item_id, rating, ts FROM rdata
+           WHERE part = 'train' AND round IN (SELECT round FROM relig WHERE eligible = 1))"""
+
+ORACLE["time_window_stats"] = sql(TIME, select="""
+SELECT CAST(ids.window_id AS BIGINT) AS window_id,
+       round(tb.t_min + tb.w * ids.window_id, 6) AS t_start,
+       round(tb.t_min + tb.w * (ids.window_id + 1.0), 6) AS t_end,
+       coalesce(s.n_ratings, 0) AS n_ratings, coalesce(s.n_users, 0) AS n_users
+FROM range(0, 4) ids(window_id) CROSS JOIN tb
+LEFT JOIN (SELECT window_id, count(*) AS n_ratings, count(DISTINCT user_id) AS n_users
+           FROM aw GROUP BY window_id) s ON s.window_id = ids.window_id""")
+ORACLE["backtest_rounds"] = sql(TIME, select="""
+SELECT round, part, user_id, item_id, round(rating, 6) AS rating, ts FROM rdata""")
+ORACLE["backtest_eligible"] = sql(TIME, select="SELECT * FROM relig")
+ORACLE["backtest_trajectories"] = sql(TIME, traj_ctes("rtrain", keys="round"), select="""
+SELECT round, user_id, rn, total_ratings, ts, state_item_ids, state_ratings, action_item_id,
+       round(reward, 6) AS reward, next_state_item_ids, next_state_ratings
+FROM traj""")
+
+# ---------------------------------------------------------------- sources
+ORACLE["user_sample"] = sql("""
+su AS (SELECT user_id FROM (SELECT DISTINCT user_id FROM ratings)
+       ORDER BY md5(concat_ws(':', user_id, 42)), user_id LIMIT 1000)""", select="""
+SELECT user_id, item_id, round(rating, 6) AS rating, ts FROM ratings
+WHERE user_id IN (SELECT user_id FROM su)""")
+ORACLE["src_csv_roundtrip"] = sql(select="""
+SELECT user_id, item_id, round(rating, 6) AS rating, ts FROM interactions""")

@@ -121,3 +121,130 @@ def q_traj_capped(spark, sf_dir):
 def q_traj_sample(spark, sf_dir):
     """Exactly 1,000 transitions in md5(user_id:rn:seed) order."""
     return traj.sample_trajectories(_traj(spark, sf_dir), P.sample_size, P.seed)
+
+
+# ---------------------------------------------------------------- features
+from recflow.operators import features, recommend  # noqa: E402
+from recflow.sources import csv_io  # noqa: E402
+from recflow.session import scratch_path  # noqa: E402
+
+G = P.genres
+
+
+@query("item_genre_flags")
+def q_item_genre_flags(spark, sf_dir):
+    """One 0/1 column per genre."""
+    return features.genre_flags(tables.items(spark, sf_dir), G)
+
+
+@query("item_release_year")
+def q_item_release_year(spark, sf_dir):
+    """Year from the title, missing -> median year."""
+    return features.release_years(tables.items(spark, sf_dir))
+
+
+@query("item_stats")
+def q_item_stats(spark, sf_dir):
+    """Item mean, std (0 when undefined), count."""
+    return features.item_stats(C.ratings(spark, sf_dir))
+
+
+@query("item_popularity")
+def q_item_popularity(spark, sf_dir):
+    """Percent rank of the item's rating count."""
+    return features.item_popularity(features.item_stats(C.ratings(spark, sf_dir)))
+
+
+@query("item_features")
+def q_item_features(spark, sf_dir):
+    """Items joined with flags, year, stats and popularity."""
+    return features.item_features(tables.items(spark, sf_dir), C.ratings(spark, sf_dir), G)
+
+
+@query("user_stats")
+def q_user_stats(spark, sf_dir):
+    """User mean, std, count, first and last ts, active days."""
+    return features.user_stats(C.ratings(spark, sf_dir))
+
+
+@query("user_genre_pref")
+def q_user_genre_pref(spark, sf_dir):
+    """User mean rating per genre, 0 when none."""
+    return features.user_genre_pref(C.ratings(spark, sf_dir), tables.items(spark, sf_dir), G)
+
+
+@query("user_features")
+def q_user_features(spark, sf_dir):
+    """User statistics joined with genre preferences."""
+    return features.user_features(C.ratings(spark, sf_dir), tables.items(spark, sf_dir), G)
+
+
+@query("item_dense_index")
+def q_item_dense_index(spark, sf_dir):
+    """0-based dense index of the featured items in item_id order."""
+    feats = features.item_features(tables.items(spark, sf_dir), C.ratings(spark, sf_dir), G)
+    return recommend.dense_index(feats)
+
+
+@query("traj_indexed")
+def q_traj_indexed(spark, sf_dir):
+    """Trajectories with item ids replaced by dense indexes (-1 unknown)."""
+    feats = features.item_features(tables.items(spark, sf_dir), C.ratings(spark, sf_dir), G)
+    return traj.index_trajectories(_traj(spark, sf_dir), recommend.dense_index(feats))
+
+
+@query("item_content_vector")
+def q_item_content_vector(spark, sf_dir):
+    """Genre flags, decade one-hot and three statistics."""
+    it = tables.items(spark, sf_dir)
+    stats = features.item_popularity(features.item_stats(C.ratings(spark, sf_dir)))
+    return recommend.content_vectors(it, features.release_years(it), stats, G)
+
+
+# ---------------------------------------------------------------- time windows
+@query("time_window_stats")
+def q_time_window_stats(spark, sf_dir):
+    """Four equal global time windows, last one closed."""
+    return splits.window_stats(C.ratings(spark, sf_dir), P.n_windows)
+
+
+def _rounds(spark, sf_dir):
+    return splits.backtest_rounds(C.ratings(spark, sf_dir), P.n_windows)
+
+
+@query("backtest_rounds")
+def q_backtest_rounds(spark, sf_dir):
+    """Expanding train windows and the next test window."""
+    return _rounds(spark, sf_dir)
+
+
+@query("backtest_eligible")
+def q_backtest_eligible(spark, sf_dir):
+    """Rounds whose train rows >= (K+1) x train users."""
+    return splits.round_eligibility(_rounds(spark, sf_dir), P.state_size)
+
+
+@query("backtest_trajectories")
+def q_backtest_trajectories(spark, sf_dir):
+    """Trajectories of every eligible round in one job."""
+    rounds = _rounds(spark, sf_dir)
+    ok = splits.round_eligibility(rounds, P.state_size).filter(F.col("eligible") == 1)
+    tr = (rounds.filter(F.col("part") == "train").drop("part")
+          .join(F.broadcast(ok.select("round")), "round", "left_semi"))
+    return traj.build_trajectories(tr, P.state_size, keys=("round",))
+
+
+# ---------------------------------------------------------------- sources
+@query("user_sample")
+def q_user_sample(spark, sf_dir):
+    """All rows of 1,000 users drawn in md5(user_id:seed) order."""
+    return splits.user_sample(C.ratings(spark, sf_dir), P.eval_user_sample, P.seed)
+
+
+@query("src_csv_roundtrip")
+def q_src_csv_roundtrip(spark, sf_dir):
+    """Interactions written as CSV to the shared checkpoint
+    folder and read back with the explicit schema."""
+    path = scratch_path(spark, "csv-roundtrip")
+    csv_io.write_csv(tables.interactions(spark, sf_dir), path)
+    return csv_io.read_ratings_csv(spark, path)
