@@ -280,3 +280,70 @@ SELECT user_id, item_id, round(rating, 6) AS rating, ts FROM ratings
 WHERE user_id IN (SELECT user_id FROM su)""")
 ORACLE["src_csv_roundtrip"] = sql(select="""
 SELECT user_id, item_id, round(rating, 6) AS rating, ts FROM interactions""")
+
+# ---------------------------------------------------------------- item-item CF
+def cf_ctes(src: str = "ratings", min_co: int = 3, keys: str = "") -> str:
+    kk = f"{keys}, " if keys else ""
+    kj = "".join(f"a.{c} = b.{c} AND " for c in keys.split(",") if c) if keys else ""
+    ka = "".join(f"a.{c}, " for c in keys.split(",") if c) if keys else ""
+    kp = "".join(f"p.{c} = na.{c} AND p.{c} = nb.{c} AND " for c in keys.split(",") if c) if keys else ""
+    kpp = "".join(f"p.{c}, " for c in keys.split(",") if c) if keys else ""
+    return f"""
+ui AS (SELECT {kk}user_id, item_id, avg(rating) AS rating FROM {src} GROUP BY {kk}user_id, item_id),
+um AS (SELECT {kk}user_id, avg(rating) AS user_mean FROM ui GROUP BY {kk}user_id),
+cen AS (SELECT ui.*, um.user_mean, ui.rating - um.user_mean AS centered FROM ui JOIN um USING ({kk}user_id)),
+nrm AS (SELECT {kk}item_id, CASE WHEN sqrt(sum(centered * centered)) = 0 THEN 1e-10
+                              ELSE sqrt(sum(centered * centered)) END AS norm
+        FROM cen GROUP BY {kk}item_id),
+pairs AS (SELECT {ka}a.item_id AS item_a, b.item_id AS item_b, sum(a.centered * b.centered) AS dot,
+                 count(*) AS co
+          FROM cen a JOIN cen b ON {kj}a.user_id = b.user_id AND a.item_id < b.item_id
+          GROUP BY {ka}a.item_id, b.item_id),
+sims AS (SELECT {kpp}p.item_a, p.item_b, p.dot / (na.norm * nb.norm) AS sim, p.co AS co_raters
+         FROM pairs p JOIN nrm na ON {kp}na.item_id = p.item_a JOIN nrm nb ON nb.item_id = p.item_b
+         WHERE p.co >= {min_co}),
+liked AS (SELECT {kk}user_id, item_id, rating FROM cen WHERE rating >= user_mean),
+nb AS (SELECT {kk}item_a AS item_id, item_b AS neighbor, sim FROM sims
+       UNION ALL SELECT {kk}item_b, item_a, sim FROM sims),
+cand AS (SELECT {"".join(f"l.{c}, " for c in keys.split(",") if c) if keys else ""}l.user_id, nb.neighbor AS item_id,
+                sum(nb.sim * l.rating) AS ws, sum(nb.sim) AS evidence
+         FROM liked l JOIN nb USING ({kk}item_id)
+         GROUP BY {"".join(f"l.{c}, " for c in keys.split(",") if c) if keys else ""}l.user_id, nb.neighbor),
+scored AS (SELECT c.*, c.ws / c.evidence AS score FROM cand c
+           WHERE round(c.evidence, 9) > 0 AND NOT EXISTS (
+             SELECT 1 FROM ui WHERE {"".join(f"ui.{x} = c.{x} AND " for x in keys.split(",") if x) if keys else ""}ui.user_id = c.user_id AND ui.item_id = c.item_id)),
+recs AS (SELECT {kk}user_id, item_id, score, evidence,
+                row_number() OVER (PARTITION BY {kk}user_id ORDER BY round(score, 9) DESC, item_id) AS rank
+         FROM scored)"""
+
+
+REC_SELECT = """
+SELECT user_id, item_id, round(score, 6) AS score, round(evidence, 6) AS evidence, rank
+FROM recs WHERE rank <= 20"""
+
+ORACLE["cf_centered"] = sql(cf_ctes(), select="""
+SELECT c.user_id, c.item_id, round(c.rating, 6) AS rating, round(c.user_mean, 6) AS user_mean,
+       round(c.centered, 6) AS centered, round(n.norm, 6) AS item_norm
+FROM cen c JOIN nrm n USING (item_id)""")
+ORACLE["cf_similarity"] = sql(cf_ctes(), select="""
+SELECT item_a, item_b, round(sim, 6) AS sim, co_raters FROM sims""")
+ORACLE["cf_pair_counts"] = sql(cf_ctes(), select="""
+SELECT count(*) AS n_pairs, count(*) FILTER (WHERE co >= 3) AS n_pairs_min_co FROM pairs""")
+ORACLE["cf_top_pairs"] = sql(cf_ctes(), """
+tp AS (SELECT * FROM sims ORDER BY round(sim, 9) DESC, item_a, item_b LIMIT 15)""", select="""
+SELECT tp.item_a, tp.item_b, round(tp.sim, 6) AS sim, tp.co_raters, a.title AS title_a, b.title AS title_b
+FROM tp LEFT JOIN items a ON a.item_id = tp.item_a LEFT JOIN items b ON b.item_id = tp.item_b""")
+ORACLE["cf_recommend"] = sql(cf_ctes(), select=REC_SELECT)
+ORACLE["cf_recommend_unfiltered"] = sql(cf_ctes(min_co=1), select=REC_SELECT)
+ORACLE["cf_explain"] = sql(cf_ctes(), """
+first AS (SELECT user_id, item_id AS rec_item FROM recs WHERE rank = 1)""", """
+contrib AS (
+  SELECT f.user_id, f.rec_item, l.item_id AS liked_item_id, l.rating, nb.sim, nb.sim * l.rating AS contribution
+  FROM first f JOIN liked l USING (user_id)
+  JOIN nb ON nb.item_id = l.item_id AND nb.neighbor = f.rec_item
+  WHERE nb.sim > 0)""", select="""
+SELECT user_id, item_id, liked_item_id, round(rating, 6) AS rating, round(sim, 6) AS sim,
+       round(contribution, 6) AS contribution, rank
+FROM (SELECT user_id, rec_item AS item_id, liked_item_id, rating, sim, contribution,
+             row_number() OVER (PARTITION BY user_id ORDER BY round(contribution, 9) DESC, liked_item_id) AS rank
+      FROM contrib) WHERE rank <= 5""")

@@ -248,3 +248,64 @@ def q_src_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "csv-roundtrip")
     csv_io.write_csv(tables.interactions(spark, sf_dir), path)
     return csv_io.read_ratings_csv(spark, path)
+
+
+# ---------------------------------------------------------------- item-item CF
+from recflow.operators import cf  # noqa: E402
+
+
+def _cen(spark, sf_dir):
+    return cf.centered(C.ratings(spark, sf_dir))
+
+
+def _sims(spark, sf_dir, min_co):
+    return cf.similarities(_cen(spark, sf_dir), min_co, P.pair_chunk_size)
+
+
+@query("cf_centered")
+def q_cf_centered(spark, sf_dir):
+    """Mean over duplicates, user mean, centred value, item norm."""
+    cen = _cen(spark, sf_dir)
+    return cen.join(cf.item_norms(cen), "item_id").select(
+        "user_id", "item_id", "rating", "user_mean", "centered", F.col("norm").alias("item_norm"))
+
+
+@query("cf_similarity")
+def q_cf_similarity(spark, sf_dir):
+    """Adjusted cosine for pairs with >= 3 common users."""
+    return _sims(spark, sf_dir, P.min_co_raters)
+
+
+@query("cf_pair_counts")
+def q_cf_pair_counts(spark, sf_dir):
+    """Pairs with a common user, and with >= 3."""
+    return cf.pair_counts(_cen(spark, sf_dir), P.min_co_raters, P.pair_chunk_size)
+
+
+@query("cf_top_pairs")
+def q_cf_top_pairs(spark, sf_dir):
+    """15 most similar pairs (>= 3 common users) with titles."""
+    return cf.top_pairs(_sims(spark, sf_dir, P.min_co_raters), tables.items(spark, sf_dir),
+                        P.top_pairs)
+
+
+@query("cf_recommend")
+def q_cf_recommend(spark, sf_dir):
+    """Top 20 for every user, co >= 3 pairs."""
+    cen = _cen(spark, sf_dir)
+    return cf.recommend(cen, cf.similarities(cen, P.min_co_raters, P.pair_chunk_size), P.top_n)
+
+
+@query("cf_recommend_unfiltered")
+def q_cf_recommend_unfiltered(spark, sf_dir):
+    """C4 with every pair (co >= 1): what the reference script recommends from."""
+    cen = _cen(spark, sf_dir)
+    return cf.recommend(cen, cf.similarities(cen, 1, P.pair_chunk_size), P.top_n)
+
+
+@query("cf_explain")
+def q_cf_explain(spark, sf_dir):
+    """Top-5 contributing liked items of each user's first recommendation."""
+    cen = _cen(spark, sf_dir)
+    sims = cf.similarities(cen, P.min_co_raters, P.pair_chunk_size)
+    return cf.explain(cf.recommend(cen, sims, P.top_n), cen, sims, P.top_contributors)
