@@ -286,7 +286,8 @@ def cf_ctes(src: str = "ratings", min_co: int = 3, keys: str = "") -> str:
     kk = f"{keys}, " if keys else ""
     kj = "".join(f"a.{c} = b.{c} AND " for c in keys.split(",") if c) if keys else ""
     ka = "".join(f"a.{c}, " for c in keys.split(",") if c) if keys else ""
-    kp = "".join(f"p.{c} = na.{c} AND p.{c} = nb.{c} AND " for c in keys.split(",") if c) if keys else ""
+    kp = "".join(f"p.{c} = na.{c} AND " for c in keys.split(",") if c) if keys else ""
+    kq = "".join(f"p.{c} = nb.{c} AND " for c in keys.split(",") if c) if keys else ""
     kpp = "".join(f"p.{c}, " for c in keys.split(",") if c) if keys else ""
     return f"""
 ui AS (SELECT {kk}user_id, item_id, avg(rating) AS rating FROM {src} GROUP BY {kk}user_id, item_id),
@@ -300,7 +301,7 @@ pairs AS (SELECT {ka}a.item_id AS item_a, b.item_id AS item_b, sum(a.centered *
           FROM cen a JOIN cen b ON {kj}a.user_id = b.user_id AND a.item_id < b.item_id
           GROUP BY {ka}a.item_id, b.item_id),
 sims AS (SELECT {kpp}p.item_a, p.item_b, p.dot / (na.norm * nb.norm) AS sim, p.co AS co_raters
-         FROM pairs p JOIN nrm na ON {kp}na.item_id = p.item_a JOIN nrm nb ON nb.item_id = p.item_b
+         FROM pairs p JOIN nrm na ON {kp}na.item_id = p.item_a JOIN nrm nb ON {kq}nb.item_id = p.item_b
          WHERE p.co >= {min_co}),
 liked AS (SELECT {kk}user_id, item_id, rating FROM cen WHERE rating >= user_mean),
 nb AS (SELECT {kk}item_a AS item_id, item_b AS neighbor, sim FROM sims
@@ -347,3 +348,148 @@ SELECT user_id, item_id, liked_item_id, round(rating, 6) AS rating, round(sim, 6
 FROM (SELECT user_id, rec_item AS item_id, liked_item_id, rating, sim, contribution,
              row_number() OVER (PARTITION BY user_id ORDER BY round(contribution, 9) DESC, liked_item_id) AS rank
       FROM contrib) WHERE rank <= 5""")
+
+# ---------------------------------------------------------------- recommenders and ranking
+def list_recs(train: str, users: str, order: str, name: str, keys: str = "") -> str:
+    """Brute-force top-20 over users x items, seen items removed."""
+    K = [c.strip() for c in keys.split(",") if c.strip()]
+    kk = "".join(f"{c}, " for c in K)
+    ku = "".join(f"u.{c}, " for c in K)
+    kj = "".join(f"p.{c} = u.{c} AND " for c in K)
+    ks = "".join(f"s.{c} = u.{c} AND " for c in K)
+    return f"""
+{name}_items AS (SELECT {kk}item_id, count(*) AS n FROM {train} GROUP BY {kk}item_id),
+{name}_rank AS (SELECT {kk}item_id, n, row_number() OVER (PARTITION BY {kk or "NULL, "[:-2] if not K else kk[:-2]} ORDER BY {order}) AS list_rank
+                FROM {name}_items),
+{name} AS (
+  SELECT {kk}user_id, item_id, rank FROM (
+    SELECT {ku}u.user_id, p.item_id,
+           row_number() OVER (PARTITION BY {ku}u.user_id ORDER BY p.list_rank) AS rank
+    FROM {users} u JOIN {name}_rank p ON {kj}TRUE
+    WHERE NOT EXISTS (SELECT 1 FROM {train} s WHERE {ks}s.user_id = u.user_id AND s.item_id = p.item_id))
+  WHERE rank <= 20)"""
+
+
+def eval_ctes(recs: str, held: str, mode: str, keys: str = "", p: str = "e",
+              ks=(5, 10, 20)) -> str:
+    K = [c.strip() for c in keys.split(",") if c.strip()]
+    kk = "".join(f"{c}, " for c in K)
+    miss = "0.0" if mode == "user" else "((0.0 - 0.5) / 4.5)"
+    sums = ",\n         ".join(
+        [f"sum(CASE WHEN rank <= {k} THEN (pow(2, g) - 1) / log2(rank + 1) ELSE 0 END) AS dcg_{k}"
+         for k in ks]
+        + [f"count(*) FILTER (WHERE rank <= {k} AND g >= 0.6) AS hits_{k}" for k in ks]
+        + ["min(CASE WHEN g >= 0.6 THEN rank END) AS first_rel"])
+    parts = [f"""
+{p}_rel AS (SELECT {kk}user_id, item_id, (max(rating) - 0.5) / 4.5 AS rel FROM {held}
+            GROUP BY {kk}user_id, item_id)""", f"""
+{p}_users AS (SELECT DISTINCT {kk}user_id FROM {p}_rel)""", f"""
+{p}_hits AS (SELECT r.{kk.replace(', ', ', r.') if K else ''}user_id, r.item_id, r.rank, coalesce(t.rel, {miss}) AS g
+             FROM {recs} r LEFT JOIN {p}_rel t USING ({kk}user_id, item_id))""".replace("r.user_id", "r.user_id") if False else f"""
+{p}_hits AS (SELECT r.*, coalesce(t.rel, {miss}) AS g
+             FROM {recs} r LEFT JOIN {p}_rel t USING ({kk}user_id, item_id))""", f"""
+{p}_pu AS (SELECT {kk}user_id, {sums} FROM {p}_hits GROUP BY {kk}user_id)"""]
+    if mode == "user":
+        idcg = ", ".join(f"sum(CASE WHEN pos <= {k} THEN (pow(2, rel) - 1) / log2(pos + 1) ELSE 0 END) AS idcg_{k}"
+                         for k in ks)
+        parts.append(f"""
+{p}_ideal AS (SELECT {kk}user_id, {idcg}, count(*) FILTER (WHERE rel >= 0.6) AS n_rel
+              FROM (SELECT *, row_number() OVER (PARTITION BY {kk}user_id ORDER BY rel DESC, item_id) AS pos
+                    FROM {p}_rel) GROUP BY {kk}user_id)""")
+    else:
+        vals = ", ".join(f"({k})" for k in ks)
+        idcg = ", ".join(f"sum(CASE WHEN kv = {k} THEN (pow(2, g) - 1) / log2(pos + 1) ELSE 0 END) AS idcg_{k}"
+                         for k in ks)
+        parts.append(f"""
+{p}_ideal AS (SELECT {kk}user_id, {idcg}, 0 AS n_rel FROM (
+                SELECT h.*, kv.kv, row_number() OVER (PARTITION BY {''.join(f'h.{c}, ' for c in K)}h.user_id, kv.kv
+                                                      ORDER BY h.g DESC, h.rank) AS pos
+                FROM {p}_hits h JOIN (VALUES {vals}) kv(kv) ON h.rank <= kv.kv)
+              GROUP BY {kk}user_id)""")
+    mcols = []
+    for k in ks:
+        mcols.append(f"CASE WHEN coalesce(idcg_{k}, 0) > 0 THEN coalesce(dcg_{k}, 0) / idcg_{k} ELSE 0 END AS ndcg_{k}")
+        if mode == "user":
+            mcols.append(f"CASE WHEN coalesce(n_rel, 0) > 0 THEN coalesce(hits_{k}, 0) / n_rel ELSE 0 END AS recall_{k}")
+        else:
+            mcols.append(f"CASE WHEN coalesce(hits_{k}, 0) > 0 THEN 1.0 ELSE 0.0 END AS recall_{k}")
+        mcols.append(f"coalesce(hits_{k}, 0) / {float(k)} AS precision_{k}")
+    mcols.append("coalesce(1.0 / first_rel, 0) AS mrr")
+    parts.append(f"""
+{p}_m AS (SELECT {kk}user_id, {", ".join(mcols)}
+          FROM {p}_users LEFT JOIN {p}_pu USING ({kk}user_id) LEFT JOIN {p}_ideal USING ({kk}user_id))""")
+    unions = []
+    for k in ks:
+        for m in ("ndcg", "recall", "precision"):
+            unions.append(f"SELECT {kk}'{m}' AS metric, CAST({k} AS BIGINT) AS k, {m}_{k} AS v FROM {p}_m")
+    unions.append(f"SELECT {kk}'mrr', CAST({max(ks)} AS BIGINT), mrr FROM {p}_m")
+    parts.append(f"""
+{p}_long AS ({" UNION ALL ".join(unions)})""")
+    parts.append(f"""
+{p}_sum AS (SELECT {kk}metric, k, avg(v) AS mean, stddev_pop(v) AS std, count(*) AS n_users
+            FROM {p}_long GROUP BY {kk}metric, k)""")
+    return ",".join(parts)
+
+
+def pivot_select(src: str, keys: str, ks=(5, 10, 20), places: int | None = 6) -> str:
+    r = (lambda x: f"round({x}, {places})") if places else (lambda x: x)
+    cols = []
+    for m in ("ndcg", "recall", "precision"):
+        for k in ks:
+            cols.append(f"{r(f'max(CASE WHEN metric = {chr(39)}{m}{chr(39)} AND k = {k} THEN mean END)')} AS {m}_{k}")
+    cols.append(f"{r('max(CASE WHEN metric = {q}mrr{q} THEN mean END)'.format(q=chr(39)))} AS mrr")
+    cols.append("max(n_users) AS n_users")
+    return f"SELECT {keys}, {', '.join(cols)} FROM {src} GROUP BY {keys}"
+
+
+USERS = "tusers AS (SELECT DISTINCT user_id FROM test)"
+POP = list_recs("train", "tusers", "n DESC, item_id", "prec")
+RND = list_recs("train", "tusers", "md5(concat_ws(':', item_id, 42)), item_id", "rrec")
+
+ORACLE["rec_popularity"] = sql(USERS, POP, select="SELECT user_id, item_id, rank FROM prec")
+ORACLE["rec_random"] = sql(USERS, RND, select="SELECT user_id, item_id, rank FROM rrec")
+ORACLE["candidates_top"] = sql(select="""
+SELECT item_id, rating_count, rank FROM (
+  SELECT item_id, count(*) AS rating_count,
+         row_number() OVER (ORDER BY count(*) DESC, item_id) AS rank
+  FROM train GROUP BY item_id) WHERE rank <= 2000""")
+
+EVAL_SELECT = """
+SELECT metric, k, round(mean, 6) AS mean, round(std, 6) AS std, n_users FROM e_sum"""
+ORACLE["eval_ranking"] = sql(USERS, POP, eval_ctes("prec", "test", "user"), select=EVAL_SELECT)
+ORACLE["eval_ranking_list"] = sql(USERS, POP, eval_ctes("prec", "test", "list"), select=EVAL_SELECT)
+
+_CF_TRAIN = cf_ctes("train").replace("\nliked AS", "\nliked AS")
+ORACLE["eval_compare"] = sql(
+    USERS, POP, RND, cf_ctes("train"),
+    eval_ctes("prec", "test", "user", p="ep"), eval_ctes("rrec", "test", "user", p="er"),
+    """cfrec AS (SELECT user_id, item_id, rank FROM recs WHERE rank <= 20)""",
+    eval_ctes("cfrec", "test", "user", p="ec"), """
+allsum AS (SELECT 'popularity' AS method, * FROM ep_sum UNION ALL SELECT 'random', * FROM er_sum
+           UNION ALL SELECT 'itemcf', * FROM ec_sum)""", select=pivot_select("allsum", "method"))
+
+RTIME = TIME + """,
+rtr AS (SELECT round, user_id, item_id, rating, ts FROM rdata WHERE part = 'train'),
+rte AS (SELECT round, user_id, item_id, rating, ts FROM rdata WHERE part = 'test'),
+rusers AS (SELECT DISTINCT round, user_id FROM rte)"""
+RPOP = list_recs("rtr", "rusers", "n DESC, item_id", "rprec", keys="round")
+ORACLE["backtest_curve"] = sql(RTIME, RPOP, eval_ctes("rprec", "rte", "user", keys="round", p="bp"),
+                               select=f"""
+SELECT c.*, r.train_rows FROM ({pivot_select("bp_sum", "round")}) c
+JOIN (SELECT round, count(*) AS train_rows FROM rtr GROUP BY round) r USING (round)""")
+
+ORACLE["backtest_compare"] = sql(
+    RTIME, RPOP, eval_ctes("rprec", "rte", "user", keys="round", p="bp"),
+    cf_ctes("rtr", keys="round"), """
+rcf AS (SELECT round, user_id, item_id, rank FROM recs WHERE rank <= 20)""",
+    eval_ctes("rcf", "rte", "user", keys="round", p="bc"), f"""
+cp AS ({pivot_select("bp_sum", "round", places=None)})""", f"""
+cc AS ({pivot_select("bc_sum", "round", places=None)})""", """
+j AS (SELECT cp.round, cp.ndcg_10 AS a, cc.ndcg_10 AS b FROM cp JOIN cc USING (round))""", """
+ends AS (SELECT arg_min(a, round) AS fa, arg_max(a, round) AS la,
+                arg_min(b, round) AS fb, arg_max(b, round) AS lb FROM j)""", select="""
+SELECT round, round(a, 6) AS ndcg_10_popularity, round(b, 6) AS ndcg_10_itemcf, round(b - a, 6) AS delta,
+       CASE WHEN b - a > 0.003 THEN 'itemcf wins' WHEN b - a < -0.003 THEN 'popularity wins' ELSE 'tie' END AS verdict,
+       round(CASE WHEN fa <> 0 THEN (la / fa - 1) * 100 END, 6) AS change_popularity_pct,
+       round(CASE WHEN fb <> 0 THEN (lb / fb - 1) * 100 END, 6) AS change_itemcf_pct
+FROM j, ends""")

@@ -309,3 +309,109 @@ def q_cf_explain(spark, sf_dir):
     cen = _cen(spark, sf_dir)
     sims = cf.similarities(cen, P.min_co_raters, P.pair_chunk_size)
     return cf.explain(cf.recommend(cen, sims, P.top_n), cen, sims, P.top_contributors)
+
+
+# ---------------------------------------------------------------- recommenders
+from recflow.operators import ranking  # noqa: E402
+
+
+def _test_users(test: DataFrame, keys=()) -> DataFrame:
+    return test.select(*keys, "user_id").distinct()
+
+
+def _pop_recs(spark, sf_dir):
+    tr, te = C.train(spark, sf_dir), C.test(spark, sf_dir)
+    return recommend.popularity_recommend(tr, _test_users(te), P.top_n)
+
+
+def _random_recs(spark, sf_dir):
+    tr, te = C.train(spark, sf_dir), C.test(spark, sf_dir)
+    return recommend.random_recommend(tr, _test_users(te), P.top_n, P.seed)
+
+
+def _cf_recs(train: DataFrame, keys=()):
+    cen = cf.centered(train, keys)
+    return cf.recommend(cen, cf.similarities(cen, P.min_co_raters, P.pair_chunk_size, keys),
+                        P.top_n, keys)
+
+
+@query("rec_popularity")
+def q_rec_popularity(spark, sf_dir):
+    """Top 20 train-popular items per test user, seen excluded."""
+    return _pop_recs(spark, sf_dir)
+
+
+@query("rec_random")
+def q_rec_random(spark, sf_dir):
+    """One seeded md5 shuffle of the items, seen excluded, top 20."""
+    return _random_recs(spark, sf_dir)
+
+
+@query("candidates_top")
+def q_candidates_top(spark, sf_dir):
+    """The 2,000 most rated train items."""
+    return recommend.top_candidates(C.train(spark, sf_dir), P.n_candidates)
+
+
+# ---------------------------------------------------------------- ranking evaluation
+@query("eval_ranking")
+def q_eval_ranking(spark, sf_dir):
+    """Popularity top-20 against the test part,
+    ideal from all held-out items."""
+    return ranking.evaluate(_pop_recs(spark, sf_dir), C.test(spark, sf_dir), P.k_values,
+                            P.relevance_threshold, "user")
+
+
+@query("eval_ranking_list")
+def q_eval_ranking_list(spark, sf_dir):
+    """E1-E6 in list mode: ideal and recall from the top-k list only."""
+    return ranking.evaluate(_pop_recs(spark, sf_dir), C.test(spark, sf_dir), P.k_values,
+                            P.relevance_threshold, "list")
+
+
+@query("eval_compare")
+def q_eval_compare(spark, sf_dir):
+    """Popularity, random and item-CF side by side."""
+    te = C.test(spark, sf_dir)
+    methods = {"popularity": _pop_recs(spark, sf_dir),
+               "random": _random_recs(spark, sf_dir),
+               "itemcf": _cf_recs(C.train(spark, sf_dir))}
+    out = None
+    for name, recs in methods.items():
+        s = ranking.evaluate(recs, te, P.k_values, P.relevance_threshold, "user") \
+            .withColumn("method", F.lit(name))
+        out = s if out is None else out.unionByName(s)
+    return ranking.compare_table(out, P.k_values, ("method",))
+
+
+def _round_parts(spark, sf_dir):
+    rounds = _rounds(spark, sf_dir)
+    tr = rounds.filter(F.col("part") == "train").drop("part")
+    te = rounds.filter(F.col("part") == "test").drop("part")
+    return tr, te
+
+
+def _curve(method: str, tr: DataFrame, te: DataFrame) -> DataFrame:
+    keys = ("round",)
+    if method == "popularity":
+        recs = recommend.popularity_recommend(tr, _test_users(te, keys), P.top_n, keys=keys)
+    else:
+        recs = _cf_recs(tr, keys)
+    s = ranking.evaluate(recs, te, P.k_values, P.relevance_threshold, "user", keys)
+    return ranking.compare_table(s, P.k_values, keys).withColumn("method", F.lit(method))
+
+
+@query("backtest_curve")
+def q_backtest_curve(spark, sf_dir):
+    """Popularity metrics and train rows for every round."""
+    tr, te = _round_parts(spark, sf_dir)
+    rows = tr.groupBy("round").agg(F.count(F.lit(1)).alias("train_rows"))
+    return _curve("popularity", tr, te).drop("method").join(rows, "round")
+
+
+@query("backtest_compare")
+def q_backtest_compare(spark, sf_dir):
+    """Popularity against item-CF per round, verdict at +-0.003."""
+    tr, te = _round_parts(spark, sf_dir)
+    curve = _curve("popularity", tr, te).unionByName(_curve("itemcf", tr, te))
+    return ranking.curve_compare(curve, "popularity", "itemcf", "ndcg_10", P.tie_margin)
