@@ -493,3 +493,113 @@ SELECT round, round(a, 6) AS ndcg_10_popularity, round(b, 6) AS ndcg_10_itemcf,
        round(CASE WHEN fa <> 0 THEN (la / fa - 1) * 100 END, 6) AS change_popularity_pct,
        round(CASE WHEN fb <> 0 THEN (lb / fb - 1) * 100 END, 6) AS change_itemcf_pct
 FROM j, ends""")
+
+# ---------------------------------------------------------------- off-policy evaluation
+PROP = """
+prop AS (SELECT item_id, count(*) AS n, count(*) / (SELECT count(*) FROM test) AS propensity,
+                avg(rating) AS mean_reward FROM test GROUP BY item_id)"""
+ORACLE["ope_propensity"] = sql(PROP, select="""
+SELECT item_id, n, round(propensity, 6) AS propensity, round(mean_reward, 6) AS mean_reward FROM prop""")
+
+
+def _stack_sql(src: str, pairs: list[tuple[str, str]]) -> str:
+    return "\nUNION ALL ".join(f"SELECT '{n}' AS estimator, round({e}, 6) AS value FROM {src}"
+                               for n, e in pairs)
+
+
+ORACLE["ope_summary"] = sql(PROP, """
+tj AS (SELECT t.rating AS r, p.propensity AS p, p.mean_reward AS rhat FROM test t JOIN prop p USING (item_id))""", """
+agg AS (SELECT avg(r / p) AS ips_raw, stddev_samp(r / p) AS ips_std, avg(least(r / p, 10.0)) AS ips_clipped,
+               sum(r / p) / sum(1 / p) AS ips_sn, avg(rhat) AS dm_value, avg(r - rhat) AS dm_bias,
+               avg((1 / p) * (r - rhat)) AS correction_term,
+               avg(rhat) + avg((1 / p) * (r - rhat)) AS v_dr,
+               avg(rhat) + avg(least(1 / p, 10.0) * (r - rhat)) AS v_dr_clipped,
+               avg(r) AS actual_avg FROM tj)""", select=_stack_sql("agg", [
+    (n, n) for n in ("ips_raw", "ips_std", "ips_clipped", "ips_sn", "dm_value", "dm_bias",
+                     "correction_term", "v_dr", "v_dr_clipped", "actual_avg")]))
+
+ORACLE["ope_policy"] = sql("""
+tm AS (SELECT item_id, count(*) / (SELECT count(*) FROM train) AS pi_b, avg(rating) AS rhat
+       FROM train GROUP BY item_id)""", """
+gm AS (SELECT avg(rating) AS g FROM train)""", """
+pe AS (SELECT item_id, CAST(1 AS DOUBLE) / 20 AS pi_e FROM (
+         SELECT item_id, row_number() OVER (ORDER BY count(*) DESC, item_id) AS rk
+         FROM train GROUP BY item_id) WHERE rk <= 20)""", """
+model AS (SELECT coalesce(tm.item_id, pe.item_id) AS item_id, tm.pi_b,
+                 coalesce(tm.rhat, (SELECT g FROM gm)) AS rhat, coalesce(pe.pi_e, 0) AS pi_e
+          FROM tm FULL JOIN pe ON tm.item_id = pe.item_id)""", """
+dm AS (SELECT sum(pi_e * rhat) AS dm FROM model)""", """
+lj AS (SELECT t.rating AS r, CASE WHEN m.pi_b > 0 THEN m.pi_e / m.pi_b ELSE 0 END AS w,
+              coalesce(m.rhat, (SELECT g FROM gm)) AS rhat
+       FROM test t LEFT JOIN model m USING (item_id))""", """
+agg AS (SELECT avg(w * r) AS ips, avg(least(w, 10.0) * r) AS ips_clipped,
+               CASE WHEN sum(w) > 0 THEN sum(w * r) / sum(w) END AS ips_sn,
+               (SELECT dm FROM dm) AS dm_value,
+               (SELECT dm FROM dm) + avg(w * (r - rhat)) AS v_dr,
+               (SELECT dm FROM dm) + avg(least(w, 10.0) * (r - rhat)) AS v_dr_clipped,
+               avg(r) AS actual_avg FROM lj)""", select=_stack_sql("agg", [
+    (n, n) for n in ("ips", "ips_clipped", "ips_sn", "dm_value", "v_dr", "v_dr_clipped", "actual_avg")]))
+
+# ---------------------------------------------------------------- tabular policies
+POLICY = """
+pseq AS (SELECT t.*, i.category,
+                row_number() OVER (PARTITION BY t.user_id ORDER BY t.ts, t.item_id, t.rating) AS rn
+         FROM train t JOIN items i USING (item_id)),
+scat AS (SELECT a.user_id, a.rn, b.category, avg(b.rating) AS m FROM pseq a JOIN pseq b
+           ON a.user_id = b.user_id AND b.rn BETWEEN a.rn - 10 AND a.rn - 1
+         WHERE a.rn > 10 GROUP BY a.user_id, a.rn, b.category),
+ncat AS (SELECT a.user_id, a.rn, b.category, avg(b.rating) AS m FROM pseq a JOIN pseq b
+           ON a.user_id = b.user_id AND b.rn BETWEEN a.rn - 9 AND a.rn
+         WHERE a.rn > 10 GROUP BY a.user_id, a.rn, b.category),
+spick AS (SELECT user_id, rn, category AS s FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id, rn ORDER BY m DESC, category) AS o FROM scat)
+          WHERE o = 1),
+npick AS (SELECT user_id, rn, category AS s2 FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id, rn ORDER BY m DESC, category) AS o FROM ncat)
+          WHERE o = 1),
+trans AS (SELECT sp.s AS state, a.category AS action, (a.rating - 0.5) / 4.5 AS reward, np.s2 AS next_state
+          FROM pseq a JOIN spick sp USING (user_id, rn) JOIN npick np USING (user_id, rn) WHERE a.rn > 10),
+beh AS (SELECT state, action, count(*) AS n, count(*) / sum(count(*)) OVER (PARTITION BY state) AS pi_b
+        FROM trans GROUP BY state, action),
+sa AS (SELECT state, action, count(*) AS n_sa, avg(reward) AS rbar FROM trans GROUP BY state, action),
+sas AS (SELECT t.state, t.action, t.next_state, count(*) / max(sa.n_sa) AS p FROM trans t
+        JOIN sa USING (state, action) GROUP BY t.state, t.action, t.next_state)"""
+
+
+def q_iter_ctes(tau: float, name: str, iterations: int = 3) -> str:
+    parts = [f"""
+{name}_ok AS (SELECT state, action FROM (
+                SELECT *, max(pi_b) OVER (PARTITION BY state) AS mx FROM beh)
+              WHERE pi_b >= {tau} * mx)""",
+             f"{name}_q0 AS (SELECT state, action, CAST(0 AS DOUBLE) AS q FROM sa)"]
+    for t in range(iterations):
+        parts.append(f"""
+{name}_v{t} AS (SELECT q.state AS next_state, max(q.q) AS v FROM {name}_q{t} q
+               JOIN {name}_ok USING (state, action) GROUP BY q.state)""")
+        parts.append(f"""
+{name}_q{t + 1} AS (SELECT sa.state, sa.action, sa.rbar + 0.99 * coalesce(e.ev, 0) AS q FROM sa LEFT JOIN (
+                  SELECT sas.state, sas.action, sum(sas.p * coalesce(v.v, 0)) AS ev FROM sas
+                  LEFT JOIN {name}_v{t} v USING (next_state) GROUP BY sas.state, sas.action) e
+                USING (state, action))""")
+    return ",".join(parts)
+
+
+ORACLE["policy_behaviour"] = sql(POLICY, select="""
+SELECT state, action, n, round(pi_b, 6) AS pi_b FROM beh""")
+ORACLE["q_unconstrained"] = sql(POLICY, q_iter_ctes(0.0, "qu"), select="""
+SELECT state, action, round(q, 6) AS q FROM qu_q3""")
+ORACLE["q_constrained"] = sql(POLICY, q_iter_ctes(0.3, "qc"), select="""
+SELECT state, action, round(q, 6) AS q FROM qc_q3""")
+GREEDY = """
+SELECT state, action, q FROM (
+  SELECT q.*, row_number() OVER (PARTITION BY q.state ORDER BY round(q.q, 9) DESC, q.action) AS o
+  FROM {src} q JOIN {ok} USING (state, action)) WHERE o = 1"""
+ORACLE["policy_greedy"] = sql(POLICY, q_iter_ctes(0.3, "qc"), select=f"""
+SELECT state, action, round(q, 6) AS q FROM ({GREEDY.format(src="qc_q3", ok="qc_ok")})""")
+ORACLE["policy_compare"] = sql(POLICY, q_iter_ctes(0.0, "qu"), q_iter_ctes(0.3, "qc"),
+                               f"gu AS ({GREEDY.format(src='qu_q3', ok='qu_ok')})",
+                               f"gc AS ({GREEDY.format(src='qc_q3', ok='qc_ok')})", select="""
+SELECT coalesce(gu.state, gc.state) AS state, gu.action AS action_unconstrained,
+       round(gu.q, 6) AS q_unconstrained, gc.action AS action_constrained,
+       round(gc.q, 6) AS q_constrained, CAST(gu.action = gc.action AS BIGINT) AS same_action
+FROM gu FULL JOIN gc ON gu.state = gc.state""")

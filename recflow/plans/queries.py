@@ -415,3 +415,71 @@ def q_backtest_compare(spark, sf_dir):
     tr, te = _round_parts(spark, sf_dir)
     curve = _curve("popularity", tr, te).unionByName(_curve("itemcf", tr, te))
     return ranking.curve_compare(curve, "popularity", "itemcf", "ndcg_10", P.tie_margin)
+
+
+# ---------------------------------------------------------------- off-policy evaluation
+from recflow.operators import ope, policy  # noqa: E402
+
+
+@query("ope_propensity")
+def q_ope_propensity(spark, sf_dir):
+    """Per-item share of logged test rows and mean rating."""
+    return ope.item_models(C.test(spark, sf_dir))
+
+
+@query("ope_summary")
+def q_ope_summary(spark, sf_dir):
+    """IPS, clipped and self-normalised IPS, DM, DR on the test part."""
+    return ope.estimates(C.test(spark, sf_dir), P.clip)
+
+
+@query("ope_policy")
+def q_ope_policy(spark, sf_dir):
+    """The estimators for a uniform top-20-popular target policy,
+    behaviour and reward models fitted on train, scored on test."""
+    tr = C.train(spark, sf_dir)
+    return ope.policy_estimates(tr, C.test(spark, sf_dir),
+                                ope.top_k_uniform_policy(tr, P.top_n), P.clip)
+
+
+# ---------------------------------------------------------------- tabular policies
+def _transitions(spark, sf_dir):
+    cats = tables.items(spark, sf_dir).select("item_id", "category")
+    tr = C.train(spark, sf_dir).join(cats, "item_id")
+    return policy.transitions(traj.build_trajectories(tr, P.state_size, carry=("category",)))
+
+
+@query("policy_behaviour")
+def q_policy_behaviour(spark, sf_dir):
+    """Q1: share of each action category in each state category."""
+    return policy.behaviour_policy(_transitions(spark, sf_dir))
+
+
+@query("q_unconstrained")
+def q_q_unconstrained(spark, sf_dir):
+    """Q2: three backups with the max over every observed action."""
+    return policy.q_values(_transitions(spark, sf_dir), P.gamma, 0.0, P.q_iterations,
+                           P.checkpoint_every)
+
+
+@query("q_constrained")
+def q_q_constrained(spark, sf_dir):
+    """Q3: three backups, max only over actions with pi_b >= 0.3 max pi_b."""
+    return policy.q_values(_transitions(spark, sf_dir), P.gamma, P.bcq_threshold,
+                           P.q_iterations, P.checkpoint_every)
+
+
+@query("policy_greedy")
+def q_policy_greedy(spark, sf_dir):
+    """Q4: greedy constrained action per state."""
+    tr = _transitions(spark, sf_dir)
+    q = policy.q_values(tr, P.gamma, P.bcq_threshold, P.q_iterations, P.checkpoint_every)
+    return policy.greedy_policy(q, policy.allowed_actions(policy.behaviour_policy(tr),
+                                                          P.bcq_threshold))
+
+
+@query("policy_compare")
+def q_policy_compare(spark, sf_dir):
+    """Q5: unconstrained against constrained greedy actions per state."""
+    return policy.compare_policies(_transitions(spark, sf_dir), P.gamma, P.bcq_threshold,
+                                   P.q_iterations)
