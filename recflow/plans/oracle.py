@@ -603,3 +603,32 @@ SELECT coalesce(gu.state, gc.state) AS state, gu.action AS action_unconstrained,
        round(gu.q, 6) AS q_unconstrained, gc.action AS action_constrained,
        round(gc.q, 6) AS q_constrained, CAST(gu.action = gc.action AS BIGINT) AS same_action
 FROM gu FULL JOIN gc ON gu.state = gc.state""")
+
+# ---------------------------------------------------------------- vector retrieval
+ORACLE["vec_topk"] = sql("""
+eq AS (SELECT e.vec_id, CAST(e.embedding AS DOUBLE[]) AS v FROM embeddings e
+       WHERE e.vec_id IN (SELECT min(vec_id) FROM embeddings GROUP BY label))""", """
+ev AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)""", """
+vs AS (SELECT q.vec_id AS query_id, e.vec_id,
+              list_dot_product(q.v, e.v) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(e.v, e.v))) AS score
+       FROM eq q JOIN ev e ON e.vec_id <> q.vec_id)""", select="""
+SELECT query_id, vec_id, round(score, 6) AS score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, vec_id) AS rank FROM vs)
+WHERE rank <= 10""")
+
+ORACLE["rec_content_knn"] = sql(FEAT, USERS, f"""
+cvec AS (SELECT i.item_id, list_value({", ".join(_VEC_PARTS)}) AS v
+         FROM items i LEFT JOIN years y USING (item_id) LEFT JOIN ipop p USING (item_id))""", """
+hist AS (SELECT * FROM (SELECT t.*, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, item_id DESC, rating DESC) AS p
+                        FROM train t) WHERE p <= 10)""", """
+hw AS (SELECT h.user_id, (h.rating - 0.5) / 4.5 AS w, c.v FROM hist h JOIN cvec c USING (item_id))""", """
+hd AS (SELECT user_id, d, sum(w * v[d]) AS sw, sum(v[d]) AS sp, sum(w) AS ws
+       FROM hw, range(1, 35) r(d) GROUP BY user_id, d)""", """
+uvec AS (SELECT user_id, list(CASE WHEN ws > 0 THEN sw ELSE sp END ORDER BY d) AS u FROM hd GROUP BY user_id)""", """
+sc AS (SELECT u.user_id, c.item_id,
+              list_dot_product(u.u, c.v) / (sqrt(list_dot_product(u.u, u.u)) * sqrt(list_dot_product(c.v, c.v))) AS score
+       FROM uvec u JOIN tusers USING (user_id) CROSS JOIN cvec c
+       WHERE NOT EXISTS (SELECT 1 FROM train s WHERE s.user_id = u.user_id AND s.item_id = c.item_id))""", select="""
+SELECT user_id, item_id, round(score, 6) AS score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id) AS rank FROM sc)
+WHERE rank <= 20""")

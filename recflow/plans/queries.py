@@ -483,3 +483,28 @@ def q_policy_compare(spark, sf_dir):
     """Q5: unconstrained against constrained greedy actions per state."""
     return policy.compare_policies(_transitions(spark, sf_dir), P.gamma, P.bcq_threshold,
                                    P.q_iterations)
+
+
+# ---------------------------------------------------------------- vector retrieval
+from recflow.operators import knn  # noqa: E402
+
+
+@query("vec_topk")
+def q_vec_topk(spark, sf_dir):
+    """10 nearest vectors (cosine) of the first vector of
+    every label, blocked exact search."""
+    emb = tables.embeddings(spark, sf_dir)
+    queries = emb.groupBy("label").agg(F.min("vec_id").alias("query_id")).select("query_id")
+    return knn.nearest_vectors(emb, queries, 10)
+
+
+@query("rec_content_knn")
+def q_rec_content_knn(spark, sf_dir):
+    """History vector of the last 10 train items -> cosine top 20 over
+    all item content vectors, seen items excluded, for every test user."""
+    it = tables.items(spark, sf_dir)
+    r = C.ratings(spark, sf_dir)
+    stats = features.item_popularity(features.item_stats(r))
+    vecs = recommend.content_vectors(it, features.release_years(it), stats, G)
+    return knn.content_recommend(C.train(spark, sf_dir), vecs, _test_users(C.test(spark, sf_dir)),
+                                 P.top_n, P.state_size)
