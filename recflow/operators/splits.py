@@ -39,21 +39,22 @@ def user_window(keys=()) -> Window:
     return Window.partitionBy(*_keys(keys), "user_id").orderBy(*EVENT_ORDER)
 
 
-def sequence_numbered(ratings: DataFrame, keys=()) -> DataFrame:
+def sequence_numbered(ratings: DataFrame, keys=(), hot_rows: int | None = None) -> DataFrame:
     """rn = 1.. per user in (ts, item_id, rating) order."""
-    return ratings.withColumn("rn", F.row_number().over(user_window(keys)).cast("bigint"))
+    from recflow.operators.sequence import numbered
+    return numbered(ratings, [*_keys(keys), "user_id"], EVENT_ORDER, hot_rows).drop("n")
 
 
-def temporal_split(ratings: DataFrame, ratio: float = 0.8, keys=()) -> DataFrame:
+def temporal_split(ratings: DataFrame, ratio: float = 0.8, keys=(),
+                   hot_rows: int | None = None) -> DataFrame:
     """Adds ``part``: 'train' for the first rn <= n * ratio rows of each user
-    (n = the user's row count), 'test' for the rest. One exchange on user."""
-    k = _keys(keys)
-    df = (ratings
-          .withColumn("_rn", F.row_number().over(user_window(keys)))
-          .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*k, "user_id"))))
-    is_train = F.col("_rn") <= F.col("_n") * F.lit(float(ratio))
+    (n = the user's row count), 'test' for the rest. One exchange on user;
+    users above ``hot_rows`` rows are numbered without a per-user window."""
+    from recflow.operators.sequence import numbered
+    df = numbered(ratings, [*_keys(keys), "user_id"], EVENT_ORDER, hot_rows)
+    is_train = F.col("rn") <= F.col("n") * F.lit(float(ratio))
     return (df.withColumn("part", F.when(is_train, F.lit("train")).otherwise(F.lit("test")))
-            .drop("_rn", "_n"))
+            .drop("rn", "n"))
 
 
 def train_part(split: DataFrame) -> DataFrame:

@@ -7,31 +7,52 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recflow.functions.columns import EVENT_ORDER, md5_key, normalized_reward
+from recflow.operators import sequence
 from recflow.operators.splits import user_window
 
 
 def build_trajectories(ratings: DataFrame, state_size: int = 10, keys=(),
-                       carry=()) -> DataFrame:
+                       carry=(), hot_rows: int | None = None) -> DataFrame:
     """One row per rating that has K earlier ratings of the same user.
 
     state = the K previous (item, rating) pairs, action = current item,
     reward = current rating, next_state = the last K pairs including the
-    current one. Row number, user count and both frames share one
-    exchange and one sort on (keys, user_id); frame memory is O(K).
-    ``carry`` names extra per-rating columns kept inside the state structs
-    (returned as ``state_<col>`` / ``next_state_<col>`` arrays).
+    current one. For ordinary users row number, user count and both
+    frames share one exchange and one sort on (keys, user_id); frame
+    memory is O(K). Users with more than ``hot_rows`` rows are numbered
+    by range partitions and framed in row-number blocks with a K-row
+    halo (``recflow.operators.sequence``), so no task holds a whole hot
+    user. ``carry`` names extra per-rating columns kept inside the state
+    structs (returned as ``state_<col>`` / ``next_state_<col>`` arrays).
     """
     K = state_size
     k = list(keys or ())
-    w = user_window(keys)
+    part = [*k, "user_id"]
     fields = [F.col("item_id"), F.col("rating"), *[F.col(c) for c in carry]]
     pair = F.struct(*fields)
-    seq = (ratings
-           .withColumn("rn", F.row_number().over(w))
-           .withColumn("total_ratings",
-                       F.count(F.lit(1)).over(Window.partitionBy(*k, "user_id")))
-           .withColumn("_state", F.collect_list(pair).over(w.rowsBetween(-K, -1)))
-           .withColumn("_next", F.collect_list(pair).over(w.rowsBetween(-(K - 1), 0))))
+    frames = {"_state": lambda w: F.collect_list(pair).over(w.rowsBetween(-K, -1)),
+              "_next": lambda w: F.collect_list(pair).over(w.rowsBetween(-(K - 1), 0))}
+
+    def plain(df):
+        w = user_window(keys)
+        seq = (df.withColumn("rn", F.row_number().over(w))
+               .withColumn("total_ratings",
+                           F.count(F.lit(1)).over(Window.partitionBy(*part))))
+        for name, fn in frames.items():
+            seq = seq.withColumn(name, fn(w))
+        return seq
+
+    hot = sequence.hot_keys(ratings, part, hot_rows)
+    if hot is None:
+        seq = plain(ratings)
+    else:
+        normal, hrows = sequence.split_by_hot(ratings, part, hot)
+        total = hot.agg(F.sum("_n")).first()[0]
+        hn = (sequence.range_numbered(hrows, part, EVENT_ORDER, total, hot_rows)
+              .withColumnRenamed("_n", "total_ratings"))
+        hseq = sequence.blocked_frames(hn, part, frames, hot_rows, K)
+        pseq = plain(normal)
+        seq = pseq.unionByName(hseq.select(*pseq.columns))
     full = seq.filter((F.col("rn") > K) & (F.size("_state") == K))
     extra = []
     for c in carry:
@@ -55,14 +76,13 @@ def build_trajectories(ratings: DataFrame, state_size: int = 10, keys=(),
 
 def cap_history(ratings: DataFrame, max_len: int, keys=()) -> DataFrame:
     """Keep each user's last ``max_len`` ratings (the advice printed for very
-    active users), before trajectories are built."""
+    active users), before trajectories are built. A row_number <= L filter
+    in reverse order: Spark keeps a partial top-L per task before the
+    shuffle (window group limit), so a hot user is cut map-side."""
     k = list(keys or ())
-    w = user_window(keys)
-    return (ratings
-            .withColumn("_rn", F.row_number().over(w))
-            .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*k, "user_id")))
-            .filter(F.col("_rn") > F.col("_n") - F.lit(max_len))
-            .drop("_rn", "_n"))
+    w = Window.partitionBy(*k, "user_id").orderBy(*[F.col(c).desc() for c in EVENT_ORDER])
+    return (ratings.withColumn("_rev", F.row_number().over(w))
+            .filter(F.col("_rev") <= max_len).drop("_rev"))
 
 
 def per_user_histogram(traj: DataFrame) -> DataFrame:

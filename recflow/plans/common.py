@@ -21,7 +21,8 @@ def ratings(spark: SparkSession, sf_dir: str, p: Params = PARAMS) -> DataFrame:
 
 
 def split(spark: SparkSession, sf_dir: str, p: Params = PARAMS) -> DataFrame:
-    return splits.temporal_split(ratings(spark, sf_dir, p), p.train_ratio)
+    return splits.temporal_split(ratings(spark, sf_dir, p), p.train_ratio,
+                                 hot_rows=p.hot_user_rows)
 
 
 def train(spark: SparkSession, sf_dir: str, p: Params = PARAMS) -> DataFrame:

@@ -72,7 +72,7 @@ def q_cold_start(spark, sf_dir):
 @query("seq_numbered")
 def q_seq_numbered(spark, sf_dir):
     """Per-user sequence number in (ts, item_id, rating) order."""
-    return splits.sequence_numbered(C.ratings(spark, sf_dir))
+    return splits.sequence_numbered(C.ratings(spark, sf_dir), hot_rows=P.hot_user_rows)
 
 
 @query("split_temporal")
@@ -83,7 +83,8 @@ def q_split_temporal(spark, sf_dir):
 
 # ---------------------------------------------------------------- trajectories
 def _traj(spark, sf_dir):
-    return traj.build_trajectories(C.train(spark, sf_dir), P.state_size)
+    return traj.build_trajectories(C.train(spark, sf_dir), P.state_size,
+                                   hot_rows=P.hot_user_rows)
 
 
 @query("traj_build")
@@ -114,7 +115,7 @@ def q_traj_prepare(spark, sf_dir):
 def q_traj_capped(spark, sf_dir):
     """Trajectories from each user's last 50 train ratings."""
     capped = traj.cap_history(C.train(spark, sf_dir), P.history_cap)
-    return traj.build_trajectories(capped, P.state_size)
+    return traj.build_trajectories(capped, P.state_size, hot_rows=P.hot_user_rows)
 
 
 @query("traj_sample")
@@ -231,7 +232,7 @@ def q_backtest_trajectories(spark, sf_dir):
     ok = splits.round_eligibility(rounds, P.state_size).filter(F.col("eligible") == 1)
     tr = (rounds.filter(F.col("part") == "train").drop("part")
           .join(F.broadcast(ok.select("round")), "round", "left_semi"))
-    return traj.build_trajectories(tr, P.state_size, keys=("round",))
+    return traj.build_trajectories(tr, P.state_size, keys=("round",), hot_rows=P.hot_user_rows)
 
 
 # ---------------------------------------------------------------- sources
@@ -446,7 +447,8 @@ def q_ope_policy(spark, sf_dir):
 def _transitions(spark, sf_dir):
     cats = tables.items(spark, sf_dir).select("item_id", "category")
     tr = C.train(spark, sf_dir).join(cats, "item_id")
-    return policy.transitions(traj.build_trajectories(tr, P.state_size, carry=("category",)))
+    return policy.transitions(traj.build_trajectories(tr, P.state_size, carry=("category",),
+                                                      hot_rows=P.hot_user_rows))
 
 
 @query("policy_behaviour")

@@ -92,3 +92,29 @@ def test_csv_roundtrip_of_items_with_commas(spark, tmp_path):
 def test_every_query_has_an_oracle_or_reason():
     from recflow.plans.oracle import ORACLE
     assert set(QUERIES) <= set(ORACLE)
+
+
+def _sorted_rows(df):
+    return sorted(tuple(str(x) for x in r) for r in df.collect())
+
+
+def test_hot_user_path_equals_plain_window(spark, sf_small):
+    tr = C.train(spark, sf_small).cache()
+    plain = traj.build_trajectories(tr, 10)
+    # every user with more than 15 rows takes the range-numbered, blocked path
+    hot = traj.build_trajectories(tr, 10, hot_rows=15)
+    assert _sorted_rows(plain) == _sorted_rows(hot)
+    keyed_plain = traj.build_trajectories(tr.withColumn("round", F.lit(1)), 4, keys=("round",))
+    keyed_hot = traj.build_trajectories(tr.withColumn("round", F.lit(1)), 4, keys=("round",),
+                                        hot_rows=12)
+    assert _sorted_rows(keyed_plain) == _sorted_rows(keyed_hot)
+    tr.unpersist()
+
+
+def test_hot_user_split_equals_plain_split(spark, sf_small):
+    r = C.ratings(spark, sf_small).cache()
+    assert _sorted_rows(splits.temporal_split(r, 0.8)) == \
+        _sorted_rows(splits.temporal_split(r, 0.8, hot_rows=20))
+    assert _sorted_rows(splits.sequence_numbered(r)) == \
+        _sorted_rows(splits.sequence_numbered(r, hot_rows=25))
+    r.unpersist()
