@@ -37,9 +37,17 @@ def transitions(traj: DataFrame) -> DataFrame:
         top_category(F.col("next_state_ratings"), F.col("next_state_category")).alias("next_state"))
 
 
-def behaviour_policy(trans: DataFrame) -> DataFrame:
+def transition_model(trans: DataFrame) -> DataFrame:
+    """(state, action, next_state, n, reward_sum): the one distributed
+    aggregate over all transitions; everything after it works on this
+    table of at most |S|^2 |A| rows."""
+    return trans.groupBy("state", "action", "next_state").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("reward").alias("reward_sum"))
+
+
+def behaviour_policy(model: DataFrame) -> DataFrame:
     """(state, action, n, pi_b) with pi_b = n(s, a) / n(s)."""
-    sa = trans.groupBy("state", "action").agg(F.count(F.lit(1)).alias("n"))
+    sa = model.groupBy("state", "action").agg(F.sum("n").alias("n"))
     return sa.withColumn("pi_b", F.col("n") / F.sum("n").over(Window.partitionBy("state")))
 
 
@@ -51,32 +59,33 @@ def allowed_actions(behaviour: DataFrame, tau: float) -> DataFrame:
             .filter(F.col("pi_b") >= F.lit(tau) * F.col("_mx")).select("state", "action"))
 
 
-def q_values(trans: DataFrame, gamma: float = 0.99, tau: float = 0.0, iterations: int = 3,
+def q_values(model: DataFrame, gamma: float = 0.99, tau: float = 0.0, iterations: int = 3,
              checkpoint_every: int = 5) -> DataFrame:
-    """Fitted tabular Q iteration, never terminal:
+    """Fitted tabular Q iteration on the transition model, never terminal:
     Q0 = 0; Q(t+1)(s, a) = rbar(s, a) + gamma sum_s' P(s'|s, a) max_{a' allowed in s'} Qt(s', a').
     Lineage is cut with a reliable ``checkpoint`` (the session's
     ``spark.checkpoint.dir``) every ``checkpoint_every`` iterations."""
     from recflow.session import checkpoint_dir
-    sa = trans.groupBy("state", "action").agg(F.count(F.lit(1)).alias("n_sa"),
-                                              F.avg("reward").alias("rbar"))
-    sas = (trans.groupBy("state", "action", "next_state").agg(F.count(F.lit(1)).alias("n_sas"))
-           .join(sa.select("state", "action", "n_sa"), ["state", "action"])
-           .select("state", "action", "next_state",
-                   (F.col("n_sas") / F.col("n_sa")).alias("p")))
-    allowed = allowed_actions(behaviour_policy(trans), tau)
+    sa = model.groupBy("state", "action").agg(F.sum("n").alias("n_sa"),
+                                              F.sum("reward_sum").alias("_rs"))
+    sa = sa.select("state", "action", "n_sa", (F.col("_rs") / F.col("n_sa")).alias("rbar"))
+    sas = (model.join(sa.select("state", "action", "n_sa"), ["state", "action"])
+           .select("state", "action", "next_state", (F.col("n") / F.col("n_sa")).alias("p")))
+    # every table below is bounded by the category vocabulary (|S| x |A|
+    # or |S|^2 x |A| rows), not by the data, so broadcasting it is safe
+    allowed = F.broadcast(allowed_actions(behaviour_policy(model), tau))
     q = sa.select("state", "action", F.lit(0.0).alias("q"))
     for t in range(iterations):
         v = (q.join(allowed, ["state", "action"]).groupBy("state").agg(F.max("q").alias("v"))
              .select(F.col("state").alias("next_state"), "v"))
-        ev = (sas.join(v, "next_state", "left")
+        ev = (sas.join(F.broadcast(v), "next_state", "left")
               .groupBy("state", "action")
               .agg(F.sum(F.col("p") * F.coalesce(F.col("v"), F.lit(0.0))).alias("ev")))
-        q = (sa.join(ev, ["state", "action"], "left")
+        q = (sa.join(F.broadcast(ev), ["state", "action"], "left")
              .select("state", "action",
                      (F.col("rbar") + F.lit(gamma) * F.coalesce("ev", F.lit(0.0))).alias("q")))
         if checkpoint_every and (t + 1) % checkpoint_every == 0 and t + 1 < iterations:
-            checkpoint_dir(trans.sparkSession)
+            checkpoint_dir(model.sparkSession)
             q = q.checkpoint(eager=True)
     return q
 
@@ -91,11 +100,11 @@ def greedy_policy(q: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
             .select("state", "action", "q"))
 
 
-def compare_policies(trans: DataFrame, gamma: float, tau: float, iterations: int) -> DataFrame:
+def compare_policies(model: DataFrame, gamma: float, tau: float, iterations: int) -> DataFrame:
     """Greedy action and value per state, unconstrained against constrained."""
-    beh = behaviour_policy(trans)
-    qu = greedy_policy(q_values(trans, gamma, 0.0, iterations))
-    qc = greedy_policy(q_values(trans, gamma, tau, iterations), allowed_actions(beh, tau))
+    beh = behaviour_policy(model)
+    qu = greedy_policy(q_values(model, gamma, 0.0, iterations))
+    qc = greedy_policy(q_values(model, gamma, tau, iterations), allowed_actions(beh, tau))
     return (qu.select("state", F.col("action").alias("action_unconstrained"),
                       F.col("q").alias("q_unconstrained"))
             .join(qc.select("state", F.col("action").alias("action_constrained"),

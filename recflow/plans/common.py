@@ -9,20 +9,52 @@ from pyspark.sql import types as T
 
 from recflow.operators import splits
 from recflow.params import Params
+from recflow.session import scratch_path
 from recflow.sources import tables
 
 PARAMS = Params(genres=tables.DATA_GENRES)
 
 
-def ratings(spark: SparkSession, sf_dir: str, p: Params = PARAMS) -> DataFrame:
-    """Cold-start filtered interactions: the input of every later stage."""
+# Stage outputs that several branches of one query read are written once
+# per query run as Parquet in the shared checkpoint folder and read back
+# (column pruning and size statistics intact, lineage cut, and a lost
+# executor costs a re-read instead of a recompute). The cache lives for
+# one query invocation only, so every run pays for its own inputs.
+_STAGES: dict = {}
+
+
+def reset_stages() -> None:
+    _STAGES.clear()
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def stage(key: tuple, build) -> DataFrame:
+    if key not in _STAGES:
+        _STAGES[key] = materialize(build(), key[0])
+    return _STAGES[key]
+
+
+def cold_start_ratings(spark: SparkSession, sf_dir: str, p: Params = PARAMS) -> DataFrame:
+    """Cold-start filtered interactions, lazily (not materialized)."""
     return splits.cold_start(tables.interactions(spark, sf_dir), p.min_item_ratings,
                              p.min_user_ratings, p.cold_start_iterations)
 
 
 def split(spark: SparkSession, sf_dir: str, p: Params = PARAMS) -> DataFrame:
-    return splits.temporal_split(ratings(spark, sf_dir, p), p.train_ratio,
-                                 hot_rows=p.hot_user_rows)
+    """The filtered interactions with their train/test ``part``: the one
+    stage every later query reads, materialized once per query run."""
+    return stage(("split", sf_dir, p), lambda: splits.temporal_split(
+        cold_start_ratings(spark, sf_dir, p), p.train_ratio, hot_rows=p.hot_user_rows))
+
+
+def ratings(spark: SparkSession, sf_dir: str, p: Params = PARAMS) -> DataFrame:
+    """Cold-start filtered interactions: the input of every later stage."""
+    return split(spark, sf_dir, p).drop("part")
 
 
 def train(spark: SparkSession, sf_dir: str, p: Params = PARAMS) -> DataFrame:

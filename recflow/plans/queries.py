@@ -20,7 +20,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 def query(name: str):
     def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: C.finish(fn(spark, sf_dir))
+        def run(spark, sf_dir):
+            C.reset_stages()
+            return C.finish(fn(spark, sf_dir))
+        QUERIES[name] = run
         QUERIES[name].__doc__ = fn.__doc__
         QUERIES[name].raw = fn
         return fn
@@ -66,13 +69,14 @@ def q_rating_histogram(spark, sf_dir):
 @query("cold_start")
 def q_cold_start(spark, sf_dir):
     """Items >= 5 rows, then users >= 10 rows."""
-    return C.ratings(spark, sf_dir)
+    return C.cold_start_ratings(spark, sf_dir)
 
 
 @query("seq_numbered")
 def q_seq_numbered(spark, sf_dir):
     """Per-user sequence number in (ts, item_id, rating) order."""
-    return splits.sequence_numbered(C.ratings(spark, sf_dir), hot_rows=P.hot_user_rows)
+    return splits.sequence_numbered(C.cold_start_ratings(spark, sf_dir),
+                                    hot_rows=P.hot_user_rows)
 
 
 @query("split_temporal")
@@ -210,7 +214,8 @@ def q_time_window_stats(spark, sf_dir):
 
 
 def _rounds(spark, sf_dir):
-    return splits.backtest_rounds(C.ratings(spark, sf_dir), P.n_windows)
+    return C.stage(("rounds", sf_dir), lambda: splits.backtest_rounds(C.ratings(spark, sf_dir),
+                                                                     P.n_windows))
 
 
 @query("backtest_rounds")
@@ -256,7 +261,7 @@ from recflow.operators import cf  # noqa: E402
 
 
 def _cen(spark, sf_dir):
-    return cf.centered(C.ratings(spark, sf_dir))
+    return C.stage(("centered", sf_dir), lambda: cf.centered(C.ratings(spark, sf_dir)))
 
 
 def _sims(spark, sf_dir, min_co):
@@ -331,7 +336,7 @@ def _random_recs(spark, sf_dir):
 
 
 def _cf_recs(train: DataFrame, keys=()):
-    cen = cf.centered(train, keys)
+    cen = C.stage(("centered_train", tuple(keys)), lambda: cf.centered(train, keys))
     return cf.recommend(cen, cf.similarities(cen, P.min_co_raters, P.pair_chunk_size, keys),
                         P.top_n, keys)
 
@@ -444,46 +449,51 @@ def q_ope_policy(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- tabular policies
-def _transitions(spark, sf_dir):
-    cats = tables.items(spark, sf_dir).select("item_id", "category")
-    tr = C.train(spark, sf_dir).join(cats, "item_id")
-    return policy.transitions(traj.build_trajectories(tr, P.state_size, carry=("category",),
-                                                      hot_rows=P.hot_user_rows))
+def _model(spark, sf_dir):
+    """Category transitions of the train trajectories, reduced once to the
+    (state, action, next_state) table that all policy queries iterate on."""
+    def build():
+        cats = tables.items(spark, sf_dir).select("item_id", "category")
+        tr = C.train(spark, sf_dir).join(cats, "item_id")
+        t = traj.build_trajectories(tr, P.state_size, carry=("category",),
+                                    hot_rows=P.hot_user_rows)
+        return policy.transition_model(policy.transitions(t))
+    return C.stage(("transition_model", sf_dir), build)
 
 
 @query("policy_behaviour")
 def q_policy_behaviour(spark, sf_dir):
     """Q1: share of each action category in each state category."""
-    return policy.behaviour_policy(_transitions(spark, sf_dir))
+    return policy.behaviour_policy(_model(spark, sf_dir))
 
 
 @query("q_unconstrained")
 def q_q_unconstrained(spark, sf_dir):
     """Q2: three backups with the max over every observed action."""
-    return policy.q_values(_transitions(spark, sf_dir), P.gamma, 0.0, P.q_iterations,
+    return policy.q_values(_model(spark, sf_dir), P.gamma, 0.0, P.q_iterations,
                            P.checkpoint_every)
 
 
 @query("q_constrained")
 def q_q_constrained(spark, sf_dir):
     """Q3: three backups, max only over actions with pi_b >= 0.3 max pi_b."""
-    return policy.q_values(_transitions(spark, sf_dir), P.gamma, P.bcq_threshold,
+    return policy.q_values(_model(spark, sf_dir), P.gamma, P.bcq_threshold,
                            P.q_iterations, P.checkpoint_every)
 
 
 @query("policy_greedy")
 def q_policy_greedy(spark, sf_dir):
     """Q4: greedy constrained action per state."""
-    tr = _transitions(spark, sf_dir)
-    q = policy.q_values(tr, P.gamma, P.bcq_threshold, P.q_iterations, P.checkpoint_every)
-    return policy.greedy_policy(q, policy.allowed_actions(policy.behaviour_policy(tr),
+    m = _model(spark, sf_dir)
+    q = policy.q_values(m, P.gamma, P.bcq_threshold, P.q_iterations, P.checkpoint_every)
+    return policy.greedy_policy(q, policy.allowed_actions(policy.behaviour_policy(m),
                                                           P.bcq_threshold))
 
 
 @query("policy_compare")
 def q_policy_compare(spark, sf_dir):
     """Q5: unconstrained against constrained greedy actions per state."""
-    return policy.compare_policies(_transitions(spark, sf_dir), P.gamma, P.bcq_threshold,
+    return policy.compare_policies(_model(spark, sf_dir), P.gamma, P.bcq_threshold,
                                    P.q_iterations)
 
 

@@ -38,14 +38,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local tests) a folder
     under the system temp dir is created and registered.
     """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="recflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir() or path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
