@@ -39,30 +39,51 @@ def stage(key: tuple, build) -> DataFrame:
     return _STAGES[key]
 
 
+def hot_rows(spark: SparkSession, sf_dir: str, p: Params = PARAMS) -> int | None:
+    """The hot-user threshold, or None when no user can reach it: a user
+    never has more interactions than ``lineitem`` has rows, and that count
+    comes from Parquet footers without a scan."""
+    key = ("_hot_rows", sf_dir, p)
+    if key not in _STAGES:
+        n = tables.read_table(spark, sf_dir, "lineitem").count()
+        _STAGES[key] = p.hot_user_rows if n > p.hot_user_rows else None
+    return _STAGES[key]
+
+
 def cold_start_ratings(spark: SparkSession, sf_dir: str, p: Params = PARAMS) -> DataFrame:
     """Cold-start filtered interactions, lazily (not materialized)."""
     return splits.cold_start(tables.interactions(spark, sf_dir), p.min_item_ratings,
                              p.min_user_ratings, p.cold_start_iterations)
 
 
-def split(spark: SparkSession, sf_dir: str, p: Params = PARAMS) -> DataFrame:
-    """The filtered interactions with their train/test ``part``: the one
-    stage every later query reads, materialized once per query run."""
-    return stage(("split", sf_dir, p), lambda: splits.temporal_split(
-        cold_start_ratings(spark, sf_dir, p), p.train_ratio, hot_rows=p.hot_user_rows))
+def ratings(spark: SparkSession, sf_dir: str, p: Params = PARAMS,
+            staged: bool = True) -> DataFrame:
+    """Cold-start filtered interactions: the input of every later stage.
+    ``staged`` writes it once per query run for queries that read it from
+    several branches; a single chain reads it lazily."""
+    if not staged:
+        return cold_start_ratings(spark, sf_dir, p)
+    return stage(("cold_start", sf_dir, p), lambda: cold_start_ratings(spark, sf_dir, p))
 
 
-def ratings(spark: SparkSession, sf_dir: str, p: Params = PARAMS) -> DataFrame:
-    """Cold-start filtered interactions: the input of every later stage."""
-    return split(spark, sf_dir, p).drop("part")
+def split(spark: SparkSession, sf_dir: str, p: Params = PARAMS,
+          staged: bool = True) -> DataFrame:
+    """The filtered interactions with their train/test ``part`` (train and
+    test are pruned reads of it when staged)."""
+    def build():
+        return splits.temporal_split(ratings(spark, sf_dir, p, staged), p.train_ratio,
+                                     hot_rows=hot_rows(spark, sf_dir, p))
+    if not staged:
+        return build()
+    return stage(("split", sf_dir, p), build)
 
 
-def train(spark: SparkSession, sf_dir: str, p: Params = PARAMS) -> DataFrame:
-    return splits.train_part(split(spark, sf_dir, p))
+def train(spark: SparkSession, sf_dir: str, p: Params = PARAMS, staged: bool = True) -> DataFrame:
+    return splits.train_part(split(spark, sf_dir, p, staged))
 
 
-def test(spark: SparkSession, sf_dir: str, p: Params = PARAMS) -> DataFrame:
-    return splits.test_part(split(spark, sf_dir, p))
+def test(spark: SparkSession, sf_dir: str, p: Params = PARAMS, staged: bool = True) -> DataFrame:
+    return splits.test_part(split(spark, sf_dir, p, staged))
 
 
 def finish(df: DataFrame, places: int = 6) -> DataFrame:

@@ -54,7 +54,7 @@ def q_profile(spark, sf_dir):
 def q_rating_describe(spark, sf_dir):
     """A2: count, mean, sample std, min, max of the rating."""
     r = F.col("rating")
-    return C.ratings(spark, sf_dir).agg(
+    return C.ratings(spark, sf_dir, staged=False).agg(
         F.count(r).alias("count"), F.avg(r).alias("mean"), F.stddev_samp(r).alias("std"),
         F.min(r).alias("min"), F.max(r).alias("max"))
 
@@ -62,7 +62,7 @@ def q_rating_describe(spark, sf_dir):
 @query("rating_histogram")
 def q_rating_histogram(spark, sf_dir):
     """A3: rows per rating value."""
-    return C.ratings(spark, sf_dir).groupBy("rating").agg(F.count(F.lit(1)).alias("n"))
+    return C.ratings(spark, sf_dir, staged=False).groupBy("rating").agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---------------------------------------------------------------- splits
@@ -75,20 +75,26 @@ def q_cold_start(spark, sf_dir):
 @query("seq_numbered")
 def q_seq_numbered(spark, sf_dir):
     """Per-user sequence number in (ts, item_id, rating) order."""
-    return splits.sequence_numbered(C.cold_start_ratings(spark, sf_dir),
-                                    hot_rows=P.hot_user_rows)
+    return splits.sequence_numbered(C.ratings(spark, sf_dir, staged=_chain(spark, sf_dir)),
+                                    hot_rows=C.hot_rows(spark, sf_dir))
 
 
 @query("split_temporal")
 def q_split_temporal(spark, sf_dir):
     """First 80 % of each user's rows train, the rest test."""
-    return C.split(spark, sf_dir)
+    return C.split(spark, sf_dir, staged=_chain(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- trajectories
+def _chain(spark, sf_dir) -> bool:
+    """Single-chain queries read their input lazily unless hot-user
+    detection has to look at it first (then it is written once)."""
+    return C.hot_rows(spark, sf_dir) is not None
+
+
 def _traj(spark, sf_dir):
-    return traj.build_trajectories(C.train(spark, sf_dir), P.state_size,
-                                   hot_rows=P.hot_user_rows)
+    return traj.build_trajectories(C.train(spark, sf_dir, staged=_chain(spark, sf_dir)), P.state_size,
+                                   hot_rows=C.hot_rows(spark, sf_dir))
 
 
 @query("traj_build")
@@ -118,8 +124,8 @@ def q_traj_prepare(spark, sf_dir):
 @query("traj_capped")
 def q_traj_capped(spark, sf_dir):
     """Trajectories from each user's last 50 train ratings."""
-    capped = traj.cap_history(C.train(spark, sf_dir), P.history_cap)
-    return traj.build_trajectories(capped, P.state_size, hot_rows=P.hot_user_rows)
+    capped = traj.cap_history(C.train(spark, sf_dir, staged=_chain(spark, sf_dir)), P.history_cap)
+    return traj.build_trajectories(capped, P.state_size, hot_rows=C.hot_rows(spark, sf_dir))
 
 
 @query("traj_sample")
@@ -151,13 +157,13 @@ def q_item_release_year(spark, sf_dir):
 @query("item_stats")
 def q_item_stats(spark, sf_dir):
     """Item mean, std (0 when undefined), count."""
-    return features.item_stats(C.ratings(spark, sf_dir))
+    return features.item_stats(C.ratings(spark, sf_dir, staged=False))
 
 
 @query("item_popularity")
 def q_item_popularity(spark, sf_dir):
     """Percent rank of the item's rating count."""
-    return features.item_popularity(features.item_stats(C.ratings(spark, sf_dir)))
+    return features.item_popularity(features.item_stats(C.ratings(spark, sf_dir, staged=False)))
 
 
 @query("item_features")
@@ -169,7 +175,7 @@ def q_item_features(spark, sf_dir):
 @query("user_stats")
 def q_user_stats(spark, sf_dir):
     """User mean, std, count, first and last ts, active days."""
-    return features.user_stats(C.ratings(spark, sf_dir))
+    return features.user_stats(C.ratings(spark, sf_dir, staged=False))
 
 
 @query("user_genre_pref")
@@ -210,7 +216,7 @@ def q_item_content_vector(spark, sf_dir):
 @query("time_window_stats")
 def q_time_window_stats(spark, sf_dir):
     """Four equal global time windows, last one closed."""
-    return splits.window_stats(C.ratings(spark, sf_dir), P.n_windows)
+    return splits.window_stats(C.ratings(spark, sf_dir, staged=False), P.n_windows)
 
 
 def _rounds(spark, sf_dir):
@@ -237,14 +243,14 @@ def q_backtest_trajectories(spark, sf_dir):
     ok = splits.round_eligibility(rounds, P.state_size).filter(F.col("eligible") == 1)
     tr = (rounds.filter(F.col("part") == "train").drop("part")
           .join(F.broadcast(ok.select("round")), "round", "left_semi"))
-    return traj.build_trajectories(tr, P.state_size, keys=("round",), hot_rows=P.hot_user_rows)
+    return traj.build_trajectories(tr, P.state_size, keys=("round",), hot_rows=C.hot_rows(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- sources
 @query("user_sample")
 def q_user_sample(spark, sf_dir):
     """All rows of 1,000 users drawn in md5(user_id:seed) order."""
-    return splits.user_sample(C.ratings(spark, sf_dir), P.eval_user_sample, P.seed)
+    return splits.user_sample(C.ratings(spark, sf_dir, staged=False), P.eval_user_sample, P.seed)
 
 
 @query("src_csv_roundtrip")
@@ -456,7 +462,7 @@ def _model(spark, sf_dir):
         cats = tables.items(spark, sf_dir).select("item_id", "category")
         tr = C.train(spark, sf_dir).join(cats, "item_id")
         t = traj.build_trajectories(tr, P.state_size, carry=("category",),
-                                    hot_rows=P.hot_user_rows)
+                                    hot_rows=C.hot_rows(spark, sf_dir))
         return policy.transition_model(policy.transitions(t))
     return C.stage(("transition_model", sf_dir), build)
 
