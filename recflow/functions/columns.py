@@ -61,5 +61,16 @@ def discount(rank: Column) -> Column:
     return F.log2(rank + F.lit(1))
 
 
-def rounded(c: Column, places: int = 6) -> Column:
-    return F.round(c, places)
+def fixed(c: Column, places: int = 6) -> Column:
+    """Round half up to ``places`` decimals as floor(x * 10^p + 0.5) / 10^p.
+    Every step is one IEEE operation, so any engine that evaluates the same
+    formula gets the same double (decimal ``round`` implementations differ
+    on values that sit on a half)."""
+    scale = float(10 ** places)
+    return (F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale))
+
+
+def rank_key(c: Column, places: int = 9) -> Column:
+    """Integer sort key of a float score at ``places`` decimals, so that
+    near-ties rank the same in every engine and on every run."""
+    return F.floor(c * F.lit(float(10 ** places)) + F.lit(0.5))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recflow.functions.columns import normalized_reward
+from recflow.functions.columns import normalized_reward, rank_key
 
 
 def top_category(ratings: Column, cats: Column) -> Column:
@@ -95,7 +95,7 @@ def greedy_policy(q: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
     ``allowed`` actions when given."""
     if allowed is not None:
         q = q.join(allowed, ["state", "action"])
-    w = Window.partitionBy("state").orderBy(F.round("q", 9).desc(), F.col("action"))
+    w = Window.partitionBy("state").orderBy(rank_key(F.col("q")).desc(), F.col("action"))
     return (q.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1)
             .select("state", "action", "q"))
 

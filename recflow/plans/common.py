@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from recflow.functions.columns import fixed
 from recflow.operators import splits
 from recflow.params import Params
 from recflow.session import scratch_path
@@ -94,12 +95,12 @@ def finish(df: DataFrame, places: int = 6) -> DataFrame:
         c = F.col(f"`{f.name}`")
         t = f.dataType
         if isinstance(t, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), places)
+            c = fixed(c.cast("double"), places)
         elif isinstance(t, T.ArrayType):
             et = t.elementType
             if isinstance(et, (T.DoubleType, T.FloatType)):
                 # fixed-point text: never scientific notation, same in any engine
-                c = F.transform(c, lambda x: F.round(x.cast("double"), places)
+                c = F.transform(c, lambda x: fixed(x.cast("double"), places)
                                 .cast(f"decimal(38,{places})"))
             c = F.array_join(c, ",")
         elif isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):

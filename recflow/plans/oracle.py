@@ -72,6 +72,43 @@ def sql(*ctes: str, select: str) -> str:
 
 ORACLE: dict[str, str] = {}
 
+
+def _half_up(text: str) -> str:
+    """Rewrite ``round(x, 6)`` as floor(x * 1e6 + 0.5) / 1e6 and ``round(x, 9)``
+    (ranking keys) as floor(x * 1e9 + 0.5), the formulas the Spark side uses,
+    so both engines round with the same IEEE steps."""
+    out, i = [], 0
+    low = text.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0 or (j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_")):
+            if j < 0:
+                out.append(text[i:])
+                return "".join(out)
+            out.append(text[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, comma = 1, j + 6, -1
+        while depth:
+            ch = text[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+            elif ch == "," and depth == 1:
+                comma = k
+            k += 1
+        inner = text[j + 6:comma] if comma > 0 else None
+        places = text[comma + 1:k - 1].strip() if comma > 0 else None
+        out.append(text[i:j])
+        if places == "6":
+            out.append(f"(floor(({_half_up(inner)}) * 1e6 + 0.5) / 1e6)")
+        elif places == "9":
+            out.append(f"floor(({_half_up(inner)}) * 1e9 + 0.5)")
+        else:
+            out.append(text[j:k])
+        i = k
+
 ORACLE["profile"] = sql(select="""
 SELECT 'raw' AS stage, count(*) AS n_rows, count(DISTINCT user_id) AS n_users,
        count(DISTINCT item_id) AS n_items,
@@ -307,11 +344,14 @@ liked AS (SELECT {kk}user_id, item_id, rating FROM cen WHERE rating >= user_mean
 nb AS (SELECT {kk}item_a AS item_id, item_b AS neighbor, sim FROM sims
        UNION ALL SELECT {kk}item_b, item_a, sim FROM sims),
 cand AS (SELECT {"".join(f"l.{c}, " for c in keys.split(",") if c) if keys else ""}l.user_id, nb.neighbor AS item_id,
-                sum(nb.sim * l.rating) AS ws, sum(nb.sim) AS evidence
+                sum(CAST(floor(nb.sim * 1e9 + 0.5) AS BIGINT)) AS eq,
+                sum(CAST(CAST(floor(nb.sim * 1e9 + 0.5) AS BIGINT) * CAST(floor(l.rating * 1e6 + 0.5) AS BIGINT)
+                         AS DECIMAL(38,0))) AS wq
          FROM liked l JOIN nb USING ({kk}item_id)
          GROUP BY {"".join(f"l.{c}, " for c in keys.split(",") if c) if keys else ""}l.user_id, nb.neighbor),
-scored AS (SELECT c.*, c.ws / c.evidence AS score FROM cand c
-           WHERE round(c.evidence, 9) > 0 AND NOT EXISTS (
+scored AS (SELECT c.*, CAST(c.wq AS DOUBLE) / (CAST(c.eq AS DOUBLE) * 1e6) AS score,
+                  CAST(c.eq AS DOUBLE) / 1e9 AS evidence FROM cand c
+           WHERE c.eq > 0 AND NOT EXISTS (
              SELECT 1 FROM ui WHERE {"".join(f"ui.{x} = c.{x} AND " for x in keys.split(",") if x) if keys else ""}ui.user_id = c.user_id AND ui.item_id = c.item_id)),
 recs AS (SELECT {kk}user_id, item_id, score, evidence,
                 row_number() OVER (PARTITION BY {kk}user_id ORDER BY round(score, 9) DESC, item_id) AS rank
@@ -632,3 +672,7 @@ sc AS (SELECT u.user_id, c.item_id,
 SELECT user_id, item_id, round(score, 6) AS score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id) AS rank FROM sc)
 WHERE rank <= 20""")
+
+
+for _name in list(ORACLE):
+    ORACLE[_name] = _half_up(ORACLE[_name])
