@@ -45,3 +45,16 @@ def write_parquet(df: DataFrame, path: str, partition_by=()) -> None:
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+
+
+def write_json(df: DataFrame, path: str) -> None:
+    """Small metadata tables (window bounds, round summaries) as JSON lines,
+    written by the executors like any other table."""
+    df.write.mode("overwrite").json(path)
+
+
+def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    r = spark.read
+    if schema is not None:
+        r = r.schema(schema)
+    return r.json(path)

@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The reference pipeline has no streaming: its "online" mode is a batch
+replay over global time windows, built here as batch operators
+(``operators.splits.assign_windows`` / ``backtest_rounds`` and the
+per-round trajectories, recommenders and learning curves)."""
