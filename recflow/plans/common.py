@@ -64,7 +64,14 @@ def ratings(spark: SparkSession, sf_dir: str, p: Params = PARAMS,
     several branches; a single chain reads it lazily."""
     if not staged:
         return cold_start_ratings(spark, sf_dir, p)
-    return stage(("cold_start", sf_dir, p), lambda: cold_start_ratings(spark, sf_dir, p))
+
+    def build():
+        # the bound interactions (a lineitem x orders join) are read by the
+        # main branch and both count branches of the filter: written once
+        raw = stage(("interactions", sf_dir), lambda: tables.interactions(spark, sf_dir))
+        return splits.cold_start(raw, p.min_item_ratings, p.min_user_ratings,
+                                 p.cold_start_iterations)
+    return stage(("cold_start", sf_dir, p), build)
 
 
 def split(spark: SparkSession, sf_dir: str, p: Params = PARAMS,

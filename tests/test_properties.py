@@ -118,3 +118,13 @@ def test_hot_user_split_equals_plain_split(spark, sf_small):
     assert _sorted_rows(splits.sequence_numbered(r)) == \
         _sorted_rows(splits.sequence_numbered(r, hot_rows=25))
     r.unpersist()
+
+
+def test_salted_hot_items_equal_plain_join(spark, sf_small):
+    cen = cf.centered(C.ratings(spark, sf_small, staged=False)).cache()
+    sims = cf.similarities(cen, 1).cache()
+    plain = cf.recommend(cen, sims, 20)
+    salted = cf.recommend(cen, sims, 20, hot_item_likers=3)
+    assert _sorted_rows(plain) == _sorted_rows(salted)
+    cen.unpersist()
+    sims.unpersist()
