@@ -14,14 +14,14 @@ def global_row_number(df: DataFrame, order_cols: list, name: str = "pos",
     partition, number rows inside the partition, and add the row count of
     all earlier partitions. Only the per-partition counts (one row per
     partition, a proven bound) meet in one place; ``order_cols`` must be
-    a total order so the result is deterministic.
+    a total order.
+
+    Range bounds come from a sample, and the counts and the positions are
+    two branches of the plan. The tagged rows are therefore checkpointed
+    once (reliable, in ``spark.checkpoint.dir``), so both branches see the
+    same partition ids however often a stage is recomputed.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols)
-              .sortWithinPartitions(*order_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    ranged = tag_range_partitions(df, order_cols, num_partitions)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
         "_pid",
@@ -34,6 +34,22 @@ def global_row_number(df: DataFrame, order_cols: list, name: str = "pos",
             .drop("_pid", "_mid", "_off"))
 
 
+def tag_range_partitions(df: DataFrame, order_cols: list,
+                         num_partitions: int | None = None) -> DataFrame:
+    """Rows range-partitioned and sorted on ``order_cols`` with their
+    partition id (_pid) and a per-partition increasing id (_mid), written
+    once by a reliable checkpoint."""
+    from recflow.session import checkpoint_dir
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (df.repartitionByRange(n, *order_cols)
+              .sortWithinPartitions(*order_cols)
+              .withColumn("_pid", F.spark_partition_id())
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    checkpoint_dir(spark)
+    return ranged.checkpoint(eager=True)
+
+
 def keyed_row_number(df: DataFrame, keys: list, order_cols: list,
                      name: str = "pos") -> DataFrame:
     """Position within each combination of ``keys`` (few groups, e.g. rounds),

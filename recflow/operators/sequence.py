@@ -56,12 +56,11 @@ def split_by_hot(df: DataFrame, keys: list, hot: DataFrame):
 def range_numbered(rows: DataFrame, keys: list, order=EVENT_ORDER, total: int = 0,
                    rows_per_part: int = 1_000_000) -> DataFrame:
     """rn per key for the hot rows, without a window per key."""
+    from recflow.functions.ordering import tag_range_partitions
     n_parts = max(1, math.ceil(total / max(1, rows_per_part)))
-    sort_cols = [*keys, *order]
-    ranged = (rows.repartitionByRange(n_parts, *sort_cols)
-              .sortWithinPartitions(*sort_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    # partition ids come from sampled range bounds; checkpointing the tagged
+    # rows makes the offsets and the positions read the same ids
+    ranged = tag_range_partitions(rows, [*keys, *order], n_parts)
     parts = ranged.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_c"),
                                              F.min("_mid").alias("_m0"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
