@@ -3,6 +3,8 @@ that makes results comparable across engines."""
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,11 +23,17 @@ PARAMS = Params(genres=tables.DATA_GENRES)
 # (column pruning and size statistics intact, lineage cut, and a lost
 # executor costs a re-read instead of a recompute). The cache lives for
 # one query invocation only, so every run pays for its own inputs.
-_STAGES: dict = {}
+_LOCAL = threading.local()
+
+
+def _stages() -> dict:
+    if not hasattr(_LOCAL, "stages"):
+        _LOCAL.stages = {}
+    return _LOCAL.stages
 
 
 def reset_stages() -> None:
-    _STAGES.clear()
+    _stages().clear()
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -35,9 +43,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def stage(key: tuple, build) -> DataFrame:
-    if key not in _STAGES:
-        _STAGES[key] = materialize(build(), key[0])
-    return _STAGES[key]
+    st = _stages()
+    if key not in st:
+        st[key] = materialize(build(), key[0])
+    return st[key]
 
 
 def hot_rows(spark: SparkSession, sf_dir: str, p: Params = PARAMS) -> int | None:
@@ -45,10 +54,11 @@ def hot_rows(spark: SparkSession, sf_dir: str, p: Params = PARAMS) -> int | None
     never has more interactions than ``lineitem`` has rows, and that count
     comes from Parquet footers without a scan."""
     key = ("_hot_rows", sf_dir, p)
-    if key not in _STAGES:
+    st = _stages()
+    if key not in st:
         n = tables.read_table(spark, sf_dir, "lineitem").count()
-        _STAGES[key] = p.hot_user_rows if n > p.hot_user_rows else None
-    return _STAGES[key]
+        st[key] = p.hot_user_rows if n > p.hot_user_rows else None
+    return st[key]
 
 
 def cold_start_ratings(spark: SparkSession, sf_dir: str, p: Params = PARAMS) -> DataFrame:
