@@ -67,3 +67,21 @@ def test_window_metadata_json_roundtrip(spark, sf_small, tmp_path):
     csv_io.write_json(stats, path)
     back = csv_io.read_json(spark, path, stats.schema)
     assert sorted(back.collect()) == sorted(stats.collect())
+
+
+def test_knn_scoring_ships_without_the_package(tmp_path):
+    """Python workers need not have recflow on their path: the cogroup
+    function must unpickle in a bare interpreter."""
+    import subprocess
+    import sys as _sys
+
+    from pyspark import cloudpickle
+    blob = cloudpickle.dumps(knn._score_block)
+    code = ("import pickle, sys; import pandas as pd; f = pickle.loads(sys.stdin.buffer.read()); "
+            "q = pd.DataFrame({'query_id': [1], 'vec': [[1.0, 0.0]], 'depth': [1], 'exclude_self': [False]}); "
+            "i = pd.DataFrame({'item_id': [5, 6], 'vec': [[0.0, 1.0], [1.0, 0.1]]}); "
+            "print(int(f(q, i).item_id.iloc[0]))")
+    out = subprocess.run([_sys.executable, "-c", code], input=blob, capture_output=True,
+                         cwd=str(tmp_path), env={"PATH": "/usr/bin:/bin"}, timeout=120)
+    assert out.returncode == 0, out.stderr.decode()[-500:]
+    assert out.stdout.decode().strip() == "6"
