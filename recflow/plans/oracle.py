@@ -345,11 +345,11 @@ nb AS (SELECT {kk}item_a AS item_id, item_b AS neighbor, sim FROM sims
        UNION ALL SELECT {kk}item_b, item_a, sim FROM sims),
 cand AS (SELECT {"".join(f"l.{c}, " for c in keys.split(",") if c) if keys else ""}l.user_id, nb.neighbor AS item_id,
                 sum(CAST(floor(nb.sim * 1e9 + 0.5) AS BIGINT)) AS eq,
-                sum(CAST(CAST(floor(nb.sim * 1e9 + 0.5) AS BIGINT) * CAST(floor(l.rating * 1e6 + 0.5) AS BIGINT)
-                         AS DECIMAL(38,0))) AS wq
+                sum((CAST(floor(nb.sim * 1e9 + 0.5) AS BIGINT) * CAST(floor(l.rating * 1e6 + 0.5) AS BIGINT)) >> 32) AS wh,
+                sum((CAST(floor(nb.sim * 1e9 + 0.5) AS BIGINT) * CAST(floor(l.rating * 1e6 + 0.5) AS BIGINT)) & 4294967295) AS wl
          FROM liked l JOIN nb USING ({kk}item_id)
          GROUP BY {"".join(f"l.{c}, " for c in keys.split(",") if c) if keys else ""}l.user_id, nb.neighbor),
-scored AS (SELECT c.*, CAST(c.wq AS DOUBLE) / (CAST(c.eq AS DOUBLE) * 1e6) AS score,
+scored AS (SELECT c.*, (CAST(c.wh AS DOUBLE) * 4294967296.0 + CAST(c.wl AS DOUBLE)) / (CAST(c.eq AS DOUBLE) * 1e6) AS score,
                   CAST(c.eq AS DOUBLE) / 1e9 AS evidence FROM cand c
            WHERE c.eq > 0 AND NOT EXISTS (
              SELECT 1 FROM ui WHERE {"".join(f"ui.{x} = c.{x} AND " for x in keys.split(",") if x) if keys else ""}ui.user_id = c.user_id AND ui.item_id = c.item_id)),
