@@ -172,26 +172,14 @@ def sample_trajectories(traj: DataFrame, n: int, seed: int) -> DataFrame:
             .orderBy("_h", "user_id", "rn").limit(n).drop("_h"))
 
 
-def index_trajectories(traj: DataFrame, index: DataFrame) -> DataFrame:
-    """Replace item ids by dense indexes (unknown -> -1) in state, action
-    and next state. Arrays are exploded with their positions, joined to
-    the (item_id, idx) table, and re-assembled in position order; each
-    group holds exactly 2K+1 entries."""
-    def tag(arr_id, pos, item):
-        return F.struct(F.lit(arr_id).alias("_arr"), pos.cast("int").alias("_pos"),
-                        item.alias("item_id"))
-    entries = F.concat(
-        F.transform("state_item_ids", lambda x, i: tag(0, i, x)),
-        F.array(tag(1, F.lit(0), F.col("action_item_id"))),
-        F.transform("next_state_item_ids", lambda x, i: tag(2, i, x)))
-    long = traj.select("user_id", "rn", F.inline(entries))
-    mapped = (long.join(index.select("item_id", "idx"), "item_id", "left")
-              .withColumn("idx", F.coalesce("idx", F.lit(-1).cast("bigint"))))
-    grouped = mapped.groupBy("user_id", "rn").agg(
-        F.array_sort(F.collect_list(F.when(F.col("_arr") == 0,
-                                           F.struct("_pos", "idx")))).alias("_s"),
-        F.max(F.when(F.col("_arr") == 1, F.col("idx"))).alias("action_idx"),
-        F.array_sort(F.collect_list(F.when(F.col("_arr") == 2,
-                                           F.struct("_pos", "idx")))).alias("_n"))
-    return grouped.select("user_id", "rn", F.col("_s.idx").alias("state_idx"),
-                          "action_idx", F.col("_n.idx").alias("next_state_idx"))
+def indexed_trajectories(ratings: DataFrame, index: DataFrame, state_size: int = 10,
+                         keys=(), hot_rows: int | None = None) -> DataFrame:
+    """Trajectories with item ids replaced by dense indexes (unknown -> -1)
+    in state, action and next state. The index is attached to each rating
+    before the window (one join of the rating rows with the item index),
+    and the frames carry it, so no array is exploded and regrouped."""
+    rated = (ratings.join(index.select("item_id", "idx"), "item_id", "left")
+             .withColumn("idx", F.coalesce(F.col("idx"), F.lit(-1).cast("bigint"))))
+    t = build_trajectories(rated, state_size, keys, carry=("idx",), hot_rows=hot_rows)
+    return t.select(*list(keys or ()), "user_id", "rn", "state_idx",
+                    F.col("action_idx"), "next_state_idx")

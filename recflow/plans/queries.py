@@ -201,7 +201,8 @@ def q_item_dense_index(spark, sf_dir):
 def q_traj_indexed(spark, sf_dir):
     """Trajectories with item ids replaced by dense indexes (-1 unknown)."""
     feats = features.item_features(tables.items(spark, sf_dir), C.ratings(spark, sf_dir), G)
-    return traj.index_trajectories(_traj(spark, sf_dir), recommend.dense_index(feats))
+    return traj.indexed_trajectories(C.train(spark, sf_dir), recommend.dense_index(feats),
+                                     P.state_size, hot_rows=C.hot_rows(spark, sf_dir))
 
 
 @query("item_content_vector")
