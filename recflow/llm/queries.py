@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from recflow.llm import mixing, quality_rules, sharding, url_filter
+from recflow.llm import (decontaminate, mixing, quality_rules, secret_scan, sharding,
+                         url_filter)
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
+    "op2_secret_scan": secret_scan.op2_secret_scan,
     "op3_mixing": mixing.op3_mixing,
+    "op7_decontamination": decontaminate.op7_decontamination,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_sharding": sharding.op10_sharding,
 }
 
 #: Only where SQL expresses the whole query; the others are tested against
 #: brute force in tests/llm.
-ORACLE = {"op1_url_filter": url_filter.ORACLE}
+ORACLE = {"op1_url_filter": url_filter.ORACLE, "op7_decontamination": decontaminate.ORACLE}
