@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from recflow.llm import (decontaminate, mixing, quality_rules, secret_scan, sharding,
-                         url_filter)
+from recflow.llm import (decontaminate, mixing, ngram_join, quality_rules, secret_scan,
+                         sentence_spans, sharding, toxicity, url_filter)
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
     "op2_secret_scan": secret_scan.op2_secret_scan,
     "op3_mixing": mixing.op3_mixing,
+    "op4_toxicity": toxicity.op4_toxicity,
+    "op5_sentence_spans": sentence_spans.op5_sentence_spans,
+    "op6_ngram_jaccard_join": ngram_join.op6_ngram_jaccard_join,
     "op7_decontamination": decontaminate.op7_decontamination,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_sharding": sharding.op10_sharding,

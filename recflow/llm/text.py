@@ -39,8 +39,11 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_SEPARATOR = np.zeros(256, dtype=bool)
-_SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: Bytes between words: white space, or everything in ASCII but letters and digits.
+SPACE = np.zeros(256, dtype=bool)
+SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+PUNCTUATION = np.ones(256, dtype=bool)
+PUNCTUATION[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _cache: dict[str, np.ndarray] = {}
@@ -64,9 +67,10 @@ def buffer_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0]:off[-1]], off - off[0]
 
 
-def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: pa.Array, separators: np.ndarray = SPACE,
+                last: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words (A-Z folded) and, per text, where its words begin
-    (length: number of texts plus one)."""
+    (length: number of texts plus one). ``last`` gets the words' last bytes."""
     raw, off = buffer_of(texts)
     out, starts_at = [], []
     begins = np.unique(off[:-1])
@@ -74,11 +78,11 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     while lo < len(raw):
         hi = min(lo + PIECE, len(raw))
         if hi < len(raw):  # cut at the last separator or text border; else let the word run on
-            cut = np.flatnonzero(_SEPARATOR[raw[lo:hi]])
+            cut = np.flatnonzero(separators[raw[lo:hi]])
             border = begins[(begins > lo) & (begins <= hi)]
             best = max(lo + cut[-1] + 1 if len(cut) else lo, border[-1] if len(border) else lo)
             while best == lo:
-                nxt = np.flatnonzero(_SEPARATOR[raw[hi:hi + PIECE]])
+                nxt = np.flatnonzero(separators[raw[hi:hi + PIECE]])
                 border = begins[(begins > hi) & (begins <= hi + PIECE)]
                 ends = [hi + nxt[0] + 1] if len(nxt) else []
                 ends += [border[0]] if len(border) else []
@@ -87,7 +91,7 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
                 hi = min(hi + PIECE, len(raw))
             hi = int(best)
         piece = _FOLD[raw[lo:hi]]
-        solid = ~_SEPARATOR[piece]
+        solid = ~separators[piece]
         edge = np.zeros(hi - lo + 1, dtype=bool)
         edge[begins[(begins >= lo) & (begins < hi)] - lo] = True
         edge[0] = edge[-1] = True
@@ -100,6 +104,8 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * up[:hi - lo], out=sums[1:])
         out.append(mix64((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64) * _MIX2))
         starts_at.append(s + lo)
+        if last is not None:
+            last.append(piece[e - 1])
         lo = hi
     hashes = np.concatenate(out) if out else np.zeros(0, np.uint64)
     at = np.concatenate(starts_at) if starts_at else np.zeros(0, np.int64)
