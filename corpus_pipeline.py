@@ -1,13 +1,53 @@
-"""Training-data pipeline over ``documents``: quality rules, near-duplicate
-removal, benchmark decontamination, mixing to target weights, sharding."""
+"""Training-data pipeline over ``documents``.
+
+Quality rules drop rejected documents, the n-gram Jaccard join keeps one
+document of each near-duplicate group, documents with a benchmark passage go,
+sources are mixed to their target weights (a document comes as often as the mix
+takes it), and the rest is dealt into shards of exact sizes. Every stage reads
+what its predecessor wrote.
+
+Rows: null and empty texts are rejected by the quality rules; an empty table
+passes through; extra columns are kept by every stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from recflow.llm import decontaminate, mixing, ngram_join, quality_rules, sharding
 from recflow.llm.common import stored, table
 
-STAGES: list = []
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_rules.filter_quality(docs)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return ngram_join.one_per_component(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.repeat_taken(docs)
+
+
+def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("ngram_jaccard_join", near_duplicate_stage),
+    ("benchmark_decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
+    ("sharding", sharding_stage),
+]
+
+#: Components of the join and sketch-based limits are beyond plain SQL; the
+#: pipeline is tested against a brute-force version in tests/llm.
 ORACLE_SQL = None
 
 

@@ -126,6 +126,17 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = 1.0,
             .drop("_key", "_digits", "whole", "threshold", "closed"))
 
 
+def repeat_taken(docs: DataFrame, **kw) -> DataFrame:
+    """Every document as many times as the mix takes it, columns as given."""
+    renamed = {c: f"in_{c}" for c in docs.columns
+               if c in ("size", "source_size", "target", "taken", "whole", "threshold", "closed")}
+    mixed = mix(docs.withColumnsRenamed(renamed), **kw)
+    times = F.expr("cast(if(size > 0, taken div size, 0) as int)")
+    return (mixed.withColumn("taken", times).where("taken > 0")
+            .withColumn("taken", F.explode(F.sequence(F.lit(1), F.col("taken"))))
+            .select(*[F.col(f"`{renamed.get(c, c)}`").alias(c) for c in docs.columns]))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")

@@ -354,22 +354,21 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """Of every component the row with the smallest id (then text hash) stays;
     of rows equal in both the smallest by its other columns. Empty texts link
     with nothing and all stay."""
-    i, key, row = fresh(docs, "i", "key", "row")
+    i, key, rows = fresh(docs, "i", "key", "rows")
     found = link(docs, id_col, text_col, k)
-    linked = found.where("n_shingles > 0")
-    first = linked.groupBy("component_id").agg(F.min(F.struct(
-        F.col("id").isNull(), "id", "key")).alias("f")).select(
-        F.col("f.id").alias(i), F.col("f.key").alias(key), F.lit(False).alias("many"))
-    empty = found.where("n_shingles = 0").select(
-        F.col("id").alias(i), F.col("key").alias(key), F.lit(True).alias("many")).distinct()
-    stay = docs.join(first.union(empty).withColumnRenamed("many", row),
-                     F.col(id_col).eqNullSafe(F.col(i))
+    # one row of (id, text hash) per component; rows tells how many rows are equal in both
+    texts = found.groupBy("id", "key").agg(
+        F.first("component_id").alias("c"), F.max("n_shingles").alias("n"),
+        F.count(F.lit(1)).alias("rows"))
+    first = texts.where("n > 0").groupBy("c").agg(F.min(F.struct(
+        F.col("id").isNull(), "id", "key", "rows")).alias("f")).select("f.id", "f.key", "f.rows")
+    empty = texts.where("n = 0").select("id", "key", F.lit(1).cast("long").alias("rows"))
+    stay = docs.join(first.union(empty).toDF(i, key, rows), F.col(id_col).eqNullSafe(F.col(i))
                      & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(key)))
-    # equal id and text: one row, unless the text is empty
-    alone = F.when(F.col(row), F.monotonically_increasing_id()).otherwise(F.lit(-1))
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    return (stay.select(i, key, alone.alias(row), whole.alias("w"))
-            .groupBy(i, key, row).agg(F.min("w").alias("w")).select("w.*"))
+    again = (stay.where(F.col(rows) > 1).select(i, key, whole.alias(rows))
+             .groupBy(i, key).agg(F.min(rows).alias(rows)).select(f"{rows}.*"))
+    return stay.where(F.col(rows) == 1).drop(i, key, rows).unionByName(again)
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -119,19 +119,37 @@ def learned_limits(measured: DataFrame, lang_col: str, source_col: str) -> DataF
         f"own_{r}", f"lang_{r}", f"all_{r}").alias(f"limit_{r}") for r in RATIOS])
 
 
+def _judged(measured: DataFrame, lang_col: str, source_col: str) -> DataFrame:
+    """``measured`` with kept."""
+    lang, source = fresh(measured, "g_lang", "g_source")
+    limits = learned_limits(measured, lang_col, source_col).withColumnsRenamed(
+        {"g_lang": lang, "g_source": source})
+    within = F.lit(True)
+    for r in RATIOS:
+        within = within & (F.col(r) <= F.coalesce(F.col(f"limit_{r}"), F.lit(float("inf"))))
+    return (measured.join(limits, F.col(lang_col).eqNullSafe(F.col(lang))
+                          & F.col(source_col).eqNullSafe(F.col(source)), "left")
+            .withColumn("kept", ~F.col("base_failed") & within)
+            .drop(lang, source, *[f"limit_{r}" for r in RATIOS]))
+
+
 def judge_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                   source_col: str = "source", id_col: str = "doc_id") -> DataFrame:
     """Counts, base_failed and kept of every document, without its text."""
     measured = stored(measures(docs, text_col).select(
         id_col, lang_col, source_col, *[c for c in OUTPUTS if c != "kept"]), "quality-measures")
-    limits = learned_limits(measured, lang_col, source_col)
-    within = F.lit(True)
-    for r in RATIOS:
-        within = within & (F.col(r) <= F.coalesce(F.col(f"limit_{r}"), F.lit(float("inf"))))
-    return (measured.join(limits, F.col(lang_col).eqNullSafe(F.col("g_lang"))
-                          & F.col(source_col).eqNullSafe(F.col("g_source")), "left")
-            .withColumn("kept", ~F.col("base_failed") & within)
-            .drop("g_lang", "g_source", *[f"limit_{r}" for r in RATIOS]))
+    return _judged(measured, lang_col, source_col)
+
+
+def filter_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
+                   source_col: str = "source") -> DataFrame:
+    """The documents that are kept, columns as given."""
+    clash = fresh(docs.select(*[c for c in docs.columns if c in OUTPUTS]), *[
+        f"in_{c}" for c in docs.columns if c in OUTPUTS])
+    renamed = dict(zip([c for c in docs.columns if c in OUTPUTS], clash))
+    measured = stored(measures(docs.withColumnsRenamed(renamed), text_col), "quality-documents")
+    kept = _judged(measured, lang_col, source_col).where("kept")
+    return kept.select(*[F.col(f"`{renamed.get(c, c)}`").alias(c) for c in docs.columns])
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

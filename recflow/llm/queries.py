@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from recflow.llm import (decontaminate, mixing, ngram_join, quality_rules, secret_scan,
-                         sentence_spans, sharding, toxicity, url_filter)
+from recflow.llm import (decontaminate, maxent_lm, mixing, ngram_join, quality_rules,
+                         secret_scan, sentence_spans, sharding, toxicity, url_filter)
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -13,6 +13,7 @@ QUERIES = {
     "op5_sentence_spans": sentence_spans.op5_sentence_spans,
     "op6_ngram_jaccard_join": ngram_join.op6_ngram_jaccard_join,
     "op7_decontamination": decontaminate.op7_decontamination,
+    "op8_maxent_lm": maxent_lm.op8_maxent_lm,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_sharding": sharding.op10_sharding,
 }

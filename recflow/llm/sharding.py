@@ -12,7 +12,8 @@ second count, and no task ever holds a whole shard.
 The driver holds the counts and the matrix only: partitions x shards x
 blocks_per_shard numbers, fixed by parameters and not by the data. Everything
 else is DataFrame work. The permutations order by seeded hashes of the key
-columns; rows equal in all of them are interchangeable, so reruns agree.
+columns (all columns by default); rows equal in all of them are interchangeable,
+so reruns agree.
 
 Defined results: nulls are hashed like values; an empty table gives no rows;
 fewer rows than shards leave some shards empty; repeated rows are rows of
@@ -58,10 +59,11 @@ def shard_rows(df: DataFrame, shards: int = SHARDS, key_cols: list[str] | None =
     df = df.drop("shard", "slot")
     keys = [F.col(f"`{c}`") for c in (key_cols or df.columns)]
     part, run, cuts, block, begin = fresh(df, "part", "run", "cuts", "block", "begin")
-    order1, order2 = fresh(df, "order1", "order2")
+    order1, order2, tie = fresh(df, "order1", "order2", "tie")
     tagged = (df.withColumn(part, F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(partitions)).cast("int"))
               .withColumn(order1, F.xxhash64(F.lit(seed + 1), *keys))
-              .withColumn(order2, F.xxhash64(F.lit(seed + 2), *keys)))
+              .withColumn(order2, F.xxhash64(F.lit(seed + 2), *keys))
+              .withColumn(tie, F.xxhash64(F.lit(seed + 3), *keys)))
     counts = dict(tagged.groupBy(part).count().collect())  # at most ``partitions`` rows
     per_part = [counts.get(i, 0) for i in range(partitions)]
     shard_sizes = exact_sizes(sum(per_part), shards)
@@ -73,18 +75,18 @@ def shard_rows(df: DataFrame, shards: int = SHARDS, key_cols: list[str] | None =
                                  f"{part} int, {cuts} array<bigint>")
     offsets = spark.createDataFrame(list(enumerate(starts)), f"{block} int, {begin} bigint")
     # permute inside the partition, cut into runs
-    local = Window.partitionBy(part).orderBy(order1, *keys)
+    local = Window.partitionBy(part).orderBy(order1, tie)
     sent = (tagged.withColumn(run, F.row_number().over(local))
             .join(F.broadcast(ends), part)
             .withColumn(block, F.size(F.filter(F.col(cuts), lambda c: c < F.col(run))))
             .drop(cuts, run, part, order1))
     # exchange, permute inside the block
-    inside = Window.partitionBy(block).orderBy(order2, *keys)
+    inside = Window.partitionBy(block).orderBy(order2, tie)
     return (sent.withColumn(run, F.row_number().over(inside))
             .join(F.broadcast(offsets), block)
             .withColumn("shard", F.floor(F.col(block) / F.lit(blocks_per_shard)).cast("int"))
             .withColumn("slot", (F.col(begin) + F.col(run) - 1).cast("bigint"))
-            .drop(block, begin, run, order2))
+            .drop(block, begin, run, order2, tie))
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
