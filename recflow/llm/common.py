@@ -39,8 +39,7 @@ def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path) if not partition_by \
-        else df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fresh(df: DataFrame, *wanted: str) -> list[str]:

@@ -281,7 +281,7 @@ def log_probability(ids: list[bytes], w: Weights, vocab: dict) -> np.ndarray:
     return out
 
 
-def _sum_pieces(key, pdf: pd.DataFrame) -> pd.DataFrame:
+def _sum_pieces(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     sums = {c: np.sum([np.frombuffer(x, np.float32) for x in pdf[c]], axis=0, dtype=np.float64)
             for c in ("expected", "seen")}
     return pd.DataFrame({"name": [key[0]], "piece": [key[1]],

@@ -159,7 +159,7 @@ def _pack(docs: DataFrame, common: np.ndarray, buckets: int, k: int) -> DataFram
         work, "bucket int, cids binary, counts binary, hashes binary")
 
 
-def _answer(key, pdf: pd.DataFrame) -> pd.DataFrame:
+def _answer(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     """One bucket: for every class its shingles that other classes have too."""
     cids = np.frombuffer(b"".join(pdf["cids"]), np.int64)
     counts = np.frombuffer(b"".join(pdf["counts"]), np.uint32)
