@@ -16,7 +16,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from recflow.plans.queries import QUERIES  # noqa: E402
-from recflow.session import build_session  # noqa: E402
+from recflow.session import build_session, released  # noqa: E402
 
 HEADLINE = ["traj_build", "cf_similarity", "cf_recommend", "ope_summary", "eval_ranking",
             "backtest_curve"]
@@ -34,10 +34,11 @@ def main() -> None:
         fn = QUERIES[name]
         samples = []
         for i in range(runs + 1):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i > 0:
-                samples.append(time.perf_counter() - t0)
+            with released(spark):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                if i > 0:
+                    samples.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(samples), 3)
     spark.stop()
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")

@@ -17,9 +17,9 @@ def global_row_number(df: DataFrame, order_cols: list, name: str = "pos",
     a total order.
 
     Range bounds come from a sample, and the counts and the positions are
-    two branches of the plan. The tagged rows are therefore checkpointed
-    once (reliable, in ``spark.checkpoint.dir``), so both branches see the
-    same partition ids however often a stage is recomputed.
+    two branches of the plan. The tagged rows are therefore written once to
+    the shared folder, so both branches see the same partition ids however
+    often a stage is recomputed.
     """
     ranged = tag_range_partitions(df, order_cols, num_partitions)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -38,16 +38,15 @@ def tag_range_partitions(df: DataFrame, order_cols: list,
                          num_partitions: int | None = None) -> DataFrame:
     """Rows range-partitioned and sorted on ``order_cols`` with their
     partition id (_pid) and a per-partition increasing id (_mid), written
-    once by a reliable checkpoint."""
-    from recflow.session import checkpoint_dir
+    once to the shared folder."""
+    from recflow.session import materialize
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order_cols)
               .sortWithinPartitions(*order_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
-    checkpoint_dir(spark)
-    return ranged.checkpoint(eager=True)
+    return materialize(ranged, "ranged")
 
 
 def keyed_row_number(df: DataFrame, keys: list, order_cols: list,

@@ -78,9 +78,8 @@ def estimates(logged: DataFrame, clip: float = 10.0) -> DataFrame:
 
 def top_k_uniform_policy(train: DataFrame, k: int) -> DataFrame:
     """(item_id, pi_e): uniform over the k most rated train items."""
-    from recflow.operators.recommend import popularity_ranking
-    return (popularity_ranking(train).filter(F.col("list_rank") <= k)
-            .select("item_id", F.lit(1.0 / k).alias("pi_e")))
+    from recflow.operators.recommend import top_candidates
+    return top_candidates(train, k).select("item_id", F.lit(1.0 / k).alias("pi_e"))
 
 
 def policy_estimates(train: DataFrame, logged: DataFrame, target: DataFrame,

@@ -63,30 +63,27 @@ def q_values(model: DataFrame, gamma: float = 0.99, tau: float = 0.0, iterations
              checkpoint_every: int = 5) -> DataFrame:
     """Fitted tabular Q iteration on the transition model, never terminal:
     Q0 = 0; Q(t+1)(s, a) = rbar(s, a) + gamma sum_s' P(s'|s, a) max_{a' allowed in s'} Qt(s', a').
-    Lineage is cut with a reliable ``checkpoint`` (the session's
-    ``spark.checkpoint.dir``) every ``checkpoint_every`` iterations."""
-    from recflow.session import checkpoint_dir
+    Lineage is cut by writing Q to the shared folder every ``checkpoint_every`` iterations."""
+    from recflow.session import materialize
     sa = model.groupBy("state", "action").agg(F.sum("n").alias("n_sa"),
                                               F.sum("reward_sum").alias("_rs"))
     sa = sa.select("state", "action", "n_sa", (F.col("_rs") / F.col("n_sa")).alias("rbar"))
     sas = (model.join(sa.select("state", "action", "n_sa"), ["state", "action"])
            .select("state", "action", "next_state", (F.col("n") / F.col("n_sa")).alias("p")))
-    # every table below is bounded by the category vocabulary (|S| x |A|
-    # or |S|^2 x |A| rows), not by the data, so broadcasting it is safe
-    allowed = F.broadcast(allowed_actions(behaviour_policy(model), tau))
+    # every table below has at most |S|^2 x |A| rows; AQE picks the joins
+    allowed = allowed_actions(behaviour_policy(model), tau)
     q = sa.select("state", "action", F.lit(0.0).alias("q"))
     for t in range(iterations):
         v = (q.join(allowed, ["state", "action"]).groupBy("state").agg(F.max("q").alias("v"))
              .select(F.col("state").alias("next_state"), "v"))
-        ev = (sas.join(F.broadcast(v), "next_state", "left")
+        ev = (sas.join(v, "next_state", "left")
               .groupBy("state", "action")
               .agg(F.sum(F.col("p") * F.coalesce(F.col("v"), F.lit(0.0))).alias("ev")))
-        q = (sa.join(F.broadcast(ev), ["state", "action"], "left")
+        q = (sa.join(ev, ["state", "action"], "left")
              .select("state", "action",
                      (F.col("rbar") + F.lit(gamma) * F.coalesce("ev", F.lit(0.0))).alias("q")))
         if checkpoint_every and (t + 1) % checkpoint_every == 0 and t + 1 < iterations:
-            checkpoint_dir(model.sparkSession)
-            q = q.checkpoint(eager=True)
+            q = materialize(q, "q-values")
     return q
 
 

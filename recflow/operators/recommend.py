@@ -3,7 +3,7 @@ dense item index and item content vectors."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recflow import params as P
@@ -19,6 +19,12 @@ def dense_index(item_ids: DataFrame) -> DataFrame:
             .select("item_id", (F.col("idx") - F.lit(1)).cast("bigint").alias("idx")))
 
 
+def from_index(indexed: DataFrame, index: DataFrame) -> DataFrame:
+    """Inverse of the dense index: rows with ``idx`` get their item_id back
+    (null for -1 and other unknown indexes)."""
+    return indexed.join(index.select("idx", "item_id"), "idx", "left")
+
+
 def popularity_ranking(train: DataFrame, keys=()) -> DataFrame:
     """(keys, item_id, n, list_rank): items by row count desc, item asc."""
     k = list(keys or ())
@@ -36,9 +42,18 @@ def random_ranking(train: DataFrame, seed: int, keys=()) -> DataFrame:
 
 
 def top_candidates(train: DataFrame, n: int) -> DataFrame:
-    """The n most rated items (rank <= n of the popularity ranking)."""
-    return popularity_ranking(train).filter(F.col("list_rank") <= n) \
-        .select("item_id", F.col("n").alias("rating_count"), F.col("list_rank").alias("rank"))
+    """The n most rated items. A top-n keeps n rows per task; only those n
+    rows are numbered."""
+    counts = train.groupBy("item_id").agg(F.count(F.lit(1)).alias("rating_count"))
+    order = [F.col("rating_count").desc(), F.col("item_id").asc()]
+    return counts.orderBy(*order).limit(n).select(
+        "item_id", "rating_count",
+        F.row_number().over(Window.orderBy(*order)).cast("bigint").alias("rank"))
+
+
+#: Copies of a ranked list: users are spread over them, so the first ranks,
+#: which every user asks for, are not one join key for all users.
+LIST_COPIES = 32
 
 
 def recommend_from_ranking(ranking: DataFrame, users: DataFrame, seen: DataFrame | None,
@@ -48,8 +63,10 @@ def recommend_from_ranking(ranking: DataFrame, users: DataFrame, seen: DataFrame
 
     A user with s seen items needs at most the first k + s list entries,
     so each user emits exactly k + s rank probes (linear in the data),
-    equi-joined to the ranking on (keys, list_rank); seen items are
-    removed with an anti join and a window group limit keeps k.
+    equi-joined to the ranking on (keys, list_rank, copy): the list (one row
+    per item) is copied ``LIST_COPIES`` times and a user reads one copy, so
+    the first ranks are spread; AQE splits what is still uneven. Seen items
+    are removed with an anti join and a window group limit keeps k.
     """
     kk = list(keys or ())
     users = users.select(*kk, "user_id").distinct()
@@ -61,12 +78,14 @@ def recommend_from_ranking(ranking: DataFrame, users: DataFrame, seen: DataFrame
     else:
         depth = F.lit(k)
     probes = users.select(*kk, "user_id",
+                          F.pmod(F.xxhash64("user_id"), F.lit(LIST_COPIES)).cast("int").alias("_copy"),
                           F.explode(F.sequence(F.lit(1).cast("bigint"),
                                                depth.cast("bigint"))).alias("list_rank"))
-    cand = probes.join(ranking.select(*kk, "item_id", "list_rank"), [*kk, "list_rank"])
+    copies = ranking.select(*kk, "item_id", "list_rank", F.explode(
+        F.sequence(F.lit(0), F.lit(LIST_COPIES - 1))).alias("_copy"))
+    cand = probes.join(copies, [*kk, "list_rank", "_copy"]).drop("_copy")
     if seen is not None:
         cand = cand.join(s, [*kk, "user_id", "item_id"], "left_anti")
-    from pyspark.sql import Window
     w = Window.partitionBy(*kk, "user_id").orderBy("list_rank")
     return (cand.withColumn("rank", F.row_number().over(w))
             .filter(F.col("rank") <= k)

@@ -1,109 +1,56 @@
-"""Per-key ordered sequences that stay correct and balanced when one key
-holds a large share of all rows.
+"""Per-key ordered sequences that stay balanced when one key holds a large
+share of all rows. One plan at every size.
 
-Keys with more than ``hot_rows`` rows are "hot". Their set is bounded by
-N / hot_rows, so it is collected and broadcast safely. Normal keys use a
-plain window (one exchange on the key). Hot keys are numbered without a
-per-key window:
+Numbering: rows are range-partitioned on (key, order), so a large key is cut
+across partitions; the partition id is written with the rows. A row's number
+is its position inside its (key, partition) plus the rows of the key in
+earlier partitions. No window holds more than one range partition.
 
-1. range-partition the hot rows on (key, order) into partitions of about
-   ``hot_rows`` rows (Spark samples the composite key, so one key is cut
-   across many partitions) and sort inside each partition;
-2. count the rows of every (key, partition) and prefix-sum those counts
-   per key (a table of at most #hot keys + #partitions rows);
-3. rn = offset of the (key, partition) + position inside the partition.
-
-Sliding frames over hot keys then run in blocks of ``hot_rows``
-consecutive row numbers, each block carrying the previous K rows as a
-halo, so every window task holds one block."""
+Frames: once rows are numbered, a sliding frame of the last K rows runs in
+blocks of ``block_rows`` consecutive numbers; a block also receives the K rows
+before it. A key with fewer rows is simply one block."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from recflow.functions.columns import EVENT_ORDER
+from recflow.session import materialize
 
-
-def hot_keys(df: DataFrame, keys: list, hot_rows: int | None) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows as a small DataFrame
-    (keys..., _n), or None when there are none (the common case, which
-    then plans exactly like a plain window)."""
-    if not hot_rows:
-        return None
-    rows = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") > hot_rows).collect())
-    if not rows:
-        return None
-    fields = [f for f in df.schema.fields if f.name in keys]
-    fields = sorted(fields, key=lambda f: keys.index(f.name))
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields]
-                          + [T.StructField("_n", T.LongType())])
-    return df.sparkSession.createDataFrame([tuple(r) for r in rows], schema)
-
-
-def split_by_hot(df: DataFrame, keys: list, hot: DataFrame):
-    """(normal rows, hot rows with _n). The hot table has a proven bound
-    (N / hot_rows rows), so both joins broadcast it."""
-    normal = df.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    hot_rows = df.join(F.broadcast(hot), keys, "inner")
-    return normal, hot_rows
+BLOCK_ROWS = 65_536
 
 
-def range_numbered(rows: DataFrame, keys: list, order=EVENT_ORDER, total: int = 0,
-                   rows_per_part: int = 1_000_000) -> DataFrame:
-    """rn per key for the hot rows, without a window per key."""
-    from recflow.functions.ordering import tag_range_partitions
-    n_parts = max(1, math.ceil(total / max(1, rows_per_part)))
-    # partition ids come from sampled range bounds; checkpointing the tagged
-    # rows makes the offsets and the positions read the same ids
-    ranged = tag_range_partitions(rows, [*keys, *order], n_parts)
-    parts = ranged.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_c"),
-                                             F.min("_mid").alias("_m0"))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("_off", F.coalesce(F.sum("_c").over(before), F.lit(0)))
-    # (hot keys + partitions) rows: bounded, so broadcast
-    return (ranged.join(F.broadcast(parts.select(*keys, "_pid", "_m0", "_off")), [*keys, "_pid"])
-            .withColumn("rn", (F.col("_off") + F.col("_mid") - F.col("_m0") + F.lit(1))
-                        .cast("bigint"))
-            .drop("_pid", "_mid", "_m0", "_off"))
-
-
-def numbered(df: DataFrame, keys: list, order=EVENT_ORDER, hot_rows: int | None = None) -> DataFrame:
+def numbered(df: DataFrame, keys: list, order=EVENT_ORDER,
+             num_partitions: int | None = None) -> DataFrame:
     """Adds rn (1-based position in ``order`` within the key) and n (rows
-    of the key); hot keys take the range-numbered path."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-
-    def plain(x):
-        return (x.withColumn("rn", F.row_number().over(w).cast("bigint"))
-                .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*keys))))
-    hot = hot_keys(df, keys, hot_rows)
-    if hot is None:
-        return plain(df)
-    normal, hrows = split_by_hot(df, keys, hot)
-    total = hot.agg(F.sum("_n")).first()[0]
-    hn = range_numbered(hrows, keys, order, total, hot_rows).withColumnRenamed("_n", "n")
-    pn = plain(normal)
-    return pn.unionByName(hn.select(*pn.columns))
-
-
-def blocked_frames(numbered_rows: DataFrame, keys: list, frames: dict, block_rows: int,
-                   halo: int) -> DataFrame:
-    """Evaluate window frames over rn for hot keys in blocks of
-    ``block_rows`` row numbers; each block also receives the ``halo``
-    rows before it, which are dropped after the frames are computed.
-    ``frames`` maps an output name to a function(window spec) -> Column."""
-    B = max(block_rows, halo + 1)
-    blk = F.floor((F.col("rn") - 1) / F.lit(B)).cast("bigint")
-    in_halo = F.pmod(F.col("rn") - 1, F.lit(B)) >= F.lit(B - halo)
-    copies = F.when(in_halo, F.array(F.struct(blk.alias("_b"), F.lit(0).alias("_h")),
-                                     F.struct((blk + 1).alias("_b"), F.lit(1).alias("_h")))) \
-        .otherwise(F.array(F.struct(blk.alias("_b"), F.lit(0).alias("_h"))))
-    x = numbered_rows.select("*", F.inline(copies))
-    w = Window.partitionBy(*keys, "_b").orderBy("rn")
-    for name, fn in frames.items():
-        x = x.withColumn(name, fn(w))
-    return x.filter(F.col("_h") == 0).drop("_b", "_h")
+    of the key)."""
+    parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(df.repartitionByRange(parts, *keys, *order)
+                         .withColumn("_pid", F.spark_partition_id()), "sequence")
+    per_key = Window.partitionBy(*keys)
+    before = per_key.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per key and partition: at most keys + partitions rows
+    offsets = ranged.groupBy(*keys, "_pid").agg(F.count(F.lit(1)).alias("_c")).select(
+        *keys, "_pid", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_off"),
+        F.sum("_c").over(per_key).alias("n"))
+    local = F.row_number().over(Window.partitionBy(*keys, "_pid").orderBy(*order))
+    return (ranged.withColumn("_pos", local).join(offsets, [*keys, "_pid"])
+            .select(*df.columns, (F.col("_off") + F.col("_pos")).cast("bigint").alias("rn"),
+                    F.col("n").cast("bigint").alias("n")))
+
+
+def blocked_frame(rows: DataFrame, keys: list, value, size: int, name: str,
+                  block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Adds the array ``name`` of ``value`` over the last ``size`` rows by rn
+    (the current one included)."""
+    halo = size - 1
+    block = max(block_rows, size)
+    own = F.floor((F.col("rn") - 1) / F.lit(block)).cast("bigint")
+    last = F.pmod(F.col("rn") - 1, F.lit(block)) >= F.lit(block - halo)
+    copies = F.when(last, F.array(F.struct(own.alias("_b"), F.lit(False).alias("_h")),
+                                  F.struct((own + 1).alias("_b"), F.lit(True).alias("_h")))) \
+        .otherwise(F.array(F.struct(own.alias("_b"), F.lit(False).alias("_h"))))
+    w = Window.partitionBy(*keys, "_b").orderBy("rn").rowsBetween(-halo, 0)
+    return (rows.select("*", F.inline(copies)).withColumn(name, F.collect_list(value).over(w))
+            .filter(~F.col("_h")).drop("_b", "_h"))

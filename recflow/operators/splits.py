@@ -3,10 +3,10 @@ expanding-window backtest rounds."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recflow.functions.columns import EVENT_ORDER
+from recflow.operators.sequence import numbered
 
 
 def _keys(keys) -> list:
@@ -35,26 +35,27 @@ def cold_start(ratings: DataFrame, min_item: int = 5, min_user: int = 10,
     return df
 
 
-def user_window(keys=()) -> Window:
-    return Window.partitionBy(*_keys(keys), "user_id").orderBy(*EVENT_ORDER)
-
-
-def sequence_numbered(ratings: DataFrame, keys=(), hot_rows: int | None = None) -> DataFrame:
+def sequence_numbered(ratings: DataFrame, keys=()) -> DataFrame:
     """rn = 1.. per user in (ts, item_id, rating) order."""
-    from recflow.operators.sequence import numbered
-    return numbered(ratings, [*_keys(keys), "user_id"], EVENT_ORDER, hot_rows).drop("n")
+    return numbered(ratings, [*_keys(keys), "user_id"]).drop("n")
 
 
 def temporal_split(ratings: DataFrame, ratio: float = 0.8, keys=(),
-                   hot_rows: int | None = None) -> DataFrame:
+                   keep_order: bool = False) -> DataFrame:
     """Adds ``part``: 'train' for the first rn <= n * ratio rows of each user
-    (n = the user's row count), 'test' for the rest. One exchange on user;
-    users above ``hot_rows`` rows are numbered without a per-user window."""
-    from recflow.operators.sequence import numbered
-    df = numbered(ratings, [*_keys(keys), "user_id"], EVENT_ORDER, hot_rows)
-    is_train = F.col("rn") <= F.col("n") * F.lit(float(ratio))
-    return (df.withColumn("part", F.when(is_train, F.lit("train")).otherwise(F.lit("test")))
-            .drop("rn", "n"))
+    (n = the user's row count), 'test' for the rest. ``keep_order`` also
+    returns the row's number inside the user's part (rn) and the part's rows
+    (n), so later sequences need not number again."""
+    df = numbered(ratings, [*_keys(keys), "user_id"])
+    share = F.col("n") * F.lit(float(ratio))
+    is_train = F.col("rn") <= share
+    df = df.withColumn("part", F.when(is_train, F.lit("train")).otherwise(F.lit("test")))
+    if not keep_order:
+        return df.drop("rn", "n")
+    first = F.floor(share).cast("bigint")
+    return df.select(*ratings.columns, "part",
+                     F.when(is_train, F.col("rn")).otherwise(F.col("rn") - first).alias("rn"),
+                     F.when(is_train, first).otherwise(F.col("n") - first).alias("n"))
 
 
 def train_part(split: DataFrame) -> DataFrame:

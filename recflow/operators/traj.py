@@ -8,70 +8,36 @@ from pyspark.sql import functions as F
 
 from recflow.functions.columns import EVENT_ORDER, md5_key, normalized_reward
 from recflow.operators import sequence
-from recflow.operators.splits import user_window
+from recflow.session import materialize
 
 
-def build_trajectories(ratings: DataFrame, state_size: int = 10, keys=(),
-                       carry=(), hot_rows: int | None = None) -> DataFrame:
+def build_trajectories(ratings: DataFrame, state_size: int = 10, keys=(), carry=(),
+                       block_rows: int = sequence.BLOCK_ROWS) -> DataFrame:
     """One row per rating that has K earlier ratings of the same user.
 
     state = the K previous (item, rating) pairs, action = current item,
     reward = current rating, next_state = the last K pairs including the
-    current one. For ordinary users row number, user count and both
-    frames share one exchange and one sort on (keys, user_id); frame
-    memory is O(K). Users with more than ``hot_rows`` rows are numbered
-    by range partitions and framed in row-number blocks with a K-row
-    halo (``recflow.operators.sequence``), so no task holds a whole hot
-    user. ``carry`` names extra per-rating columns kept inside the state
-    structs (returned as ``state_<col>`` / ``next_state_<col>`` arrays).
+    current one: both are slices of one frame of K + 1 rows. Rows that
+    already carry their number (rn, n) are not numbered again. A user of any
+    size is cut into blocks, so no task holds a whole user. ``carry`` names
+    extra per-rating columns kept inside the state structs (returned as
+    ``state_<col>`` / ``next_state_<col>`` arrays).
     """
     K = state_size
-    k = list(keys or ())
-    part = [*k, "user_id"]
-    fields = [F.col("item_id"), F.col("rating"), *[F.col(c) for c in carry]]
-    pair = F.struct(*fields)
-    frames = {"_state": lambda w: F.collect_list(pair).over(w.rowsBetween(-K, -1)),
-              "_next": lambda w: F.collect_list(pair).over(w.rowsBetween(-(K - 1), 0))}
-
-    def plain(df):
-        w = user_window(keys)
-        seq = (df.withColumn("rn", F.row_number().over(w))
-               .withColumn("total_ratings",
-                           F.count(F.lit(1)).over(Window.partitionBy(*part))))
-        for name, fn in frames.items():
-            seq = seq.withColumn(name, fn(w))
-        return seq
-
-    hot = sequence.hot_keys(ratings, part, hot_rows)
-    if hot is None:
-        seq = plain(ratings)
-    else:
-        normal, hrows = sequence.split_by_hot(ratings, part, hot)
-        total = hot.agg(F.sum("_n")).first()[0]
-        hn = (sequence.range_numbered(hrows, part, EVENT_ORDER, total, hot_rows)
-              .withColumnRenamed("_n", "total_ratings"))
-        hseq = sequence.blocked_frames(hn, part, frames, hot_rows, K)
-        pseq = plain(normal)
-        seq = pseq.unionByName(hseq.select(*pseq.columns))
-    full = seq.filter((F.col("rn") > K) & (F.size("_state") == K))
-    extra = []
+    part = [*(keys or ()), "user_id"]
+    if not {"rn", "n"} <= set(ratings.columns):
+        ratings = sequence.numbered(ratings, part)
+    step = F.struct("item_id", "rating", *carry)
+    framed = sequence.blocked_frame(ratings, part, step, K + 1, "_steps", block_rows)
+    state, following = F.slice("_steps", 1, K), F.slice("_steps", 2, K)
+    columns = {
+        "rn": F.col("rn"), "total_ratings": F.col("n"), "ts": F.col("ts"),
+        "state_item_ids": state["item_id"], "state_ratings": state["rating"],
+        "action_item_id": F.col("item_id"), "reward": F.col("rating"),
+        "next_state_item_ids": following["item_id"], "next_state_ratings": following["rating"]}
     for c in carry:
-        extra += [F.col(f"_state.{c}").alias(f"state_{c}"),
-                  F.col(c).alias(f"action_{c}"),
-                  F.col(f"_next.{c}").alias(f"next_state_{c}")]
-    return full.select(
-        *k, "user_id",
-        F.col("rn").cast("bigint").alias("rn"),
-        F.col("total_ratings").cast("bigint").alias("total_ratings"),
-        "ts",
-        F.col("_state.item_id").alias("state_item_ids"),
-        F.col("_state.rating").alias("state_ratings"),
-        F.col("item_id").alias("action_item_id"),
-        F.col("rating").alias("reward"),
-        F.col("_next.item_id").alias("next_state_item_ids"),
-        F.col("_next.rating").alias("next_state_ratings"),
-        *extra,
-    )
+        columns |= {f"state_{c}": state[c], f"action_{c}": F.col(c), f"next_state_{c}": following[c]}
+    return framed.filter(F.col("rn") > K).select(*part, *[c.alias(n) for n, c in columns.items()])
 
 
 def cap_history(ratings: DataFrame, max_len: int, keys=()) -> DataFrame:
@@ -81,15 +47,16 @@ def cap_history(ratings: DataFrame, max_len: int, keys=()) -> DataFrame:
     shuffle (window group limit), so a hot user is cut map-side."""
     k = list(keys or ())
     w = Window.partitionBy(*k, "user_id").orderBy(*[F.col(c).desc() for c in EVENT_ORDER])
-    return (ratings.withColumn("_rev", F.row_number().over(w))
+    return (ratings.drop("rn", "n").withColumn("_rev", F.row_number().over(w))
             .filter(F.col("_rev") <= max_len).drop("_rev"))
 
 
 def per_user_histogram(traj: DataFrame) -> DataFrame:
     """(user_id, reward, state_len, n): the one pass over trajectories that
-    all quality figures are derived from (partial aggregation map-side)."""
-    return traj.groupBy("user_id", "reward", F.size("state_item_ids").alias("state_len")) \
-        .agg(F.count(F.lit(1)).alias("n"))
+    all quality figures are derived from, written once (partial aggregation
+    map-side)."""
+    return materialize(traj.groupBy("user_id", "reward", F.size("state_item_ids").alias("state_len"))
+                       .agg(F.count(F.lit(1)).alias("n")), "traj-histogram")
 
 
 def trajectory_quality(traj: DataFrame) -> DataFrame:
@@ -173,13 +140,13 @@ def sample_trajectories(traj: DataFrame, n: int, seed: int) -> DataFrame:
 
 
 def indexed_trajectories(ratings: DataFrame, index: DataFrame, state_size: int = 10,
-                         keys=(), hot_rows: int | None = None) -> DataFrame:
+                         keys=()) -> DataFrame:
     """Trajectories with item ids replaced by dense indexes (unknown -> -1)
     in state, action and next state. The index is attached to each rating
     before the window (one join of the rating rows with the item index),
     and the frames carry it, so no array is exploded and regrouped."""
     rated = (ratings.join(index.select("item_id", "idx"), "item_id", "left")
              .withColumn("idx", F.coalesce(F.col("idx"), F.lit(-1).cast("bigint"))))
-    t = build_trajectories(rated, state_size, keys, carry=("idx",), hot_rows=hot_rows)
+    t = build_trajectories(rated, state_size, keys, carry=("idx",))
     return t.select(*list(keys or ()), "user_id", "rn", "state_idx",
                     F.col("action_idx"), "next_state_idx")

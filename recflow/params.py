@@ -71,12 +71,12 @@ class Params:
     # rows per user above which the item-pair self-join splits the user
     # into chunks (skew guard); each join task sees at most chunk^2 pairs
     pair_chunk_size: int = 2048
-    # rows per user above which per-user sequences leave the plain window
-    # and are numbered / framed in blocks (skew guard)
-    hot_user_rows: int = 2_000_000
     # constrained backup keeps a' with pi_b(a'|s') >= tau * max pi_b(.|s')
     bcq_threshold: float = 0.3
-    q_iterations: int = 3
+    # backups of the tabular Q iteration; the oracle unrolls as many
+    q_iterations: int = 12
+    # a threshold at which the constraint removes actions on the test binding
+    strict_threshold: float = 0.97
     checkpoint_every: int = 5
     history_cap: int = 50
     sample_size: int = 1000

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from recflow.functions.columns import fixed
 from recflow.operators import splits
 from recflow.params import Params
-from recflow.session import scratch_path
+from recflow.session import materialize
 from recflow.sources import tables
 
 PARAMS = Params(genres=tables.DATA_GENRES)
@@ -36,34 +36,22 @@ def reset_stages() -> None:
     _stages().clear()
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def stage(key: tuple, build) -> DataFrame:
+def stage(key: tuple, build, partition_by: tuple[str, ...] = ()) -> DataFrame:
     st = _stages()
     if key not in st:
-        st[key] = materialize(build(), key[0])
+        st[key] = materialize(build(), key[0], partition_by)
     return st[key]
 
 
-def hot_rows(spark: SparkSession, sf_dir: str, p: Params = PARAMS) -> int | None:
-    """The hot-user threshold, or None when no user can reach it: a user
-    never has more interactions than ``lineitem`` has rows, and that count
-    comes from Parquet footers without a scan."""
-    key = ("_hot_rows", sf_dir, p)
-    st = _stages()
-    if key not in st:
-        n = tables.read_table(spark, sf_dir, "lineitem").count()
-        st[key] = p.hot_user_rows if n > p.hot_user_rows else None
-    return st[key]
+def interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bound interactions, written once: the cold-start filter reads
+    them three times (rows, item counts, user counts)."""
+    return stage(("interactions", sf_dir), lambda: tables.interactions(spark, sf_dir))
 
 
 def cold_start_ratings(spark: SparkSession, sf_dir: str, p: Params = PARAMS) -> DataFrame:
     """Cold-start filtered interactions, lazily (not materialized)."""
-    return splits.cold_start(tables.interactions(spark, sf_dir), p.min_item_ratings,
+    return splits.cold_start(interactions(spark, sf_dir), p.min_item_ratings,
                              p.min_user_ratings, p.cold_start_iterations)
 
 
@@ -74,32 +62,35 @@ def ratings(spark: SparkSession, sf_dir: str, p: Params = PARAMS,
     several branches; a single chain reads it lazily."""
     if not staged:
         return cold_start_ratings(spark, sf_dir, p)
+    return stage(("cold_start", sf_dir, p), lambda: cold_start_ratings(spark, sf_dir, p))
 
+
+def numbered_split(spark: SparkSession, sf_dir: str, p: Params = PARAMS,
+                   staged: bool = True) -> DataFrame:
+    """The filtered interactions with their part and the row number inside
+    it. Staged it is partitioned by part, so train and test are pruned reads."""
     def build():
-        # the bound interactions (a lineitem x orders join) are read by the
-        # main branch and both count branches of the filter: written once
-        raw = stage(("interactions", sf_dir), lambda: tables.interactions(spark, sf_dir))
-        return splits.cold_start(raw, p.min_item_ratings, p.min_user_ratings,
-                                 p.cold_start_iterations)
-    return stage(("cold_start", sf_dir, p), build)
-
-
-def split(spark: SparkSession, sf_dir: str, p: Params = PARAMS,
-          staged: bool = True) -> DataFrame:
-    """The filtered interactions with their train/test ``part`` (train and
-    test are pruned reads of it when staged)."""
-    def build():
-        return splits.temporal_split(ratings(spark, sf_dir, p, staged), p.train_ratio,
-                                     hot_rows=hot_rows(spark, sf_dir, p))
+        return splits.temporal_split(ratings(spark, sf_dir, p, staged=False), p.train_ratio,
+                                     keep_order=True)
     if not staged:
         return build()
-    return stage(("split", sf_dir, p), build)
+    return stage(("split", sf_dir, p), build, ("part",))
+
+
+def split(spark: SparkSession, sf_dir: str, p: Params = PARAMS, staged: bool = True) -> DataFrame:
+    return numbered_split(spark, sf_dir, p, staged).drop("rn", "n")
 
 
 def train(spark: SparkSession, sf_dir: str, p: Params = PARAMS, staged: bool = True) -> DataFrame:
     return splits.train_part(split(spark, sf_dir, p, staged))
 
 
+def train_sequences(spark: SparkSession, sf_dir: str, p: Params = PARAMS,
+                    staged: bool = False) -> DataFrame:
+    """Train rows with their number inside the user's train part."""
+    return splits.train_part(numbered_split(spark, sf_dir, p, staged))
+
+
 def test(spark: SparkSession, sf_dir: str, p: Params = PARAMS, staged: bool = True) -> DataFrame:
     return splits.test_part(split(spark, sf_dir, p, staged))
 

@@ -1,6 +1,7 @@
-"""Independent DuckDB SQL for every registered query, written from the
-operator definitions (not from the Spark code). Tables are the driver's
-pre-registered views."""
+"""DuckDB SQL for every registered query, written from the operator
+definitions. Rounding alone is shared with the Spark side (``_half_up``): both
+engines round by the same formula, so equal values hash equally. Tables are the
+driver's pre-registered views."""
 
 from __future__ import annotations
 
@@ -192,8 +193,13 @@ SELECT user_id, rn, total_ratings, ts, state_item_ids, state_ratings, action_ite
 FROM traj ORDER BY md5(concat_ws(':', user_id, rn, 42)), user_id, rn LIMIT 1000""")
 
 # ---------------------------------------------------------------- features
-from recflow.functions.columns import genre_column  # noqa: E402
-from recflow.sources.tables import DATA_GENRES  # noqa: E402
+# the genres of the binding and their flag columns, written out
+DATA_GENRES = ("anvil", "blue", "bolt", "cold", "gear", "gizmo", "hot", "large", "new", "old", "plate",
+               "red", "ring", "rod", "small", "widget", "(no genres listed)")
+
+
+def genre_column(genre: str) -> str:
+    return "genre_no_genres_listed" if genre.startswith("(") else f"genre_{genre}"
 
 
 def _flag(g: str) -> str:
@@ -318,6 +324,29 @@ WHERE user_id IN (SELECT user_id FROM su)""")
 ORACLE["src_csv_roundtrip"] = sql(select="""
 SELECT user_id, item_id, round(rating, 6) AS rating, ts FROM interactions""")
 
+ORACLE["src_items_csv_roundtrip"] = sql(select="SELECT item_id, title, genres, category FROM items")
+ORACLE["window_metadata_json"] = ORACLE["time_window_stats"]
+ORACLE["backtest_rounds_partitioned"] = sql(TIME, select="""
+SELECT round, part, count(*) AS n_rows, count(DISTINCT user_id) AS n_users,
+       CAST(sum(ts) AS BIGINT) AS ts_sum FROM rdata WHERE round = 2 GROUP BY round, part""")
+ORACLE["traj_ordered_files"] = sql("""
+tn AS (SELECT user_id, greatest(count(*) - 10, 0) AS n FROM train GROUP BY user_id)""", select="""
+SELECT CAST(4 AS BIGINT) AS n_files, CAST(sum(n) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS overlaps FROM tn""")
+ORACLE["traj_index_inverse"] = sql("""
+often AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS idx
+          FROM (SELECT item_id FROM train GROUP BY item_id HAVING count(*) >= 30))""", """
+ts2 AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, item_id, rating) AS rn FROM train)""", select="""
+SELECT t.user_id, t.rn, coalesce(o.idx, -1) AS idx, coalesce(o.item_id, -1) AS item_id FROM ts2 t LEFT JOIN often o USING (item_id)
+WHERE t.rn > 10""")
+ORACLE["cold_start_strict"] = sql("""
+si AS (SELECT * FROM interactions WHERE item_id IN (
+         SELECT item_id FROM interactions GROUP BY item_id HAVING count(*) >= 28))""", select="""
+SELECT user_id, item_id, round(rating, 6) AS rating, ts FROM si WHERE user_id IN (
+  SELECT user_id FROM si GROUP BY user_id HAVING count(*) >= 30)""")
+ORACLE["item_content_vector_sparse"] = ORACLE["item_content_vector"].replace(
+    "FROM ratings GROUP BY item_id",
+    "FROM ratings WHERE ts > (SELECT max(ts) FROM ratings) - 2592000 GROUP BY item_id")
+
 # ---------------------------------------------------------------- item-item CF
 def cf_ctes(src: str = "ratings", min_co: int = 3, keys: str = "") -> str:
     kk = f"{keys}, " if keys else ""
@@ -344,14 +373,11 @@ liked AS (SELECT {kk}user_id, item_id, rating FROM cen WHERE rating >= user_mean
 nb AS (SELECT {kk}item_a AS item_id, item_b AS neighbor, sim FROM sims
        UNION ALL SELECT {kk}item_b, item_a, sim FROM sims),
 cand AS (SELECT {"".join(f"l.{c}, " for c in keys.split(",") if c) if keys else ""}l.user_id, nb.neighbor AS item_id,
-                sum(CAST(floor(nb.sim * 1e9 + 0.5) AS BIGINT)) AS eq,
-                sum((CAST(floor(nb.sim * 1e9 + 0.5) AS BIGINT) * CAST(floor(l.rating * 1e6 + 0.5) AS BIGINT)) >> 32) AS wh,
-                sum((CAST(floor(nb.sim * 1e9 + 0.5) AS BIGINT) * CAST(floor(l.rating * 1e6 + 0.5) AS BIGINT)) & 4294967295) AS wl
+                sum(nb.sim) AS evidence, sum(nb.sim * l.rating) / sum(nb.sim) AS score
          FROM liked l JOIN nb USING ({kk}item_id)
          GROUP BY {"".join(f"l.{c}, " for c in keys.split(",") if c) if keys else ""}l.user_id, nb.neighbor),
-scored AS (SELECT c.*, (CAST(c.wh AS DOUBLE) * 4294967296.0 + CAST(c.wl AS DOUBLE)) / (CAST(c.eq AS DOUBLE) * 1e6) AS score,
-                  CAST(c.eq AS DOUBLE) / 1e9 AS evidence FROM cand c
-           WHERE c.eq > 0 AND NOT EXISTS (
+scored AS (SELECT c.* FROM cand c
+           WHERE round(c.evidence, 9) > 0 AND NOT EXISTS (
              SELECT 1 FROM ui WHERE {"".join(f"ui.{x} = c.{x} AND " for x in keys.split(",") if x) if keys else ""}ui.user_id = c.user_id AND ui.item_id = c.item_id)),
 recs AS (SELECT {kk}user_id, item_id, score, evidence,
                 row_number() OVER (PARTITION BY {kk}user_id ORDER BY round(score, 9) DESC, item_id) AS rank
@@ -361,6 +387,10 @@ recs AS (SELECT {kk}user_id, item_id, score, evidence,
 REC_SELECT = """
 SELECT user_id, item_id, round(score, 6) AS score, round(evidence, 6) AS evidence, rank
 FROM recs WHERE rank <= 20"""
+TITLED = """
+SELECT user_id, r.item_id, round(score, 6) AS score, round(evidence, 6) AS evidence, rank,
+       coalesce(i.title, 'Item ' || r.item_id) AS item_id_title
+FROM recs r LEFT JOIN items i ON i.item_id = r.item_id WHERE rank <= 20"""
 
 ORACLE["cf_centered"] = sql(cf_ctes(), select="""
 SELECT c.user_id, c.item_id, round(c.rating, 6) AS rating, round(c.user_mean, 6) AS user_mean,
@@ -374,8 +404,9 @@ ORACLE["cf_top_pairs"] = sql(cf_ctes(), """
 tp AS (SELECT * FROM sims ORDER BY round(sim, 9) DESC, item_a, item_b LIMIT 15)""", select="""
 SELECT tp.item_a, tp.item_b, round(tp.sim, 6) AS sim, tp.co_raters, a.title AS title_a, b.title AS title_b
 FROM tp LEFT JOIN items a ON a.item_id = tp.item_a LEFT JOIN items b ON b.item_id = tp.item_b""")
-ORACLE["cf_recommend"] = sql(cf_ctes(), select=REC_SELECT)
-ORACLE["cf_recommend_unfiltered"] = sql(cf_ctes(min_co=1), select=REC_SELECT)
+ORACLE["cf_recommend"] = sql(cf_ctes(), select=TITLED)
+ORACLE["cf_recommend_unfiltered"] = sql(cf_ctes(min_co=1), select=REC_SELECT.replace(
+    "round(score, 6)", "floor(score * 1e3 + 0.5) / 1e3"))
 ORACLE["cf_explain"] = sql(cf_ctes(), """
 first AS (SELECT user_id, item_id AS rec_item FROM recs WHERE rank = 1)""", """
 contrib AS (
@@ -383,11 +414,14 @@ contrib AS (
   FROM first f JOIN liked l USING (user_id)
   JOIN nb ON nb.item_id = l.item_id AND nb.neighbor = f.rec_item
   WHERE nb.sim > 0)""", select="""
-SELECT user_id, item_id, liked_item_id, round(rating, 6) AS rating, round(sim, 6) AS sim,
-       round(contribution, 6) AS contribution, rank
+SELECT user_id, x.item_id, liked_item_id, round(rating, 6) AS rating, round(sim, 6) AS sim,
+       round(contribution, 6) AS contribution, rank,
+       coalesce(a.title, 'Item ' || x.item_id) AS item_id_title,
+       coalesce(b.title, 'Item ' || x.liked_item_id) AS liked_item_id_title
 FROM (SELECT user_id, rec_item AS item_id, liked_item_id, rating, sim, contribution,
              row_number() OVER (PARTITION BY user_id ORDER BY round(contribution, 9) DESC, liked_item_id) AS rank
-      FROM contrib) WHERE rank <= 5""")
+      FROM contrib) x LEFT JOIN items a ON a.item_id = x.item_id
+      LEFT JOIN items b ON b.item_id = x.liked_item_id WHERE rank <= 5""")
 
 # ---------------------------------------------------------------- recommenders and ranking
 def list_recs(train: str, users: str, order: str, name: str, keys: str = "") -> str:
@@ -424,8 +458,6 @@ def eval_ctes(recs: str, held: str, mode: str, keys: str = "", p: str = "e",
 {p}_rel AS (SELECT {kk}user_id, item_id, (max(rating) - 0.5) / 4.5 AS rel FROM {held}
             GROUP BY {kk}user_id, item_id)""", f"""
 {p}_users AS (SELECT DISTINCT {kk}user_id FROM {p}_rel)""", f"""
-{p}_hits AS (SELECT r.{kk.replace(', ', ', r.') if K else ''}user_id, r.item_id, r.rank, coalesce(t.rel, {miss}) AS g
-             FROM {recs} r LEFT JOIN {p}_rel t USING ({kk}user_id, item_id))""".replace("r.user_id", "r.user_id") if False else f"""
 {p}_hits AS (SELECT r.*, coalesce(t.rel, {miss}) AS g
              FROM {recs} r LEFT JOIN {p}_rel t USING ({kk}user_id, item_id))""", f"""
 {p}_pu AS (SELECT {kk}user_id, {sums} FROM {p}_hits GROUP BY {kk}user_id)"""]
@@ -499,7 +531,6 @@ SELECT metric, k, round(mean, 6) AS mean, round(std, 6) AS std, n_users FROM e_s
 ORACLE["eval_ranking"] = sql(USERS, POP, eval_ctes("prec", "test", "user"), select=EVAL_SELECT)
 ORACLE["eval_ranking_list"] = sql(USERS, POP, eval_ctes("prec", "test", "list"), select=EVAL_SELECT)
 
-_CF_TRAIN = cf_ctes("train").replace("\nliked AS", "\nliked AS")
 ORACLE["eval_compare"] = sql(
     USERS, POP, RND, cf_ctes("train"),
     eval_ctes("prec", "test", "user", p="ep"), eval_ctes("rrec", "test", "user", p="er"),
@@ -606,7 +637,7 @@ sas AS (SELECT t.state, t.action, t.next_state, count(*) / max(sa.n_sa) AS p FRO
         JOIN sa USING (state, action) GROUP BY t.state, t.action, t.next_state)"""
 
 
-def q_iter_ctes(tau: float, name: str, iterations: int = 3) -> str:
+def q_iter_ctes(tau: float, name: str, iterations: int = 12) -> str:
     parts = [f"""
 {name}_ok AS (SELECT state, action FROM (
                 SELECT *, max(pi_b) OVER (PARTITION BY state) AS mx FROM beh)
@@ -627,23 +658,25 @@ def q_iter_ctes(tau: float, name: str, iterations: int = 3) -> str:
 ORACLE["policy_behaviour"] = sql(POLICY, select="""
 SELECT state, action, n, round(pi_b, 6) AS pi_b FROM beh""")
 ORACLE["q_unconstrained"] = sql(POLICY, q_iter_ctes(0.0, "qu"), select="""
-SELECT state, action, round(q, 6) AS q FROM qu_q3""")
+SELECT state, action, round(q, 6) AS q FROM qu_q12""")
 ORACLE["q_constrained"] = sql(POLICY, q_iter_ctes(0.3, "qc"), select="""
-SELECT state, action, round(q, 6) AS q FROM qc_q3""")
+SELECT state, action, round(q, 6) AS q FROM qc_q12""")
 GREEDY = """
 SELECT state, action, q FROM (
   SELECT q.*, row_number() OVER (PARTITION BY q.state ORDER BY round(q.q, 9) DESC, q.action) AS o
   FROM {src} q JOIN {ok} USING (state, action)) WHERE o = 1"""
 ORACLE["policy_greedy"] = sql(POLICY, q_iter_ctes(0.3, "qc"), select=f"""
-SELECT state, action, round(q, 6) AS q FROM ({GREEDY.format(src="qc_q3", ok="qc_ok")})""")
+SELECT state, action, round(q, 6) AS q FROM ({GREEDY.format(src="qc_q12", ok="qc_ok")})""")
 ORACLE["policy_compare"] = sql(POLICY, q_iter_ctes(0.0, "qu"), q_iter_ctes(0.3, "qc"),
-                               f"gu AS ({GREEDY.format(src='qu_q3', ok='qu_ok')})",
-                               f"gc AS ({GREEDY.format(src='qc_q3', ok='qc_ok')})", select="""
+                               f"gu AS ({GREEDY.format(src='qu_q12', ok='qu_ok')})",
+                               f"gc AS ({GREEDY.format(src='qc_q12', ok='qc_ok')})", select="""
 SELECT coalesce(gu.state, gc.state) AS state, gu.action AS action_unconstrained,
        round(gu.q, 6) AS q_unconstrained, gc.action AS action_constrained,
        round(gc.q, 6) AS q_constrained, CAST(gu.action = gc.action AS BIGINT) AS same_action
 FROM gu FULL JOIN gc ON gu.state = gc.state""")
 
+ORACLE["policy_compare_strict"] = ORACLE["policy_compare"].replace("pi_b >= 0.3 * mx", "pi_b >= 0.97 * mx")
+
 # ---------------------------------------------------------------- vector retrieval
 ORACLE["vec_topk"] = sql("""
 eq AS (SELECT e.vec_id, CAST(e.embedding AS DOUBLE[]) AS v FROM embeddings e
@@ -656,7 +689,8 @@ SELECT query_id, vec_id, round(score, 6) AS score, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, vec_id) AS rank FROM vs)
 WHERE rank <= 10""")
 
-ORACLE["rec_content_knn"] = sql(FEAT, USERS, f"""
+ORACLE["rec_content_knn"] = sql(FEAT.replace("FROM ratings GROUP BY item_id", "FROM train GROUP BY item_id"),
+                                USERS, f"""
 cvec AS (SELECT i.item_id, list_value({", ".join(_VEC_PARTS)}) AS v
          FROM items i LEFT JOIN years y USING (item_id) LEFT JOIN ipop p USING (item_id))""", """
 hist AS (SELECT * FROM (SELECT t.*, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, item_id DESC, rating DESC) AS p

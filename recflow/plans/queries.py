@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from recflow.functions.columns import fixed
 from recflow.operators import splits, traj
 from recflow.plans import common as C
 from recflow.sources import tables
@@ -75,26 +76,18 @@ def q_cold_start(spark, sf_dir):
 @query("seq_numbered")
 def q_seq_numbered(spark, sf_dir):
     """Per-user sequence number in (ts, item_id, rating) order."""
-    return splits.sequence_numbered(C.ratings(spark, sf_dir, staged=_chain(spark, sf_dir)),
-                                    hot_rows=C.hot_rows(spark, sf_dir))
+    return splits.sequence_numbered(C.ratings(spark, sf_dir, staged=False))
 
 
 @query("split_temporal")
 def q_split_temporal(spark, sf_dir):
     """First 80 % of each user's rows train, the rest test."""
-    return C.split(spark, sf_dir, staged=_chain(spark, sf_dir))
+    return C.split(spark, sf_dir, staged=False)
 
 
 # ---------------------------------------------------------------- trajectories
-def _chain(spark, sf_dir) -> bool:
-    """Single-chain queries read their input lazily unless hot-user
-    detection has to look at it first (then it is written once)."""
-    return C.hot_rows(spark, sf_dir) is not None
-
-
 def _traj(spark, sf_dir):
-    return traj.build_trajectories(C.train(spark, sf_dir, staged=_chain(spark, sf_dir)), P.state_size,
-                                   hot_rows=C.hot_rows(spark, sf_dir))
+    return traj.build_trajectories(C.train_sequences(spark, sf_dir), P.state_size)
 
 
 @query("traj_build")
@@ -124,8 +117,8 @@ def q_traj_prepare(spark, sf_dir):
 @query("traj_capped")
 def q_traj_capped(spark, sf_dir):
     """Trajectories from each user's last 50 train ratings."""
-    capped = traj.cap_history(C.train(spark, sf_dir, staged=_chain(spark, sf_dir)), P.history_cap)
-    return traj.build_trajectories(capped, P.state_size, hot_rows=C.hot_rows(spark, sf_dir))
+    capped = traj.cap_history(C.train(spark, sf_dir, staged=False), P.history_cap)
+    return traj.build_trajectories(capped, P.state_size)
 
 
 @query("traj_sample")
@@ -201,8 +194,8 @@ def q_item_dense_index(spark, sf_dir):
 def q_traj_indexed(spark, sf_dir):
     """Trajectories with item ids replaced by dense indexes (-1 unknown)."""
     feats = features.item_features(tables.items(spark, sf_dir), C.ratings(spark, sf_dir), G)
-    return traj.indexed_trajectories(C.train(spark, sf_dir), recommend.dense_index(feats),
-                                     P.state_size, hot_rows=C.hot_rows(spark, sf_dir))
+    return traj.indexed_trajectories(C.train_sequences(spark, sf_dir), recommend.dense_index(feats),
+                                     P.state_size)
 
 
 @query("item_content_vector")
@@ -222,7 +215,7 @@ def q_time_window_stats(spark, sf_dir):
 
 def _rounds(spark, sf_dir):
     return C.stage(("rounds", sf_dir), lambda: splits.backtest_rounds(C.ratings(spark, sf_dir),
-                                                                     P.n_windows))
+                                                                     P.n_windows), ("round", "part"))
 
 
 @query("backtest_rounds")
@@ -244,7 +237,7 @@ def q_backtest_trajectories(spark, sf_dir):
     ok = splits.round_eligibility(rounds, P.state_size).filter(F.col("eligible") == 1)
     tr = (rounds.filter(F.col("part") == "train").drop("part")
           .join(F.broadcast(ok.select("round")), "round", "left_semi"))
-    return traj.build_trajectories(tr, P.state_size, keys=("round",), hot_rows=C.hot_rows(spark, sf_dir))
+    return traj.build_trajectories(tr, P.state_size, keys=("round",))
 
 
 # ---------------------------------------------------------------- sources
@@ -263,6 +256,83 @@ def q_src_csv_roundtrip(spark, sf_dir):
     return csv_io.read_ratings_csv(spark, path)
 
 
+@query("src_items_csv_roundtrip")
+def q_src_items_csv_roundtrip(spark, sf_dir):
+    """The item table written as CSV and read back with its schema."""
+    path = scratch_path(spark, "items-csv")
+    csv_io.write_csv(tables.items(spark, sf_dir), path)
+    return csv_io.read_items_csv(spark, path)
+
+
+@query("window_metadata_json")
+def q_window_metadata_json(spark, sf_dir):
+    """Window bounds and counts written as JSON and read back."""
+    stats = splits.window_stats(C.ratings(spark, sf_dir, staged=False), P.n_windows)
+    path = scratch_path(spark, "windows-json")
+    csv_io.write_json(stats, path)
+    return csv_io.read_json(spark, path, stats.schema)
+
+
+@query("backtest_rounds_partitioned")
+def q_backtest_rounds_partitioned(spark, sf_dir):
+    """The round tables written by (round, part), one round's train
+    and test read back through partition pruning."""
+    path = scratch_path(spark, "rounds")
+    rounds = splits.backtest_rounds(C.ratings(spark, sf_dir, staged=False), P.n_windows)
+    csv_io.write_parquet(rounds, path, ("round", "part"))
+    back = spark.read.schema(rounds.schema).parquet(path)
+    return back.filter(F.col("round") == 2).groupBy("round", "part").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("user_id").alias("n_users"),
+        F.sum("ts").alias("ts_sum"))
+
+
+@query("traj_ordered_files")
+def q_traj_ordered_files(spark, sf_dir):
+    """L1 / L2: trajectories written in (user_id, rn) order as a given number
+    of files; rows and order breaks of every file, by its place."""
+    path = scratch_path(spark, "traj-files")
+    traj.write_trajectories(_traj(spark, sf_dir), path, 4)
+    rows = spark.read.parquet(path).select("user_id", "rn", F.col("_metadata.file_name").alias("file"))
+    per_file = rows.groupBy("file").agg(F.min(F.struct("user_id", "rn")).alias("lo"),
+                                        F.max(F.struct("user_id", "rn")).alias("hi"),
+                                        F.count(F.lit(1)).alias("n"))
+    # four files: one row each
+    w = F.lag("hi").over(Window.orderBy("lo"))
+    return per_file.withColumn("before", w).agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("n").alias("n_rows"),
+        F.count(F.when(F.col("before") >= F.col("lo"), 1)).alias("overlaps"))
+
+
+@query("traj_index_inverse")
+def q_traj_index_inverse(spark, sf_dir):
+    """Item ids indexed over the items rated at least 30 times
+    (all others -1) and mapped back through the inverse index."""
+    tr = C.train(spark, sf_dir)
+    often = tr.groupBy("item_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= 30)
+    index = C.stage(("often", sf_dir), lambda: recommend.dense_index(often))
+    t = traj.indexed_trajectories(C.train_sequences(spark, sf_dir), index, P.state_size)
+    back = recommend.from_index(t.select("user_id", "rn", F.col("action_idx").alias("idx")), index)
+    return back.select("user_id", "rn", "idx", F.coalesce("item_id", F.lit(-1)).alias("item_id"))
+
+
+@query("cold_start_strict")
+def q_cold_start_strict(spark, sf_dir):
+    """A4 / B0 / J1 where both thresholds bite: items >= 28 rows, then users
+    >= 30 rows."""
+    return splits.cold_start(C.interactions(spark, sf_dir), 28, 30, 1)
+
+
+@query("item_content_vector_sparse")
+def q_item_content_vector_sparse(spark, sf_dir):
+    """Statistics of the last 30 days only, so many items have none and
+    take the defaults."""
+    it = tables.items(spark, sf_dir)
+    r = C.ratings(spark, sf_dir, staged=False)
+    last = r.select(F.max("ts")).scalar()
+    stats = features.item_popularity(features.item_stats(r.filter(F.col("ts") > last - 86400 * 30)))
+    return recommend.content_vectors(it, features.release_years(it), stats, G)
+
+
 # ---------------------------------------------------------------- item-item CF
 from recflow.operators import cf  # noqa: E402
 
@@ -304,24 +374,30 @@ def q_cf_top_pairs(spark, sf_dir):
 
 @query("cf_recommend")
 def q_cf_recommend(spark, sf_dir):
-    """Top 20 for every user, co >= 3 pairs."""
+    """Top 20 for every user with
+    titles, co >= 3 pairs."""
     cen = _cen(spark, sf_dir)
-    return cf.recommend(cen, cf.similarities(cen, P.min_co_raters, P.pair_chunk_size), P.top_n)
+    recs = cf.recommend(cen, cf.similarities(cen, P.min_co_raters, P.pair_chunk_size), P.top_n)
+    return cf.with_titles(recs, tables.items(spark, sf_dir), "item_id")
 
 
 @query("cf_recommend_unfiltered")
 def q_cf_recommend_unfiltered(spark, sf_dir):
-    """C4 with every pair (co >= 1): what the reference script recommends from."""
+    """C4 with every pair (co >= 1). Evidence of single common users nearly
+    cancels, which magnifies rounding: scores are given to 3 decimals."""
     cen = _cen(spark, sf_dir)
-    return cf.recommend(cen, cf.similarities(cen, 1, P.pair_chunk_size), P.top_n)
+    recs = cf.recommend(cen, cf.similarities(cen, 1, P.pair_chunk_size), P.top_n)
+    return recs.withColumn("score", fixed(F.col("score"), 3))
 
 
 @query("cf_explain")
 def q_cf_explain(spark, sf_dir):
-    """Top-5 contributing liked items of each user's first recommendation."""
+    """Top-5 contributing liked items of each user's first
+    recommendation, with titles."""
     cen = _cen(spark, sf_dir)
-    sims = cf.similarities(cen, P.min_co_raters, P.pair_chunk_size)
-    return cf.explain(cf.recommend(cen, sims, P.top_n), cen, sims, P.top_contributors)
+    sims = C.stage(("sims", sf_dir), lambda: cf.similarities(cen, P.min_co_raters, P.pair_chunk_size))
+    found = cf.explain(cf.recommend(cen, sims, P.top_n), cen, sims, P.top_contributors)
+    return cf.with_titles(found, tables.items(spark, sf_dir), "item_id", "liked_item_id")
 
 
 # ---------------------------------------------------------------- recommenders
@@ -342,8 +418,8 @@ def _random_recs(spark, sf_dir):
     return recommend.random_recommend(tr, _test_users(te), P.top_n, P.seed)
 
 
-def _cf_recs(train: DataFrame, keys=()):
-    cen = C.stage(("centered_train", tuple(keys)), lambda: cf.centered(train, keys))
+def _cf_recs(sf_dir: str, train: DataFrame, keys=()):
+    cen = C.stage(("centered_train", sf_dir, tuple(keys)), lambda: cf.centered(train, keys))
     return cf.recommend(cen, cf.similarities(cen, P.min_co_raters, P.pair_chunk_size, keys),
                         P.top_n, keys)
 
@@ -388,7 +464,7 @@ def q_eval_compare(spark, sf_dir):
     te = C.test(spark, sf_dir)
     methods = {"popularity": _pop_recs(spark, sf_dir),
                "random": _random_recs(spark, sf_dir),
-               "itemcf": _cf_recs(C.train(spark, sf_dir))}
+               "itemcf": _cf_recs(sf_dir, C.train(spark, sf_dir))}
     out = None
     for name, recs in methods.items():
         s = ranking.evaluate(recs, te, P.k_values, P.relevance_threshold, "user") \
@@ -404,12 +480,12 @@ def _round_parts(spark, sf_dir):
     return tr, te
 
 
-def _curve(method: str, tr: DataFrame, te: DataFrame) -> DataFrame:
+def _curve(sf_dir: str, method: str, tr: DataFrame, te: DataFrame) -> DataFrame:
     keys = ("round",)
     if method == "popularity":
         recs = recommend.popularity_recommend(tr, _test_users(te, keys), P.top_n, keys=keys)
     else:
-        recs = _cf_recs(tr, keys)
+        recs = _cf_recs(sf_dir, tr, keys)
     s = ranking.evaluate(recs, te, P.k_values, P.relevance_threshold, "user", keys)
     return ranking.compare_table(s, P.k_values, keys).withColumn("method", F.lit(method))
 
@@ -419,14 +495,14 @@ def q_backtest_curve(spark, sf_dir):
     """Popularity metrics and train rows for every round."""
     tr, te = _round_parts(spark, sf_dir)
     rows = tr.groupBy("round").agg(F.count(F.lit(1)).alias("train_rows"))
-    return _curve("popularity", tr, te).drop("method").join(rows, "round")
+    return _curve(sf_dir, "popularity", tr, te).drop("method").join(rows, "round")
 
 
 @query("backtest_compare")
 def q_backtest_compare(spark, sf_dir):
     """Popularity against item-CF per round, verdict at +-0.003."""
     tr, te = _round_parts(spark, sf_dir)
-    curve = _curve("popularity", tr, te).unionByName(_curve("itemcf", tr, te))
+    curve = _curve(sf_dir, "popularity", tr, te).unionByName(_curve(sf_dir, "itemcf", tr, te))
     return ranking.curve_compare(curve, "popularity", "itemcf", "ndcg_10", P.tie_margin)
 
 
@@ -461,9 +537,9 @@ def _model(spark, sf_dir):
     (state, action, next_state) table that all policy queries iterate on."""
     def build():
         cats = tables.items(spark, sf_dir).select("item_id", "category")
-        tr = C.train(spark, sf_dir).join(cats, "item_id")
-        t = traj.build_trajectories(tr, P.state_size, carry=("category",),
-                                    hot_rows=C.hot_rows(spark, sf_dir))
+        # every rated item has a category here, so the join drops no step of a sequence
+        tr = C.train_sequences(spark, sf_dir).join(cats, "item_id")
+        t = traj.build_trajectories(tr, P.state_size, carry=("category",))
         return policy.transition_model(policy.transitions(t))
     return C.stage(("transition_model", sf_dir), build)
 
@@ -476,14 +552,14 @@ def q_policy_behaviour(spark, sf_dir):
 
 @query("q_unconstrained")
 def q_q_unconstrained(spark, sf_dir):
-    """Q2: three backups with the max over every observed action."""
+    """Q2: twelve backups with the max over every observed action."""
     return policy.q_values(_model(spark, sf_dir), P.gamma, 0.0, P.q_iterations,
                            P.checkpoint_every)
 
 
 @query("q_constrained")
 def q_q_constrained(spark, sf_dir):
-    """Q3: three backups, max only over actions with pi_b >= 0.3 max pi_b."""
+    """Q3: twelve backups, max only over actions with pi_b >= 0.3 max pi_b."""
     return policy.q_values(_model(spark, sf_dir), P.gamma, P.bcq_threshold,
                            P.q_iterations, P.checkpoint_every)
 
@@ -504,6 +580,14 @@ def q_policy_compare(spark, sf_dir):
                                    P.q_iterations)
 
 
+@query("policy_compare_strict")
+def q_policy_compare_strict(spark, sf_dir):
+    """Q3 / Q5 with a threshold that removes actions: the constrained values
+    and choices differ from the unconstrained ones."""
+    return policy.compare_policies(_model(spark, sf_dir), P.gamma, P.strict_threshold,
+                                   P.q_iterations)
+
+
 # ---------------------------------------------------------------- vector retrieval
 from recflow.operators import knn  # noqa: E402
 
@@ -522,8 +606,9 @@ def q_rec_content_knn(spark, sf_dir):
     """History vector of the last 10 train items -> cosine top 20 over
     all item content vectors, seen items excluded, for every test user."""
     it = tables.items(spark, sf_dir)
-    r = C.ratings(spark, sf_dir)
-    stats = features.item_popularity(features.item_stats(r))
+    tr = C.train(spark, sf_dir)
+    # statistics from train only: nothing of the test part reaches the vectors
+    stats = features.item_popularity(features.item_stats(tr))
     vecs = recommend.content_vectors(it, features.release_years(it), stats, G)
-    return knn.content_recommend(C.train(spark, sf_dir), vecs, _test_users(C.test(spark, sf_dir)),
+    return knn.content_recommend(tr, vecs, _test_users(C.test(spark, sf_dir)),
                                  P.top_n, P.state_size)

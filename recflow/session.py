@@ -5,9 +5,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
@@ -35,8 +37,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a folder
-    under the system temp dir is created and registered.
+    Read from the session. Where it is unset, a local master gets a folder
+    under the system temp dir; on a cluster that would be a different disk on
+    every machine, so the setting is required there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -44,6 +47,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         path = tempfile.mkdtemp(prefix="recflow-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
@@ -52,4 +57,39 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    _written().append(path)
+    return path
+
+
+def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write once to the shared folder and read back (lineage cut, column
+    and partition pruning intact; a lost executor costs a re-read)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+_LOCAL = threading.local()
+
+
+def _written() -> list[str]:
+    if not hasattr(_LOCAL, "paths"):
+        _LOCAL.paths = []
+    return _LOCAL.paths
+
+
+@contextmanager
+def released(spark: SparkSession):
+    """Deletes everything written to scratch paths inside the block when it
+    ends; results must be written or collected before."""
+    start = len(_written())
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _written()[start:]:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+        del _written()[start:]

@@ -10,7 +10,7 @@ import __spark_entry__ as E
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 ORACLE = E.oracle_sql()
-NAMES = sorted(E.queries())
+NAMES = sorted(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")

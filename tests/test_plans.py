@@ -10,17 +10,37 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_trajectory_windows_share_one_exchange(spark, tmp_path):
-    rows = [(u, i, 3.0, i) for u in range(5) for i in range(30)]
+def test_numbered_trajectories_use_one_exchange_and_one_frame(spark, tmp_path):
+    rows = [(u, i, 3.0, i, i + 1, 30) for u in range(5) for i in range(30)]
     path = str(tmp_path / "r")
-    spark.createDataFrame(rows, "user_id long, item_id long, rating double, ts long") \
+    spark.createDataFrame(rows, "user_id long, item_id long, rating double, ts long, rn long, n long") \
         .write.parquet(path)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         p = plan(traj.build_trajectories(spark.read.parquet(path), 10))
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert p.count("Exchange hashpartitioning") == 1
+    assert p.count("Exchange hashpartitioning") == 1 and p.count("Window [") == 1
+
+
+def test_item_features_scan_items_once_for_rows(spark, tmp_path):
+    path = str(tmp_path / "items")
+    spark.createDataFrame([(1, "A (1990)", "x|y"), (2, "B", "y")],
+                          "item_id long, title string, genres string").write.parquet(path)
+    r = spark.createDataFrame([(1, 1, 3.0, 5), (1, 2, 4.0, 6)],
+                              "user_id long, item_id long, rating double, ts long")
+    df = features.item_features(spark.read.parquet(path), r, ("x", "y"))
+    p = plan(df)
+    # one scan for the rows, one for the median year (a scalar subquery)
+    assert p.count("FileScan") <= 2 and df.count() == 2
+
+
+def test_split_parts_are_pruned(spark, sf_small):
+    from recflow.plans import common as C
+    C.reset_stages()
+    p = plan(C.train(spark, sf_small))
+    pf = p[p.index("PartitionFilters: ["):]
+    assert "part" in pf[:pf.index("]")]
 
 
 def test_percent_rank_has_no_row_level_single_partition(spark):
