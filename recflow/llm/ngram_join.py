@@ -59,11 +59,12 @@ K = 5
 NUM, DEN = 3, 4                  # similarity 0.75
 SAMPLE_DOCS = 5_000              # documents that decide which shingles are common
 COMMON_DOCS = 50                 # ... if so many of them have the shingle
-BUCKET_BYTES = 3 << 20           # text bytes a bucket
-FLUSH = 2_000_000                # shingles a map task packs at once
+BUCKET_BYTES = 12 << 20          # text bytes a bucket
+MIN_BUCKETS = 64
+FLUSH = 1_000_000                # shingles a map task packs at once
 HUB_TOKENS = 8                   # rarest prefix shingles used in the hub rounds
-HUB_ROUNDS = 2
-LOW48 = np.uint64((1 << 48) - 1)
+HUB_ROUNDS = 3
+HASH_BYTES = 5                   # of a shingle inside its bucket; the bucket number adds to them
 BUCKET_BITS = 24
 
 
@@ -116,7 +117,7 @@ def _classes(docs: DataFrame, common: np.ndarray, k: int) -> DataFrame:
 
 def _pack(docs: DataFrame, common: np.ndarray, buckets: int, k: int) -> DataFrame:
     """(bucket, cids, counts, hashes): per bucket the classes of a map task with
-    their shingles as 6-byte hashes."""
+    their shingles as short hashes."""
     def flush(sets: dict[int, np.ndarray]):
         cids = np.fromiter(sets, np.int64, len(sets))
         sizes = [len(s) for s in sets.values()]
@@ -124,9 +125,13 @@ def _pack(docs: DataFrame, common: np.ndarray, buckets: int, k: int) -> DataFram
         bucket = ((h >> np.uint64(64 - BUCKET_BITS)) % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         bucket, owner = bucket[order], np.repeat(np.arange(len(cids)), sizes)[order]
-        low = (h[order] & LOW48).view(np.uint8).reshape(-1, 8)[:, :6]
+        low = h[order].view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES]
         new = np.flatnonzero(np.diff(bucket, prepend=-1) | np.diff(owner, prepend=-1))
-        count = np.diff(new, append=len(h)).astype(np.uint32)
+        # runs of one class in one bucket, cut so that a length fits two bytes
+        long = np.flatnonzero(np.diff(new, append=len(h)) > 65535)
+        new = np.unique(np.concatenate([new, *[np.arange(new[i], new[i + 1] if i + 1 < len(new) else len(h), 65535)
+                                               for i in long]]))
+        count = np.diff(new, append=len(h)).astype(np.uint16)
         starts = np.flatnonzero(np.diff(bucket[new], prepend=-1))  # rows: runs of one bucket
         out = {"bucket": [], "cids": [], "counts": [], "hashes": []}
         for a, b in zip(starts, [*starts[1:], len(new)]):
@@ -162,11 +167,11 @@ def _pack(docs: DataFrame, common: np.ndarray, buckets: int, k: int) -> DataFram
 def _answer(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     """One bucket: for every class its shingles that other classes have too."""
     cids = np.frombuffer(b"".join(pdf["cids"]), np.int64)
-    counts = np.frombuffer(b"".join(pdf["counts"]), np.uint32)
-    raw = np.frombuffer(b"".join(pdf["hashes"]), np.uint8).reshape(-1, 6)
+    counts = np.frombuffer(b"".join(pdf["counts"]), np.uint16)
+    raw = np.frombuffer(b"".join(pdf["hashes"]), np.uint8).reshape(-1, HASH_BYTES)
     wide = np.zeros((len(raw), 8), np.uint8)
-    wide[:, :6] = raw
-    h = wide.view(np.uint64).ravel() | (np.uint64(key[0] & 0xFFFF) << np.uint64(48))
+    wide[:, :HASH_BYTES] = raw
+    h = wide.view(np.uint64).ravel() | (np.uint64(key[0]) << np.uint64(8 * HASH_BYTES))
     owner = np.repeat(cids, counts)
     order = np.lexsort((owner, h))
     h, owner = h[order], owner[order]
@@ -303,9 +308,7 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     size = docs.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
     common = _common(docs, size[0], k)
-    buckets = 1
-    while buckets * BUCKET_BYTES < (size[1] or 0) and buckets < 1 << BUCKET_BITS:
-        buckets *= 2
+    buckets = min(1 << BUCKET_BITS, max(MIN_BUCKETS, -(-(size[1] or 0) // BUCKET_BYTES)))
     rows = stored(_classes(docs.withColumn("key", F.xxhash64(F.coalesce("text", F.lit("")))),
                            common, k), "join-rows")
     classes = rows.where("n > 0").groupBy("cid").agg(
