@@ -249,25 +249,39 @@ def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def _groups(members: DataFrame) -> DataFrame:
     """One row per group of identical prefix and size; comp is null if its
-    members lie in different components."""
+    members lie in different components. rep is the member with the least
+    share of shingles that no other class has."""
     return members.groupBy("gid").agg(
-        F.min("cid").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"),
-        F.min("comp").alias("lo"), F.max("comp").alias("hi")).select(
-        "gid", "rep", "n", "prefix", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("comp"))
+        F.min(F.struct("lonely", "cid")).alias("rep"), F.first("n").alias("n"),
+        F.first("prefix").alias("prefix"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).select(
+        "gid", F.col("rep.cid").alias("rep"), F.col("rep.lonely").alias("lonely"), "n", "prefix",
+        F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("comp"))
 
 
-def _hub_pairs(members: DataFrame, salt: int) -> DataFrame:
-    """(a, b): every class with the hub it shares most of its rarest prefix
-    shingles with. A list's hub is one random group of the list."""
+def _hub_pairs(members: DataFrame, turn: int) -> DataFrame:
+    """(a, b): classes with hubs of their shingle lists, one hub a list.
+
+    First turn: the hub is the list's most central group (the original among
+    edited copies), and a class is paired with the hub it shares most of its
+    rarest shingles with. Later turns: lists of other prefix shingles, drawn by
+    hash, with a random hub each, and a class is paired with all of them that
+    lie in another component."""
     groups = _groups(members)
-    lists = groups.select("gid", "rep", "n", "comp",
-                          F.explode(F.slice("prefix", 1, HUB_TOKENS)).alias("t"))
+    if turn == 0:
+        drawn, first = F.slice("prefix", 1, HUB_TOKENS), F.col("lonely")
+    else:
+        drawn = F.slice(F.array_sort(F.transform("prefix", lambda t: F.struct(
+            F.xxhash64(t, F.lit(turn)).alias("r"), t.alias("t")))), 1, HUB_TOKENS)["t"]
+        first = F.lit(0.0)
+    lists = groups.select("gid", "rep", "n", "comp", "lonely", F.explode(drawn).alias("t"))
     hubs = lists.groupBy("t").agg(F.min(F.struct(
-        F.xxhash64(F.lit(salt), "gid").alias("r"), "gid", "rep", "n", "comp")).alias("hub"))
+        first.alias("l"), F.xxhash64(F.lit(turn), "gid", "t").alias("r"), "gid", "rep", "n", "comp")
+        ).alias("hub"))
     met = (lists.join(hubs, "t").where(_similar_size("n", "hub.n"))
            .where("comp is null or hub.comp is null or comp != hub.comp or gid = hub.gid")
-           .groupBy("gid", F.col("hub.rep").alias("b")).agg(F.count(F.lit(1)).alias("c"))
-           .groupBy("gid").agg(F.max_by("b", F.struct("c", "b")).alias("b")))
+           .groupBy("gid", F.col("hub.rep").alias("b")).agg(F.count(F.lit(1)).alias("c")))
+    if turn == 0:
+        met = met.groupBy("gid").agg(F.max_by("b", F.struct("c", "b")).alias("b"))
     hub_comp = members.select(F.col("cid").alias("b"), F.col("comp").alias("cb"))
     return (members.select("gid", F.col("cid").alias("a"), "comp").join(met, "gid")
             .join(hub_comp, "b").where("a != b and comp != cb").select("a", "b"))
@@ -289,7 +303,9 @@ def _rest_pairs(members: DataFrame) -> DataFrame:
     one, two = live.alias("x"), live.alias("y")
     shared = (one.join(two, F.expr("x.t = y.t and x.gid < y.gid and "
                                    + _similar_size("x.n", "y.n")
-                                   + " and (x.comp is null or y.comp is null or x.comp != y.comp)"))
+                                   + " and (x.comp is null or y.comp is null or x.comp != y.comp)"
+                                   # the first shared shingle has enough shingles behind it
+                                   + f" and (1 + least(x.after, y.after)) * {NUM + DEN} >= {NUM} * (x.n + y.n)"))
               .groupBy(F.col("x.gid").alias("gx"), F.col("y.gid").alias("gy"),
                        F.col("x.n").alias("nx"), F.col("y.n").alias("ny"))
               .agg(F.count(F.lit(1)).alias("c"), F.min("x.after").alias("ax"),
@@ -325,12 +341,13 @@ def link(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int
         parts.join(classes.select("cid", "n"), "cid").where(f"m * {DEN} >= n * {NUM}")
         .select("cid", "n", "parts")
         .mapInArrow(_rank, "cid long, n long, items binary, prefix array<long>")
-        .withColumn("gid", F.xxhash64("prefix", "n")), "join-sets")
+        .withColumn("gid", F.xxhash64("prefix", "n"))
+        .withColumn("lonely", F.expr("(n - length(items) / 8) / n")), "join-sets")
     items = sets.select("cid", "n", "items")
     labels = sets.select("cid", F.col("cid").alias("comp"))
-    for salt in range(HUB_ROUNDS + 1):
+    for turn in range(HUB_ROUNDS + 1):
         members = sets.drop("items").join(labels, "cid")
-        pairs = _hub_pairs(members, salt) if salt < HUB_ROUNDS else _rest_pairs(members)
+        pairs = _hub_pairs(members, turn) if turn < HUB_ROUNDS else _rest_pairs(members)
         labels = _merge(labels, _verify(pairs, items))
     named = classes.join(labels, "cid", "left").select(
         "cid", "least", F.coalesce("comp", "cid").alias("comp"))
