@@ -24,13 +24,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recflow.llm.common import WORD, stored, table
+from recflow.llm.common import WORD, fresh, stored, table
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3.0
 BITS = 10
 BUCKETS = 1 << BITS
 LEVELS = 4
+OUTPUTS = ("size", "source_size", "target", "taken")
 
 
 def word_count(text: Column) -> Column:
@@ -97,39 +98,37 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = 1.0,
         max_epochs: float = MAX_EPOCHS, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", seed: int = 11) -> DataFrame:
     """``docs`` with size, source_size, target and taken."""
-    docs = docs.drop("size", "source_size", "target", "taken", "_digits", "_key", "whole",
-                     "threshold", "closed")
+    docs = docs.drop(*OUTPUTS)
+    digits, key, whole, limit, closed = fresh(docs, "digits", "key", "whole", "limit", "closed")
     # 40 hash digits in base 2 as text: a prefix is a bucket, string order is hash order
-    digits = F.lpad(F.bin(F.shiftrightunsigned(
-        F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)), 64 - LEVELS * BITS)),
-        LEVELS * BITS, "0")
-    keyed = docs.withColumn("size", word_count(F.col(text_col))).withColumn("_digits", digits)
+    keyed = docs.withColumn("size", word_count(F.col(text_col))).withColumn(digits, F.lpad(
+        F.bin(F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)),
+                                   64 - LEVELS * BITS)), LEVELS * BITS, "0"))
     narrow = stored(keyed.select(F.col(source_col).alias("source"), "size",
-                                 F.col("_digits").alias("digits")), "mix-rows")
+                                 F.col(digits).alias("digits")), "mix-rows")
     sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = stored(source_targets(sizes, weights, share, max_epochs), "mix-targets")
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
-                   ).otherwise(F.lit(0)).cast("bigint")
-    budgets = targets.select("source", (F.col("target") - whole * F.col("source_size")).alias("budget"))
-    plan = (targets.withColumn("whole", whole)
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))
+                    ).otherwise(F.lit(0)).cast("bigint")
+    budgets = targets.select("source", (F.col("target") - epochs * F.col("source_size")).alias("budget"))
+    plan = (targets.withColumn("whole", epochs)
             .join(hash_thresholds(narrow, budgets).withColumnRenamed("source", "s"),
                   F.col("source").eqNullSafe(F.col("s")), "left")
-            .select(F.col("source").alias("_key"), "source_size", "target", "whole", "threshold",
-                    "closed"))
-    once = F.when(F.col("threshold").isNull() | (F.col("_digits") < F.col("threshold"))
-                  | (F.col("closed") & (F.col("_digits") == F.col("threshold"))),
-                  F.lit(1)).otherwise(F.lit(0))
+            .select(F.col("source").alias(key), "source_size", "target", F.col("whole").alias(whole),
+                    F.col("threshold").alias(limit), F.col("closed").alias(closed)))
+    once = F.when(F.col(limit).isNull() | (F.col(digits) < F.col(limit))
+                  | (F.col(closed) & (F.col(digits) == F.col(limit))), F.lit(1)).otherwise(F.lit(0))
     # no boundary (the budget holds all): one more epoch only if the budget is not empty
-    more = F.when(F.col("target") > F.col("whole") * F.col("source_size"), once).otherwise(F.lit(0))
-    return (keyed.join(plan, F.col(source_col).eqNullSafe(F.col("_key")), "left")
-            .withColumn("taken", (F.col("size") * (F.col("whole") + more)).cast("bigint"))
-            .drop("_key", "_digits", "whole", "threshold", "closed"))
+    more = F.when(F.col("target") > F.col(whole) * F.col("source_size"), once).otherwise(F.lit(0))
+    return (keyed.join(plan, F.col(source_col).eqNullSafe(F.col(key)), "left")
+            .withColumn("taken", (F.col("size") * (F.col(whole) + more)).cast("bigint"))
+            .drop(digits, key, whole, limit, closed))
 
 
 def repeat_taken(docs: DataFrame, **kw) -> DataFrame:
     """Every document as many times as the mix takes it, columns as given."""
-    renamed = {c: f"in_{c}" for c in docs.columns
-               if c in ("size", "source_size", "target", "taken", "whole", "threshold", "closed")}
+    clash = [c for c in docs.columns if c in OUTPUTS]
+    renamed = dict(zip(clash, fresh(docs, *[f"in_{c}" for c in clash])))
     mixed = mix(docs.withColumnsRenamed(renamed), **kw)
     times = F.expr("cast(if(size > 0, taken div size, 0) as int)")
     return (mixed.withColumn("taken", times).where("taken > 0")

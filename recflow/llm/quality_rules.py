@@ -28,7 +28,7 @@ from recflow.llm.common import SPACES, fresh, stored, table, words
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_GROUP = 200      # smaller groups use their language's, then the corpus's quantiles
-TAIL = 0.98          # a document fails above the tail quantile ...
+TAIL = 0.9           # a document fails above the tail quantile ...
 SPREAD = 6.0         # ... if that is also this many quartile ranges above the median
 SKETCH_K = 2048      # a sketch is exact up to about so many documents, rank error 0.1 % beyond
 GRID = 0.05          # limits are rounded up to this grid, so sketch noise does not show
@@ -144,9 +144,8 @@ def judge_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
 def filter_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                    source_col: str = "source") -> DataFrame:
     """The documents that are kept, columns as given."""
-    clash = fresh(docs.select(*[c for c in docs.columns if c in OUTPUTS]), *[
-        f"in_{c}" for c in docs.columns if c in OUTPUTS])
-    renamed = dict(zip([c for c in docs.columns if c in OUTPUTS], clash))
+    clash = [c for c in docs.columns if c in OUTPUTS]
+    renamed = dict(zip(clash, fresh(docs, *[f"in_{c}" for c in clash])))
     measured = stored(measures(docs.withColumnsRenamed(renamed), text_col), "quality-documents")
     kept = _judged(measured, lang_col, source_col).where("kept")
     return kept.select(*[F.col(f"`{renamed.get(c, c)}`").alias(c) for c in docs.columns])
