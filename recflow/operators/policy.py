@@ -67,11 +67,14 @@ def q_values(model: DataFrame, gamma: float = 0.99, tau: float = 0.0, iterations
     from recflow.session import materialize
     sa = model.groupBy("state", "action").agg(F.sum("n").alias("n_sa"),
                                               F.sum("reward_sum").alias("_rs"))
-    sa = sa.select("state", "action", "n_sa", (F.col("_rs") / F.col("n_sa")).alias("rbar"))
-    sas = (model.join(sa.select("state", "action", "n_sa"), ["state", "action"])
-           .select("state", "action", "next_state", (F.col("n") / F.col("n_sa")).alias("p")))
-    # every table below has at most |S|^2 x |A| rows; AQE picks the joins
-    allowed = allowed_actions(behaviour_policy(model), tau)
+    # every iteration reads these tables (at most |S|^2 x |A| rows): written
+    # once, so their file sizes let the planner choose the joins
+    sa = materialize(sa.select("state", "action", "n_sa", (F.col("_rs") / F.col("n_sa")).alias("rbar")),
+                     "q-rewards")
+    sas = materialize(model.join(sa.select("state", "action", "n_sa"), ["state", "action"])
+                      .select("state", "action", "next_state", (F.col("n") / F.col("n_sa")).alias("p")),
+                      "q-transitions")
+    allowed = materialize(allowed_actions(behaviour_policy(model), tau), "q-allowed")
     q = sa.select("state", "action", F.lit(0.0).alias("q"))
     for t in range(iterations):
         v = (q.join(allowed, ["state", "action"]).groupBy("state").agg(F.max("q").alias("v"))
@@ -108,3 +111,20 @@ def compare_policies(model: DataFrame, gamma: float, tau: float, iterations: int
                             F.col("q").alias("q_constrained")), "state", "full")
             .withColumn("same_action",
                         (F.col("action_unconstrained") == F.col("action_constrained")).cast("int")))
+
+
+def policy_value(model: DataFrame, greedy: DataFrame, clip: float = 10.0) -> DataFrame:
+    """(ips, ips_clipped, ips_sn, coverage) of a deterministic policy
+    (state, action) on the logged transitions: w = 1 / pi_b on the rows whose
+    action the policy takes, 0 on all others. coverage is the share of logged
+    rows in states for which the policy has an action."""
+    logged = (model.groupBy("state", "action").agg(F.sum("n").alias("n"),
+                                                   F.sum("reward_sum").alias("rs"))
+              .withColumn("n_s", F.sum("n").over(Window.partitionBy("state"))))
+    total = logged.select(F.sum("n")).scalar()
+    taken = logged.join(greedy.select("state", "action"), ["state", "action"])
+    w = F.col("n_s") / F.col("n")
+    s = taken.agg(F.sum(w * F.col("rs")).alias("wr"), F.sum(w * F.col("n")).alias("w"),
+                  F.sum(F.least(w, F.lit(clip)) * F.col("rs")).alias("wrc"))
+    return s.select((F.col("wr") / total).alias("ips"), (F.col("wrc") / total).alias("ips_clipped"),
+                    (F.col("wr") / F.col("w")).alias("ips_sn"), (F.col("w") / total).alias("coverage"))

@@ -677,6 +677,23 @@ FROM gu FULL JOIN gc ON gu.state = gc.state""")
 
 ORACLE["policy_compare_strict"] = ORACLE["policy_compare"].replace("pi_b >= 0.3 * mx", "pi_b >= 0.97 * mx")
 
+
+
+def _value(name: str, src: str, ok: str) -> str:
+    return f"""
+SELECT '{name}' AS policy, round(avg(w * reward), 6) AS ips,
+       round(avg(least(w, 10.0) * reward), 6) AS ips_clipped,
+       round(sum(w * reward) / sum(w), 6) AS ips_sn, round(avg(w), 6) AS coverage
+FROM (SELECT t.reward, CASE WHEN g.action = t.action THEN 1 / b.pi_b ELSE 0 END AS w
+      FROM trans t JOIN beh b USING (state, action)
+      LEFT JOIN ({GREEDY.format(src=src, ok=ok)}) g ON g.state = t.state)"""
+
+
+ORACLE["policy_value"] = sql(
+    POLICY, q_iter_ctes(0.0, "qu"), q_iter_ctes(0.3, "qc"), q_iter_ctes(0.97, "qs"),
+    select=" UNION ALL ".join([_value("unconstrained", "qu_q12", "qu_ok"), _value("constrained", "qc_q12", "qc_ok"),
+                               _value("strict", "qs_q12", "qs_ok")]))
+
 # ---------------------------------------------------------------- vector retrieval
 ORACLE["vec_topk"] = sql("""
 eq AS (SELECT e.vec_id, CAST(e.embedding AS DOUBLE[]) AS v FROM embeddings e

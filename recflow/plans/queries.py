@@ -588,6 +588,22 @@ def q_policy_compare_strict(spark, sf_dir):
                                    P.q_iterations)
 
 
+@query("policy_value")
+def q_policy_value(spark, sf_dir):
+    """Off-policy value of the greedy policies, unconstrained and
+    under both thresholds."""
+    m = _model(spark, sf_dir)
+    beh = policy.behaviour_policy(m)
+    out = None
+    for name, tau in (("unconstrained", 0.0), ("constrained", P.bcq_threshold),
+                      ("strict", P.strict_threshold)):
+        q = policy.q_values(m, P.gamma, tau, P.q_iterations, P.checkpoint_every)
+        v = policy.policy_value(m, policy.greedy_policy(q, policy.allowed_actions(beh, tau)), P.clip) \
+            .withColumn("policy", F.lit(name))
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
 # ---------------------------------------------------------------- vector retrieval
 from recflow.operators import knn  # noqa: E402
 
