@@ -59,7 +59,7 @@ BOS = MODEL_WORDS + TAIL_CLASSES     # context id before the first word
 CONTEXTS = BOS + 1
 PAIR_ROWS = 1 << 13                  # hashed rows of word pairs
 WORD_ROWS = 1 << 13                  # hashed rows of (class, previous word)
-DICTIONARY = 1 << 17
+DICTIONARY = 1 << 17                 # words at most whose counts every task knows
 SLICES = 8
 RATE = 0.5
 PRIOR = 8.0                          # pseudo-count that keeps rare rows near zero
@@ -137,7 +137,19 @@ class Vocabulary:
 def build_vocabulary(counts: DataFrame) -> Vocabulary:
     total = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
     n, v = int(total[0] or 0), int(total[1])
-    top = counts.orderBy(F.desc("c"), "h").limit(DICTIONARY).toPandas()
+    # a histogram of the counts in sixteenths of powers of two (about 1,000 rows at
+    # most) tells from which count on the words fit the dictionary
+    step = F.floor(F.log2("c") * 16)
+    hist = sorted(counts.groupBy(step.alias("b")).agg(F.count(F.lit(1)).alias("k")).collect(),
+                  key=lambda r: -r["b"])
+    least, words = None, 0
+    for r in hist:
+        words += r["k"]
+        if words > DICTIONARY:
+            break
+        least = r["b"]
+    top = counts.where(step >= F.lit(least) if least is not None else F.lit(False)).toPandas()
+    top = top.sort_values(["c", "h"], ascending=[False, True], ignore_index=True)
     tails = counts.groupBy("tail").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).toPandas()
     h, c = top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
     m = min(MODEL_WORDS, len(h))
