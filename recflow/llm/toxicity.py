@@ -6,8 +6,8 @@ another group of the same kind instead; the fit is penalised by the squared
 change of the sentence's logit, so group names themselves cannot carry toxicity
 and neutral mentions are not flagged.
 
-The fit uses a bounded sample of labelled documents: the ``MAX_SAMPLE``
-smallest by a hash of the id (all of them if there are fewer). Its features
+The fit uses a bounded sample of labelled documents: the share of ids by hash
+that gives ``MAX_SAMPLE`` of them (all if there are fewer). Its features
 (bounded by the sample) are fitted on the driver. Scoring covers every whole
 text: one narrow pass, Arrow batches in numpy, no shuffle; the model is a
 vector of fixed size.
@@ -40,7 +40,7 @@ cloudpickle.register_pickle_by_value(_text)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BITS = 18
-MAX_SAMPLE = 20_000      # labelled documents the model is fitted on
+MAX_SAMPLE = 20_000      # labelled documents the model is fitted on, give or take a hundredth
 MAX_SENTENCES = 200_000  # counterfactual sentences of the sample at most
 PENALTY = 1.0            # weight of squared logit changes under a swap
 L2 = 1e-4                # ridge penalty, against the mean loss of a document
@@ -156,8 +156,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
           text_col: str = "text") -> Model:
     """Fit on the labelled documents given (filter ``labels`` to hold some out)."""
     picked = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-              .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("y"))
-              .orderBy(F.xxhash64("id"), "id").limit(MAX_SAMPLE))
+              .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("y")))
+    share = int(2**40 * min(1.0, MAX_SAMPLE / max(1, picked.count())))
+    picked = picked.where(F.pmod(F.xxhash64("id"), F.lit(2**40)) < F.lit(share))
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(picked, "id")
 
     def rows(batches):
