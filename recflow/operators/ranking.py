@@ -36,7 +36,6 @@ def user_metrics(recs: DataFrame, heldout: DataFrame, k_values=(5, 10, 20),
     kk = _k(keys)
     ks = sorted(k_values)
     rel = relevance(heldout, keys)
-    users = rel.select(*kk, "user_id").distinct()
     miss = F.lit(0.0) if mode == "user" else normalized_reward(F.lit(0.0))
     hits = (recs.select(*kk, "user_id", "item_id", "rank")
             .join(rel, [*kk, "user_id", "item_id"], "left")
@@ -66,7 +65,7 @@ def user_metrics(recs: DataFrame, heldout: DataFrame, k_values=(5, 10, 20),
                 F.transform(gs, lambda g, i: gain(g) / discount(i + 1)),
                 F.lit(0.0), lambda a, b: a + b))
         per_user = per_user.drop("_lst")
-        base = users.join(per_user, [*kk, "user_id"], "left")
+        base = rel.select(*kk, "user_id").distinct().join(per_user, [*kk, "user_id"], "left")
     else:
         mk = max(ks)
         w = Window.partitionBy(*kk, "user_id").orderBy(F.col("rel").desc(), F.col("item_id"))
@@ -78,9 +77,9 @@ def user_metrics(recs: DataFrame, heldout: DataFrame, k_values=(5, 10, 20),
                   .otherwise(F.lit(0.0))).alias(f"idcg_{k}") for k in ks])
         nrel = rel.groupBy(*kk, "user_id").agg(
             F.count(F.when(F.col("rel") >= F.lit(threshold), 1)).alias("n_rel"))
-        base = (users.join(per_user, [*kk, "user_id"], "left")
-                .join(ideal, [*kk, "user_id"], "left")
-                .join(nrel, [*kk, "user_id"], "left"))
+        # every held-out user has a row in nrel and in ideal
+        base = (nrel.join(ideal, [*kk, "user_id"])
+                .join(per_user, [*kk, "user_id"], "left"))
 
     cols = []
     for k in ks:
