@@ -29,7 +29,7 @@ from recflow.llm.common import fresh, table
 
 MIN_SENTENCES = 3
 MIN_CHARS = 60
-LONG_CHARS = 250      # one or two sentences of about 50 words are a span as well
+LONG_CHARS = 180      # one or two sentences of some 40 words and more are a span as well
 MAX_SENTENCES = 12    # a run that is still below MIN_CHARS then is no span
 #: Between a sentence end with its white space and the next visible character.
 BORDER = r"(?<=\s)(?<=[.!?\n]\s{0,8})(?=\S)"

@@ -257,7 +257,7 @@ def test_sentence_spans(docs, rows, no_docs):
             n = c = 0
             for x in p[k:k + 12]:
                 n, c = n + 1, c + len(x.strip(" "))
-                if (n >= 3 and c >= 60) or c >= 250:
+                if (n >= 3 and c >= 60) or c >= sentence_spans.LONG_CHARS:
                     seen[tuple(y.strip(" ").lower() for y in p[k:k + n])].append((i, t, k, n))
                     break
     gone = defaultdict(set)
