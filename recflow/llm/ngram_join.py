@@ -59,8 +59,9 @@ K = 5
 NUM, DEN = 3, 4                  # similarity 0.75
 SAMPLE_DOCS = 5_000              # documents that decide which shingles are common
 COMMON_DOCS = 50                 # ... if so many of them have the shingle
-BUCKET_BYTES = 12 << 20          # text bytes a bucket
-MIN_BUCKETS = 64
+BUCKET_BYTES = 6 << 20           # text bytes a bucket
+MIN_BUCKETS = 128
+SLICE = 128                      # rows that a task turns into numpy arrays at once
 FLUSH = 1_000_000                # shingles a map task packs at once
 HUB_TOKENS = 8                   # rarest prefix shingles used in the hub rounds
 HUB_ROUNDS = 3
@@ -74,10 +75,14 @@ def _class_id(s: np.ndarray) -> int:
     return int(mix64(np.array([total], np.uint64)).view(np.int64)[0])
 
 
+def _slices(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for i in range(0, b.num_rows, SLICE):
+        yield b.slice(i, SLICE)
+
+
 def _sets(batches: Iterator[pa.RecordBatch], k: int):
     for b in batches:
-        for i in range(0, b.num_rows, 256):
-            part = b.slice(i, 256)
+        for part in _slices(b):
             yield part, list(shingle_sets(part.column("text"), k))
 
 
@@ -169,9 +174,9 @@ def _answer(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     cids = np.frombuffer(b"".join(pdf["cids"]), np.int64)
     counts = np.frombuffer(b"".join(pdf["counts"]), np.uint16)
     raw = np.frombuffer(b"".join(pdf["hashes"]), np.uint8).reshape(-1, HASH_BYTES)
-    wide = np.zeros((len(raw), 8), np.uint8)
-    wide[:, :HASH_BYTES] = raw
-    h = wide.view(np.uint64).ravel() | (np.uint64(key[0]) << np.uint64(8 * HASH_BYTES))
+    h = np.full(len(raw), np.uint64(key[0]) << np.uint64(8 * HASH_BYTES))
+    h.view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES] = raw
+    del raw
     owner = np.repeat(cids, counts)
     order = np.lexsort((owner, h))
     h, owner = h[order], owner[order]
@@ -197,7 +202,7 @@ def _ceil_share(n):
 
 def _rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ranked prefix and hash-sorted items of every class that can link."""
-    for b in batches:
+    for b in (s for whole in batches for s in _slices(whole)):
         out = {"cid": [], "n": [], "items": [], "prefix": []}
         for row in b.to_pylist():
             h = np.frombuffer(b"".join(p["hashes"] for p in row["parts"]), np.uint64)
@@ -219,7 +224,7 @@ def _rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes that link, by exact intersection."""
     def keep(batches):
-        for b in batches:
+        for b in (s for whole in batches for s in _slices(whole)):
             ok = []
             for na, nb, x, y in zip(*(b.column(c).to_pylist() for c in ("na", "nb", "ia", "ib"))):
                 both = len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64),
