@@ -159,7 +159,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
               .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("y")))
     share = int(2**40 * min(1.0, MAX_SAMPLE / max(1, picked.count())))
     picked = picked.where(F.pmod(F.xxhash64("id"), F.lit(2**40)) < F.lit(share))
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(picked, "id")
+    # bounded by MAX_SAMPLE ids: broadcast, so no text is shuffled
+    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(
+        F.broadcast(picked), "id")
 
     def rows(batches):
         for b in batches:
