@@ -1,15 +1,20 @@
 """Substring dedup by sliding sentence spans.
 
 A text is cut into sentences (after ``.``, ``!``, ``?`` or a line break with the
-space behind it), so the pieces put together give the text again. From every
-sentence starts one span: the run of following sentences that has at least
-``MIN_SENTENCES`` of them and ``MIN_CHARS`` characters, or, with fewer
-sentences, ``LONG_CHARS`` characters. Spans are hashed, joined over the whole
-corpus, and every sentence inside a span that is not the first of its kind is
-removed. First is the smallest (id, text hash, position).
-
-Scale: one row per sentence is shuffled, (hash, id, text hash, position,
-length); the first occurrence comes from a map-side reduced minimum, so a span
+space behind it), so the pieces put together give the text again. A run of
+sentences is a span if it has at least ``MIN_SENTENCES`` of them and
+``MIN_CHARS`` characters, or, with fewer sentences, ``LONG_CHARS`` characters or
+``LONG_WORDS`` words. Every sentence inside a span that is not the first of its
+kind in the whole corpus is removed. First is the smallest (id, text hash,
+position).
+
+Not every span needs a row: a repeated run is the union of the shortest spans
+that start at its sentences and the shortest that end at them, and where the run
+is a later one these are, too. So these are hashed and joined, and every short
+run that counts by its length alone beside them.
+
+Scale: about one row per sentence, and one more for each that is long, is
+shuffled, (hash, id, text hash, position, length); the first occurrence comes from a map-side reduced minimum, so a span
 in a third of all documents costs one row per task, and the join back to the
 occurrences is an equality join that AQE can split. Removed ranges are
 collected per document only (bounded by its own sentences).
@@ -25,11 +30,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recflow.llm.common import fresh, table
+from recflow.llm.common import fresh, table, words
 
 MIN_SENTENCES = 3
 MIN_CHARS = 60
-LONG_CHARS = 180      # one or two sentences of some 40 words and more are a span as well
+LONG_CHARS = 180      # one or two sentences of so many characters ...
+LONG_WORDS = 40       # ... or words are a span as well
 MAX_SENTENCES = 12    # a run that is still below MIN_CHARS then is no span
 #: Between a sentence end with its white space and the next visible character.
 BORDER = r"(?<=\s)(?<=[.!?\n]\s{0,8})(?=\S)"
@@ -41,17 +47,50 @@ def sentences(text: Column) -> Column:
 
 
 def spans(pieces: str) -> Column:
-    """Array of (pos, len, hash) for an array of (chars, hash); a sentence that
-    starts no span has a null hash."""
-    done = (f"(a.n + 1 >= {MIN_SENTENCES} and a.chars + x.chars >= {MIN_CHARS}) "
-            f"or a.chars + x.chars >= {LONG_CHARS}")
+    """Array of (pos, len, hash) of the spans for an array of (chars, words, hash)."""
+    def chained(first: str, n: int) -> str:
+        out = "42L"
+        for k in range(n):
+            out = f"xxhash64({out}, {pieces}[{first} + {k}].hash)"
+        return out
+
+    def total(field: str, n: int) -> str:
+        return " + ".join(f"{pieces}[i + {k}].{field}" for k in range(n))
+
+    def span(pos: str, n: str, hashed: str) -> str:
+        return f"named_struct('pos', {pos}, 'len', {n}, 'hash', {hashed})"
+
+    def grown(part: str) -> str:
+        """The shortest beginning of an array that is a span."""
+        return f"""aggregate({part}, named_struct('done', false, 'n', 0, 'chars', 0),
+          (a, x) -> if(a.done, a, named_struct(
+            'done', a.n + 1 >= {MIN_SENTENCES} and a.chars + x.chars >= {MIN_CHARS},
+            'n', a.n + 1, 'chars', a.chars + x.chars)))"""
+
+    def run_hash(pos: str, n: str) -> str:
+        return f"aggregate(slice({pieces}, {pos} + 1, {n}), 42L, (a, x) -> xxhash64(a, x.hash))"
+
+    none = span("i", "0", "cast(null as bigint)")
+    short = [f"if(i + {n} <= size({pieces}) and ({total('chars', n)} >= {LONG_CHARS} or "
+             f"{total('words', n)} >= {LONG_WORDS}), {span('i', str(n), chained('i', n))}, {none})"
+             for n in range(1, MIN_SENTENCES)]
+    enough = f"{total('chars', MIN_SENTENCES)} >= {MIN_CHARS}"
+    # runs that need more sentences are looked for from i on and from i + MIN_SENTENCES - 1 back;
+    # a run found backwards is another one only if it is a span without its last sentence too
+    on = grown(f"slice({pieces}, i + 1, {MAX_SENTENCES})")
+    end = f"i + {MIN_SENTENCES}"
+    back = grown(f"reverse(slice({pieces}, greatest({end} - {MAX_SENTENCES}, 0) + 1, "
+                 f"least({end}, {MAX_SENTENCES})))")
+    ends_here = f"{pieces}[{end} - 1].chars"
+    longer = f"""if(i + {MIN_SENTENCES} > size({pieces}), array(), concat(
+      transform(filter(array({on}), g -> g.done), g -> {span('i', 'g.n', run_hash('i', 'g.n'))}),
+      transform(filter(array({back}), g -> g.done and g.chars - {ends_here} >= {MIN_CHARS}),
+                g -> {span(f'{end} - g.n', 'g.n', run_hash(f'({end} - g.n)', 'g.n'))})))"""
+    exact = f"array({span('i', str(MIN_SENTENCES), chained('i', MIN_SENTENCES))})"
     return F.expr(f"""
-    transform(sequence(0, size({pieces}) - 1), i -> aggregate(
-      slice({pieces}, i + 1, {MAX_SENTENCES}),
-      named_struct('done', false, 'n', 0, 'chars', 0, 'hash', 42L),
-      (a, x) -> if(a.done, a, named_struct('done', {done}, 'n', a.n + 1,
-                   'chars', a.chars + x.chars, 'hash', xxhash64(a.hash, x.hash))),
-      a -> named_struct('pos', i, 'len', a.n, 'hash', if(a.done, a.hash, cast(null as bigint)))))""")
+    filter(flatten(transform(sequence(0, size({pieces}) - 1), i -> concat(array({', '.join(short)}),
+      if(i + {MIN_SENTENCES} <= size({pieces}) and {enough}, {exact}, {longer})))),
+      s -> s.hash is not null)""")
 
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -59,8 +98,9 @@ def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     p = docs.select(F.col(id_col).alias("id"), _key(text_col).alias("key"),
                     F.transform(sentences(F.col(text_col)), lambda s: F.struct(
                         F.length(F.trim(s)).alias("chars"),
+                        F.size(words(s)).alias("words"),
                         F.xxhash64(F.lower(F.trim(s))).alias("hash"))).alias("p"))
-    return (p.select("id", "key", F.explode(spans("p")).alias("s")).where("s.hash is not null")
+    return (p.select("id", "key", F.explode(spans("p")).alias("s"))
             .select("s.hash", "id", "key", "s.pos", "s.len"))
 
 

@@ -3,6 +3,7 @@ blanks, very long texts, ties, repeated rows and clashing column names."""
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -273,6 +274,53 @@ def test_sentence_spans(docs, rows, no_docs):
     assert sentence_spans.remove_repeated_spans(no_docs).count() == 0
 
 
+def spans_brute(rows, cut):
+    """Positions to remove by (id, text): every later occurrence of every run that counts."""
+    pieces, first = {r: cut(r[1]) for r in rows}, {}
+
+    def runs(r):
+        p = pieces[r]
+        for k in range(len(p)):
+            for e in range(k + 1, len(p) + 1):
+                run = tuple(y.strip(" ").lower() for y in p[k:e])
+                c, w = sum(map(len, run)), sum(len(words(y)) for y in run)
+                if (c >= 60 if e - k >= 3 else c >= 180 or w >= 40):
+                    yield run, k, e
+    for r in sorted(rows):
+        for run, k, _ in runs(r):
+            first.setdefault(run, (r, k))
+    return {r: sorted({j for run, k, e in runs(r) if first[run] != (r, k) for j in range(k, e)})
+            for r in rows}
+
+
+def check_spans(spark, rows, cut):
+    want = spans_brute(rows, cut)
+    got = sentence_spans.remove_repeated_spans(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.removed for r in got.collect()} == {r[0]: v for r, v in want.items()}
+    return {r[0]: v for r, v in want.items()}
+
+
+def test_sentence_spans_mark_every_repeated_run(spark):
+    rng = random.Random(8)
+
+    def sentence(n):
+        return "".join(rng.choice("abcdefghij") for _ in range(n - 1)) + "."
+
+    rows = []
+    for sizes in ((100, 90, 60), (100, 100, 100, 50), (70, 200, 40, 40), (100, 5, 5, 5), (30, 5, 5, 5, 30),
+                  (5, 5, 5, 100, 5, 5), (190,), (100, 90), (190, 20), (20, 20, 10), (20, 20, 19)):
+        shared = [sentence(n) for n in sizes]
+        for _ in range(2):
+            own = [sentence(rng.randint(2, 90)) for _ in range(6)]
+            rows.append((len(rows), " ".join(own[:3] + shared + own[3:])))
+    one_letter = " ".join("abcdefghij"[i % 10] for i in range(45)) + "."
+    rows += [(len(rows) + k, f"{sentence(30)} {one_letter} {sentence(20)}") for k in range(2)]
+    pool = [sentence(rng.choice((2, 5, 20, 50, 100, 185))) for _ in range(12)]
+    rows += [(len(rows) + k, " ".join(rng.choice(pool) for _ in range(rng.randint(1, 14)))) for k in range(60)]
+    want = check_spans(spark, rows, pieces_of)
+    assert [want[i] for i in (1, 3, 5, 7)] == [[3, 4, 5], [3, 4, 5, 6], [3, 4, 5, 6], [3, 4, 5, 6]]
+
+
 # --- 6 n-gram Jaccard join
 
 def shingles(t, k=5):
