@@ -1,7 +1,7 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences (after ``.``, ``!``, ``?`` or a line break with the
-space behind it), so the pieces put together give the text again. A run of
+A text is cut into sentences (after ``.``, ``!``, ``?`` or a line break with all
+white space behind it), so the pieces put together give the text again. A run of
 sentences is a span if it has at least ``MIN_SENTENCES`` of them and
 ``MIN_CHARS`` characters, or, with fewer sentences, ``LONG_CHARS`` characters or
 ``LONG_WORDS`` words. Every sentence inside a span that is not the first of its
@@ -36,14 +36,15 @@ MIN_SENTENCES = 3
 MIN_CHARS = 60
 LONG_CHARS = 180      # one or two sentences of so many characters ...
 LONG_WORDS = 40       # ... or words are a span as well
-MAX_SENTENCES = 12    # a run that is still below MIN_CHARS then is no span
-#: Between a sentence end with its white space and the next visible character.
-BORDER = r"(?<=\s)(?<=[.!?\n]\s{0,8})(?=\S)"
+#: A piece: up to a white-space run that follows . ! ? or holds a line break and
+#: stands before a visible character, or up to the end. Every run is read once.
+PIECE = r"(?s)(?!\z).*?(?:(?=\s)(?:(?<=[.!?])\s++|(?<!\s)[^\S\n]*+\n\s*+)(?=\S)|\z)"
 
 
 def sentences(text: Column) -> Column:
     """Pieces of the text that concatenate to it."""
-    return F.split(F.coalesce(text, F.lit("")), BORDER, -1)
+    return F.when(F.length(text) > 0, F.regexp_extract_all(text, F.lit(PIECE), F.lit(0))
+                  ).otherwise(F.array(F.lit("")))
 
 
 def spans(pieces: str) -> Column:
@@ -75,12 +76,14 @@ def spans(pieces: str) -> Column:
              f"{total('words', n)} >= {LONG_WORDS}), {span('i', str(n), chained('i', n))}, {none})"
              for n in range(1, MIN_SENTENCES)]
     enough = f"{total('chars', MIN_SENTENCES)} >= {MIN_CHARS}"
+    # no sentence is empty, so a run of MIN_CHARS sentences has MIN_CHARS characters
+    most = max(MIN_SENTENCES, MIN_CHARS)
     # runs that need more sentences are looked for from i on and from i + MIN_SENTENCES - 1 back;
     # a run found backwards is another one only if it is a span without its last sentence too
-    on = grown(f"slice({pieces}, i + 1, {MAX_SENTENCES})")
+    on = grown(f"slice({pieces}, i + 1, {most})")
     end = f"i + {MIN_SENTENCES}"
-    back = grown(f"reverse(slice({pieces}, greatest({end} - {MAX_SENTENCES}, 0) + 1, "
-                 f"least({end}, {MAX_SENTENCES})))")
+    back = grown(f"reverse(slice({pieces}, greatest({end} - {most}, 0) + 1, "
+                 f"least({end}, {most})))")
     ends_here = f"{pieces}[{end} - 1].chars"
     longer = f"""if(i + {MIN_SENTENCES} > size({pieces}), array(), concat(
       transform(filter(array({on}), g -> g.done), g -> {span('i', 'g.n', run_hash('i', 'g.n'))}),

@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from recflow.llm import (decontaminate, maxent_lm, mixing, ngram_join, quality_rules, secret_scan,
                          sentence_spans, sharding, text, toxicity, url_filter)
@@ -321,6 +322,30 @@ def test_sentence_spans_mark_every_repeated_run(spark):
     assert [want[i] for i in (1, 3, 5, 7)] == [[3, 4, 5], [3, 4, 5, 6], [3, 4, 5, 6], [3, 4, 5, 6]]
 
 
+def lines_of(t):
+    cut = [m.end() for m in re.finditer(r"(?a)(?<!\s)\s++(?=\S)", t) if "\n" in m[0] or t[m.start() - 1:m.start()] in tuple(".!?")]
+    return [t[a:b] for a, b in zip([0, *cut], [*cut, len(t)])]
+
+
+def test_sentence_spans_short_and_indented_lines(spark):
+    rng = random.Random(9)
+    column = "".join(f"{rng.randint(0, 99)}\n" for _ in range(60))
+    letters = "".join(f"{rng.choice('abc')}\n" for _ in range(200))
+    code = "".join("\n" + " " * rng.randint(9, 40) + f"value{i} = call({i}, {i * i})" for i in range(12))
+    texts = ["", None, " ", "\n\n", "\n\n  Start. ", "One.\u00a0two. Three", "a.b. c"]
+    for k in range(2):
+        texts += [f"Page {k}.\n{column}The end {k}.", f"List {k}:\n\n\n{letters}", f"def f{k}():{code}\n\treturn {k}  \n",
+                  f"Far {k}." + " " * 50 + "apart" * 3 + "!" + "\t" * 20 + "sentences here." + " " * 30 + "b" * 50 + "."]
+    texts += ["\n" * 100_000 + "x", "x" + "\n" * 100_000, "y." + " " * 100_000, "z" * 100_000]
+    rows = list(enumerate(texts))
+    split = spark.createDataFrame(rows, "i long, text string").select("i", sentence_spans.sentences(F.col("text")))
+    assert dict(map(tuple, split.collect())) == {i: lines_of(t or "") for i, t in rows}
+    want = check_spans(spark, [(i, t) for i, t in rows if t and len(t) < 99_999], lines_of)
+    n = [len(lines_of(t)) for t in texts[7:15]]
+    assert want[11] == list(range(1, n[4] - 1)) and want[12] == list(range(1, n[5]))
+    assert want[13] == list(range(1, 13)) and want[14] == list(range(1, n[7]))
+
+
 # --- 6 n-gram Jaccard join
 
 def shingles(t, k=5):
