@@ -11,9 +11,11 @@ second count, and no task ever holds a whole shard.
 
 The driver holds the counts and the matrix only: partitions x shards x
 blocks_per_shard numbers, fixed by parameters and not by the data. Everything
-else is DataFrame work. The permutations order by seeded hashes of the key
-columns (all columns by default); rows equal in all of them are interchangeable,
-so reruns agree.
+else is DataFrame work. Partitions and permutations follow seeded hashes of the
+key columns (all columns by default) and of a copy number, so rows equal in all
+of them go separate ways. Copies are numbered from 0 by the tasks that wrote
+them (counts by task, summed up, and a row number inside the task); they are
+interchangeable, so reruns agree.
 
 Defined results: nulls are hashed like values; an empty table gives no rows;
 fewer rows than shards leave some shards empty; repeated rows are rows of
@@ -27,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recflow.llm.common import fresh, table
+from recflow.llm.common import fresh, stored, table
 
 SHARDS = 40
 PARTITIONS = 256
@@ -51,6 +53,26 @@ def communication_matrix(counts: list[int], sizes: list[int], seed: int) -> np.n
     return out
 
 
+def _numbered(df: DataFrame, keys: list, copy: str) -> DataFrame:
+    """``df``, written once, with a number from 0 for rows equal in ``keys``."""
+    same, rid, task, before = fresh(df, "same", "rid", "task", "before")
+    rows = stored(df.withColumn(same, F.xxhash64(*keys)).withColumn(
+        rid, F.monotonically_increasing_id()), "shard-rows")
+    rows = rows.withColumn(task, F.shiftright(rid, 33))
+    whole = Window.partitionBy(same)
+    upto = whole.orderBy(task).rowsBetween(Window.unboundedPreceding, -1)
+    copies = stored(rows.groupBy(same, task).agg(F.count(F.lit(1)).alias("n"))
+                    .select(same, task, F.coalesce(F.sum("n").over(upto), F.lit(0)).alias(before),
+                            F.sum("n").over(whole).alias("n"))
+                    .where("n > 1").drop("n"), "shard-copies")
+    if copies.isEmpty():
+        return rows.withColumn(copy, F.lit(0).cast("bigint")).drop(same, rid, task)
+    inside = Window.partitionBy(same, task).orderBy(rid)
+    return (rows.join(copies, [same, task], "left")
+            .withColumn(copy, F.coalesce(F.col(before) + F.row_number().over(inside) - 1, F.lit(0))
+                        .cast("bigint")).drop(same, rid, task, before))
+
+
 def shard_rows(df: DataFrame, shards: int = SHARDS, key_cols: list[str] | None = None,
                partitions: int = PARTITIONS, blocks_per_shard: int = BLOCKS_PER_SHARD,
                seed: int = 7) -> DataFrame:
@@ -59,11 +81,13 @@ def shard_rows(df: DataFrame, shards: int = SHARDS, key_cols: list[str] | None =
     df = df.drop("shard", "slot")
     keys = [F.col(f"`{c}`") for c in (key_cols or df.columns)]
     part, run, cuts, block, begin = fresh(df, "part", "run", "cuts", "block", "begin")
-    order1, order2, tie = fresh(df, "order1", "order2", "tie")
+    order1, order2, tie, copy = fresh(df, "order1", "order2", "tie", "copy")
+    df = _numbered(df, keys, copy)
+    keys = [*keys, F.col(copy)]
     tagged = (df.withColumn(part, F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(partitions)).cast("int"))
               .withColumn(order1, F.xxhash64(F.lit(seed + 1), *keys))
               .withColumn(order2, F.xxhash64(F.lit(seed + 2), *keys))
-              .withColumn(tie, F.xxhash64(F.lit(seed + 3), *keys)))
+              .withColumn(tie, F.xxhash64(F.lit(seed + 3), *keys)).drop(copy))
     counts = dict(tagged.groupBy(part).count().collect())  # at most ``partitions`` rows
     per_part = [counts.get(i, 0) for i in range(partitions)]
     shard_sizes = exact_sizes(sum(per_part), shards)

@@ -554,6 +554,23 @@ def test_sharding(docs, rows, no_docs):
     assert sharding.shard_rows(no_docs).count() == 0
 
 
+def test_sharding_parts_equal_rows(spark):
+    rows = [(i, f"text {i}") for i in range(1000) for _ in range(3)] + [(-1, "hot")] * 1500
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sharding.shard_rows(df.repartition(3), shards=5, partitions=16).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(rows)
+    place = defaultdict(list)
+    for r in got:
+        place[r.doc_id].append((r.shard, r.slot))
+    hot = Counter(s for s, _ in place.pop(-1))
+    assert all(230 < hot[s] < 370 for s in range(5))
+    together = sum(len({s for s, _ in p}) == 1 for p in place.values())
+    adjacent = sum(a[0] == b[0] and b[1] - a[1] == 1 for p in place.values() for a, b in zip(sorted(p), sorted(p)[1:]))
+    assert 10 < together < 80 and adjacent < 20   # 40 and about 1.3 expected
+    again = sharding.shard_rows(df.repartition(7), shards=5, partitions=16).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, got))
+
+
 def test_communication_matrix_is_exact_and_uniform():
     counts, sizes = [5, 0, 20, 7], sharding.exact_sizes(32, 5)
     total = np.zeros((4, 5))
