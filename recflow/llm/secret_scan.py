@@ -5,8 +5,8 @@ pattern gives candidates: long unbroken strings that mix letters and digits.
 All values, base and wide, are hashed and counted over the corpus by distinct
 repositories and distinct owners. A value that many owners have is a copied
 example; a value that stays with one owner is live-looking. Wide candidates
-outside the base spans are added as spans when they are live-looking; base
-spans stay either way and are only labelled.
+that base spans do not cover in full are added as spans when they are
+live-looking; base spans stay either way and are only labelled.
 
 Scale: one pass finds the spans inside each row; what leaves the row is
 (hash, owner, repository), reduced map-side to distinct triples before the
@@ -73,8 +73,10 @@ def find_spans(docs: DataFrame, text_col: str) -> DataFrame:
     base = F.array_sort(F.concat(assign, spans_of(text, ACCESS, 1, 0), spans_of(text, HEX, 2, 0)))
     wide = F.filter(spans_of(text, WIDE, 3, 0), lambda s: s["value"].rlike("[0-9]")
                     & s["value"].rlike("[A-Za-z]"))
-    outside = F.filter(F.col("wide"), lambda s: ~F.exists(
-        F.col("base"), lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))
+    # base spans in order of start cover a candidate as far as they follow on each other
+    outside = F.filter(F.col("wide"), lambda s: F.aggregate(
+        F.col("base"), s["start"], lambda upto, b: F.when(
+            b["start"] <= upto, F.greatest(upto, b["stop"])).otherwise(upto)) < s["stop"])
     return (docs.withColumn("base", base).withColumn("wide", wide).withColumn("wide", outside))
 
 
