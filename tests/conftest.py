@@ -19,7 +19,3 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_small():
     return SF_SMALL
-
-
-def frame(spark, rows, schema="user_id long, item_id long, rating double, ts long"):
-    return spark.createDataFrame(rows, schema)

@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import frame
+from frames import frame
 from recflow.operators import cf, features, ope, ranking, splits, traj
 
 
