@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from recflow.llm import (decontaminate, maxent_lm, mixing, ngram_join, quality_rules,
+from recflow.llm import (decontaminate, maxent_lm, merkle_log, mixing, ngram_join, quality_rules,
                          secret_scan, sentence_spans, sharding, toxicity, url_filter)
 
 QUERIES = {
@@ -16,8 +16,10 @@ QUERIES = {
     "op8_maxent_lm": maxent_lm.op8_maxent_lm,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_sharding": sharding.op10_sharding,
+    "op11_merkle_manifest": merkle_log.op11_merkle_manifest,
 }
 
 #: Only where SQL expresses the whole query; the others are tested against
 #: brute force in tests/llm.
-ORACLE = {"op1_url_filter": url_filter.ORACLE, "op7_decontamination": decontaminate.ORACLE}
+ORACLE = {"op1_url_filter": url_filter.ORACLE, "op7_decontamination": decontaminate.ORACLE,
+          "op11_merkle_manifest": merkle_log.ORACLE}
