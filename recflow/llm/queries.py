@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from recflow.llm import (decontaminate, maxent_lm, merkle_log, mixing, ngram_join, quality_rules,
-                         secret_scan, sentence_spans, sharding, toxicity, url_filter)
+from recflow.llm import (decontaminate, hard_negatives, inner_products, maxent_lm, merkle_log,
+                         mixing, ngram_join, quality_rules, secret_scan, sentence_spans, sharding, toxicity, url_filter)
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -17,9 +17,13 @@ QUERIES = {
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_sharding": sharding.op10_sharding,
     "op11_merkle_manifest": merkle_log.op11_merkle_manifest,
+    "op12_topk_search": inner_products.op12_topk_search,
+    "op13_hard_negatives": hard_negatives.op13_hard_negatives,
 }
 
 #: Only where SQL expresses the whole query; the others are tested against
 #: brute force in tests/llm.
 ORACLE = {"op1_url_filter": url_filter.ORACLE, "op7_decontamination": decontaminate.ORACLE,
-          "op11_merkle_manifest": merkle_log.ORACLE}
+          "op11_merkle_manifest": merkle_log.ORACLE,
+          "op12_topk_search": inner_products.ORACLE,
+          "op13_hard_negatives": hard_negatives.ORACLE}
