@@ -13,15 +13,17 @@ that start at its sentences and the shortest that end at them, and where the run
 is a later one these are, too. So these are hashed and joined, and every short
 run that counts by its length alone beside them.
 
-Scale: about one row per sentence, and one more for each that is long, is
-shuffled, (hash, id, text hash, position, length); the first occurrence comes from a map-side reduced minimum, so a span
-in a third of all documents costs one row per task, and the join back to the
-occurrences is an equality join that AQE can split. Removed ranges are
-collected per document only (bounded by its own sentences).
+Scale: texts are cut once and the spans of a document written as one narrow row;
+about one row per sentence, and one more for each that is long, is then
+shuffled, (hash, id, text hash, position, length). The first occurrence comes from a
+map-side reduced minimum, so a span in a third of all documents costs one row per
+task; firsts are written too, and the join of the occurrences to them is an equality
+join whose hot hashes AQE splits. Removed ranges are collected per document only
+(bounded by its own sentences); texts are shuffled once, to their ranges.
 
 Defined results: a null or blank text has no spans and stays as it is; rows
 equal in id and text count as one occurrence and are cleaned alike; null ids
-come after all others; an empty table gives no rows; extra columns are kept,
+come after all others; a very long text is one row with one span list; an empty table gives no rows; extra columns are kept,
 input columns named like an output are replaced.
 """
 
@@ -30,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recflow.llm.common import fresh, table, words
+from recflow.llm.common import fresh, stored, table, words
 
 MIN_SENTENCES = 3
 MIN_CHARS = 60
@@ -96,15 +98,14 @@ def spans(pieces: str) -> Column:
       s -> s.hash is not null)""")
 
 
-def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(hash, id, key, pos, len) of every span."""
+def cut_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, key, n, spans) per document: number of sentences and every span."""
     p = docs.select(F.col(id_col).alias("id"), _key(text_col).alias("key"),
                     F.transform(sentences(F.col(text_col)), lambda s: F.struct(
                         F.length(F.trim(s)).alias("chars"),
                         F.size(words(s)).alias("words"),
                         F.xxhash64(F.lower(F.trim(s))).alias("hash"))).alias("p"))
-    return (p.select("id", "key", F.explode(spans("p")).alias("s"))
-            .select("s.hash", "id", "key", "s.pos", "s.len"))
+    return p.select("id", "key", F.size("p").cast("bigint").alias("n"), spans("p").alias("spans"))
 
 
 def _key(text_col: str) -> Column:
@@ -116,27 +117,33 @@ def remove_repeated_spans(docs: DataFrame, id_col: str = "doc_id",
     """``docs`` with the cleaned text in place, n_sentences, n_removed and
     removed (positions of the removed sentences)."""
     docs = docs.drop("n_sentences", "n_removed", "removed")
-    found = occurrences(docs, id_col, text_col)
+    cuts = stored(cut_texts(docs, id_col, text_col), "span-cuts")
+    found = cuts.select("id", "key", F.inline("spans"))
     at = F.struct(F.col("id").isNull(), "id", "key", "pos")
-    # rows equal in id and text give equal structs: min and max tell if there is another one
-    first = (found.groupBy("hash").agg(F.min(at).alias("first"), F.max(at).alias("last"))
-             .where("first != last").select("hash", "first"))
+    # rows equal in id and text give equal structs: min and max tell if there is another one;
+    # written, so that both sides of the join are plain exchanges that AQE can split
+    first = stored(found.groupBy("hash").agg(F.min(at).alias("first"), F.max(at).alias("last"))
+                   .where("first != last").select("hash", "first"), "span-firsts")
     later = found.join(first, "hash").where(at != F.col("first"))
-    i, key, ranges, pieces = fresh(docs, "i", "key", "ranges", "pieces")
-    per_doc = (later.groupBy("id", "key").agg(F.collect_set(F.struct("pos", "len")).alias(ranges))
-               .withColumnsRenamed({"id": i, "key": key}))
+    i, key, n, ranges, pieces = fresh(docs, "i", "key", "n", "ranges", "pieces")
+    ranged = later.groupBy("id", "key").agg(F.collect_set(F.struct("pos", "len")).alias(ranges))
+    counted = cuts.groupBy("id", "key").agg(F.max("n").alias(n))
+    per_doc = (counted.join(ranged.withColumnsRenamed({"id": "r_id", "key": "r_key"}),
+                            F.col("id").eqNullSafe(F.col("r_id")) & (F.col("key") == F.col("r_key")), "left")
+               .select(F.col("id").alias(i), F.col("key").alias(key), n, ranges))
     joined = docs.join(per_doc, F.col(id_col).eqNullSafe(F.col(i))
                        & (_key(text_col) == F.col(key)), "left").drop(i, key)
-    joined = joined.withColumn(pieces, sentences(F.col(text_col)))
+    # only texts that lose something are cut again
+    joined = joined.withColumn(pieces, F.when(F.col(ranges).isNotNull(), sentences(F.col(text_col))))
     gone = F.array_sort(F.array_distinct(F.flatten(F.transform(
         ranges, lambda r: F.sequence(r["pos"], r["pos"] + r["len"] - 1)))))
     joined = joined.withColumn("removed", F.coalesce(gone, F.array().cast("array<int>")))
     left = F.array_except(F.sequence(F.lit(0), F.size(pieces) - 1), F.col("removed"))
     kept = F.array_join(F.transform(left, lambda j: F.get(F.col(pieces), j)), "")
-    return (joined.withColumn("n_sentences", F.size(pieces).cast("bigint"))
+    return (joined.withColumn("n_sentences", F.col(n))
             .withColumn("n_removed", F.size("removed").cast("bigint"))
             .withColumn(text_col, F.when(F.size("removed") == 0, F.col(text_col)).otherwise(kept))
-            .drop(ranges, pieces))
+            .drop(ranges, pieces, n))
 
 
 def op5_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
