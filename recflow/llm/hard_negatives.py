@@ -56,7 +56,7 @@ cloudpickle.register_pickle_by_value(_vectors)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAX_CODES = 256
-PAGE_ROWS = 2048
+PAGE_ROWS = 512
 PACK_ROWS = 256
 FIRST_CELLS = 16
 GROWTH = 4
@@ -275,7 +275,9 @@ class Index:
             else:
                 pages = self.pages.select("cell", *(F.col(c).alias(f"page_{c}") for c in
                                                     ("rid", "id", "label", "vec")))
-                new = (plan.withColumn("cell", F.explode("cells")).drop("cells").join(pages, "cell")
+                # a pack's row is copied to each of its cells, which file sizes don't show
+                new = (plan.withColumn("cell", F.explode("cells")).drop("cells")
+                       .join(pages.hint("merge"), "cell")
                        .drop("cell").mapInArrow(task, FOUND))
                 if found is not None:
                     new = new.unionByName(found.drop("rank"))

@@ -217,8 +217,8 @@ def top_k(vectors: DataFrame, k: int, asks: Column, scale: int, id_col: str = "v
         packs = (asked.groupBy("pack").applyInArrow(_pack_queries(dim, turn, start, end, cuts), PACK)
                  .withColumn("block", F.explode(F.sequence(F.lit(start).cast("bigint"), F.col("upto") - 1))))
         part = blocks.where((F.col("block") >= start) & (F.col("block") < end))
-        if (end - start) * block_rows * dim * 16 <= BROADCAST_BYTES:
-            part = F.broadcast(part)
+        small = (end - start) * block_rows * dim * 16 <= BROADCAST_BYTES
+        part = F.broadcast(part) if small else part.hint("merge")
         new = packs.join(part, "block").mapInArrow(_score(dim, k), FOUND)
         if found is not None:
             new = new.unionByName(found.drop("rank"))
