@@ -4,10 +4,14 @@ Quality rules drop rejected documents, the n-gram Jaccard join keeps one
 document of each near-duplicate group, documents with a benchmark passage go,
 sources are mixed to their target weights (a document comes as often as the mix
 takes it), and the rest is dealt into shards of exact sizes. Every stage reads
-what its predecessor wrote.
+what its predecessor wrote, and working tables and earlier results are deleted as
+soon as nothing reads them.
 
 Rows: null and empty texts are rejected by the quality rules; an empty table
-passes through; extra columns are kept by every stage.
+passes through; extra columns are kept by every stage, and one named ``shard`` or
+``slot`` is replaced by the last. Of equal or repeated rows the join keeps one; the
+mix may take it up to three times, and the shards part its copies. Ties (equal ids
+or hashes) follow the operators. A very long text must fit a task, like any row.
 """
 
 from __future__ import annotations
@@ -15,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from recflow.llm import decontaminate, mixing, ngram_join, quality_rules, sharding
-from recflow.llm.common import stored, table
+from recflow.llm.common import table
+from recflow.session import release, released, scratch_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +57,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        with released(spark):  # working tables go once the stage's result is written
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            release(spark, [before])
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

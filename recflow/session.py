@@ -87,9 +87,14 @@ def released(spark: SparkSession):
     try:
         yield
     finally:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in _written()[start:]:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
+        release(spark, _written()[start:])
         del _written()[start:]
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes folders of the shared checkpoint folder that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
