@@ -1,12 +1,20 @@
 """Quality rules with adaptive thresholds per language and source.
 
 Two fixed base rules (too short; too repetitive) reject as before. Every other
-rule compares a ratio of the document with a threshold learned from the corpus:
-mergeable KLL quantile sketches of each ratio per (language, source) give
-quartiles and a high quantile, and a document fails when it lies far above the
-bulk of its own group. Sketches are built map-side and merged, so a hot source
-costs one sketch per task; sketches of a group with few documents are merged
-into its language's, and those of the whole corpus back up languages.
+rule compares a ratio of the document with a limit learned from the corpus. The
+distinct texts of a (language, source) give a mergeable KLL quantile sketch per
+ratio. A group's limit is the median and a slack, plus ``SPREAD`` times the distance
+of two inner quantiles, or the ratio's floor if that is higher. The quantiles lie
+below the two-thirds point, so up to a third of junk (``TOLERATED``) with high ratios
+leaves them among the clean documents. A language's limit is the median of its
+groups' limits, weighted by their texts, the corpus's that of all groups. A group's
+limit is drawn towards its language's by a weight that falls with its number of texts
+(``SHRINK``), and never exceeds ``MULTIPLE`` times it; languages relate to the corpus in
+the same way, so a group with more junk, or of junk alone, is held by the others as
+long as these have most of the texts.
+
+Sketches are built map-side and merged, so a hot source costs one sketch per task.
+Copies are counted once: texts meet by hash on narrow rows, reduced map-side.
 
 Main path: DataFrame functions only. Repeated 3-word windows are found inside
 a document's own arrays: window hashes with the position in the low bits are
@@ -14,8 +22,10 @@ sorted as longs, equal neighbours are compared word by word.
 
 Defined results: a null text has no words (all counts 0, base_failed, not
 kept); null languages and sources are groups of their own; an empty table
-gives no rows; repeated rows are judged alike; extra columns are kept, input
-columns named like an output are replaced.
+gives no rows; repeated rows are judged alike; a ratio equal to its limit passes;
+a very long text is arrays in one row, so it must fit a task. ``filter_quality``
+keeps extra columns, whatever their names; ``judge_quality`` returns the id, the
+language, the source and the columns of ``OUTPUTS`` only.
 """
 
 from __future__ import annotations
@@ -27,9 +37,13 @@ from recflow.llm.common import SPACES, fresh, stored, table, words
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-MIN_GROUP = 200      # smaller groups use their language's, then the corpus's quantiles
-TAIL = 0.9           # a document fails above the tail quantile ...
-SPREAD = 6.0         # ... if that is also this many quartile ranges above the median
+TOLERATED = 1 / 3    # share of junk in a group that the quantiles below stand
+CENTRE = 0.5         # a limit is this quantile, SLACK of it more, ...
+SLACK = 0.1
+INNER = (0.2, 0.65)  # ... and SPREAD times the distance between these, all under 1 - TOLERATED
+SPREAD = 6.0
+SHRINK = 20          # so many texts weigh as much as the limit of the level above
+MULTIPLE = 3.0       # of the limit of the level above, which no limit exceeds
 SKETCH_K = 2048      # a sketch is exact up to about so many documents, rank error 0.1 % beyond
 GRID = 0.05          # limits are rounded up to this grid, so sketch noise does not show
 RATIOS = ("symbol_ratio", "dup_line_ratio", "repeat_ratio", "word_length")
@@ -85,44 +99,42 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
             .drop(w, t, lines))
 
 
-def learned_limits(measured: DataFrame, lang_col: str, source_col: str) -> DataFrame:
-    """(lang, source, limit_<ratio>): one sketch per ratio and group, groups'
-    sketches merged into their language's and the corpus's. Documents that the
-    base rules reject do not shape the limits."""
-    base = measured.where("not base_failed").groupBy(
-        F.col(lang_col).alias("g_lang"), F.col(source_col).alias("g_source")).agg(
+def learned_limits(measured: DataFrame, lang_col: str, source_col: str, key_col: str) -> DataFrame:
+    """(g_lang, g_source, limit_<ratio>) from the distinct texts (``key_col``: their
+    hash). Documents that the base rules reject do not shape the limits."""
+    texts = measured.where("not base_failed").select(
+        F.col(lang_col).alias("g_lang"), F.col(source_col).alias("g_source"),
+        F.col(key_col).alias("text_key"), *RATIOS).distinct()
+    base = stored(texts.groupBy("g_lang", "g_source").agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.kll_sketch_agg_double(F.col(r).cast("double"), F.lit(SKETCH_K)).alias(r) for r in RATIOS])
-    base = stored(base, "quality-sketches")
-    merged = [F.sum("n").alias("n"), *[F.kll_merge_agg_double(F.col(r), F.lit(SKETCH_K)).alias(r) for r in RATIOS]]
-    langs = base.groupBy("g_lang").agg(*merged).where(F.col("n") >= MIN_GROUP)
-    corpus = base.agg(*merged)
-
-    def limits(df: DataFrame, mark: str) -> DataFrame:
-        def q(r, p):
-            return F.kll_sketch_get_quantile_double(F.col(r), F.lit(p))
-        out = [F.when(F.col("n") > 0, F.lit(GRID) * F.ceil(F.greatest(
-            q(r, TAIL), q(r, 0.5) + F.lit(SPREAD) * (q(r, 0.75) - q(r, 0.25)), F.lit(FLOORS[r])
-            ) / F.lit(GRID))).alias(f"{mark}_{r}") for r in RATIOS]
-        return df.select(*[c for c in ("g_lang", "g_source") if c in df.columns], *out)
-
-    group = limits(base.where(F.col("n") >= MIN_GROUP), "own")
-    lang = limits(langs, "lang").withColumnRenamed("g_lang", "l")
-    every = base.select("g_lang", "g_source")
-    joined = (every.join(group.select(F.col("g_lang").alias("a"), F.col("g_source").alias("b"),
-                                      *[f"own_{r}" for r in RATIOS]),
-                         F.col("g_lang").eqNullSafe(F.col("a"))
-                         & F.col("g_source").eqNullSafe(F.col("b")), "left")
-              .join(lang, F.col("g_lang").eqNullSafe(F.col("l")), "left")
-              .crossJoin(F.broadcast(limits(corpus, "all"))))  # one row
-    return joined.select("g_lang", "g_source", *[F.coalesce(
-        f"own_{r}", f"lang_{r}", f"all_{r}").alias(f"limit_{r}") for r in RATIOS])
-
-
-def _judged(measured: DataFrame, lang_col: str, source_col: str) -> DataFrame:
-    """``measured`` with kept."""
+        *[F.kll_sketch_agg_double(F.col(r).cast("double"), F.lit(SKETCH_K)).alias(r) for r in RATIOS]),
+        "quality-sketches")
+
+    def limit(r):
+        at = [F.kll_sketch_get_quantile_double(F.col(r), F.lit(p)) for p in (CENTRE, *INNER)]
+        return F.greatest(at[0] * F.lit(1 + SLACK) + F.lit(SPREAD) * (at[2] - at[1]), F.lit(FLOORS[r]))
+
+    def middle(mark: str) -> list:
+        return [F.sum("n").alias(f"{mark}_n"), *[F.percentile(f"own_{r}", F.lit(0.5), F.col("n")).alias(f"{mark}_{r}")
+                                                 for r in RATIOS]]
+
+    def drawn(n: str, limit: str, above):
+        weight = F.col(n) / (F.col(n) + F.lit(SHRINK))
+        return F.least(weight * F.col(limit) + (1 - weight) * above, F.lit(MULTIPLE) * above)
+
+    own = base.select("g_lang", "g_source", "n", *[limit(r).alias(f"own_{r}") for r in RATIOS])
+    lang = own.groupBy("g_lang").agg(*middle("lang")).withColumnRenamed("g_lang", "l")
+    joined = (own.join(lang, F.col("g_lang").eqNullSafe(F.col("l")))
+              .crossJoin(F.broadcast(own.agg(*middle("all")))))  # one row
+    return joined.select("g_lang", "g_source", *[
+        (F.lit(GRID) * F.ceil(drawn("n", f"own_{r}", drawn("lang_n", f"lang_{r}", F.col(f"all_{r}")))
+                              / F.lit(GRID))).alias(f"limit_{r}") for r in RATIOS])
+
+
+def _judged(measured: DataFrame, lang_col: str, source_col: str, key_col: str) -> DataFrame:
+    """``measured`` with kept, without its key."""
     lang, source = fresh(measured, "g_lang", "g_source")
-    limits = learned_limits(measured, lang_col, source_col).withColumnsRenamed(
+    limits = learned_limits(measured, lang_col, source_col, key_col).withColumnsRenamed(
         {"g_lang": lang, "g_source": source})
     within = F.lit(True)
     for r in RATIOS:
@@ -130,15 +142,18 @@ def _judged(measured: DataFrame, lang_col: str, source_col: str) -> DataFrame:
     return (measured.join(limits, F.col(lang_col).eqNullSafe(F.col(lang))
                           & F.col(source_col).eqNullSafe(F.col(source)), "left")
             .withColumn("kept", ~F.col("base_failed") & within)
-            .drop(lang, source, *[f"limit_{r}" for r in RATIOS]))
+            .drop(lang, source, key_col, *[f"limit_{r}" for r in RATIOS]))
 
 
 def judge_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
                   source_col: str = "source", id_col: str = "doc_id") -> DataFrame:
     """Counts, base_failed and kept of every document, without its text."""
-    measured = stored(measures(docs, text_col).select(
-        id_col, lang_col, source_col, *[c for c in OUTPUTS if c != "kept"]), "quality-measures")
-    return _judged(measured, lang_col, source_col)
+    kept = [id_col, lang_col, source_col]
+    docs = docs.select(*kept, text_col)
+    key, = fresh(docs, "text_key")
+    measured = stored(measures(docs.withColumn(key, F.xxhash64(text_col)), text_col).select(
+        *kept, key, *[c for c in OUTPUTS if c != "kept"]), "quality-measures")
+    return _judged(measured, lang_col, source_col, key)
 
 
 def filter_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
@@ -146,8 +161,10 @@ def filter_quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     """The documents that are kept, columns as given."""
     clash = [c for c in docs.columns if c in OUTPUTS]
     renamed = dict(zip(clash, fresh(docs, *[f"in_{c}" for c in clash])))
-    measured = stored(measures(docs.withColumnsRenamed(renamed), text_col), "quality-documents")
-    kept = _judged(measured, lang_col, source_col).where("kept")
+    key, = fresh(docs, "text_key")
+    keyed = docs.withColumnsRenamed(renamed).withColumn(key, F.xxhash64(text_col))
+    measured = stored(measures(keyed, text_col), "quality-documents")
+    kept = _judged(measured, lang_col, source_col, key).where("kept")
     return kept.select(*[F.col(f"`{renamed.get(c, c)}`").alias(c) for c in docs.columns])
 
 

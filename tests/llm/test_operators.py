@@ -551,6 +551,57 @@ def test_quality_rules_adapt_to_the_group(spark):
     assert not got.pop(5000) and all(got.values())
 
 
+@pytest.mark.parametrize("n,junk", [(900, 0.09), (900, 0.12), (900, 0.33), (150, 0.33), (300, 0.9)])
+def test_quality_rules_stand_junk_in_one_group(spark, n, junk):
+    """Symbol spam is rejected and nothing else, also where it fills a third of a group
+    (or more: the limits of the language and the corpus hold it)."""
+    rng = random.Random(4)
+
+    def text(spam):
+        w = [f"{rng.choice('abcdefgh')}{rng.randrange(10**6)}" for _ in range(80)]
+        return " ".join(x + "#$%" if spam else x + "&" * (rng.random() < 0.03) for x in w)
+    rows = [(i, text(i < junk * n), "en", "mixed") for i in range(n)]
+    rows += [(10_000 + i, text(False), "en", f"s{i % 3}") for i in range(900)]
+    rows += [(20_000 + i, rows[0][1], "en", "mixed") for i in range(500)]  # copies shape nothing
+    got = {r.doc_id: r.kept for r in quality_rules.judge_quality(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert {i for i, k in got.items() if not k} == {i for i in got if i < junk * n or i >= 20_000}
+
+
+def test_quality_limits_follow_the_definition(spark):
+    """Limits recomputed from whole lists; sketches of so few texts are exact."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(700):
+        g = rng.choice([("en", "a"), ("en", "b"), ("de", "a"), (None, None), ("fr", "rare")][:5 if i % 50 == 0 else 4])
+        w = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+        rows.append((i, " ".join(x + "#" * (rng.random() < (0.5 if g[1] == "b" else 0.1)) for x in w), *g))
+    rows += rows[:100]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    m = quality_rules.measures(df.withColumn("k", F.xxhash64("text")))
+    got = {(r.g_lang, r.g_source): r.limit_symbol_ratio for r in
+           quality_rules.learned_limits(m, "lang", "source", "k").collect()}
+    ratio = {(la, s, t): t.count("#") / 60 for _, t, la, s in rows}
+
+    def own(g):
+        x = sorted(v for k, v in ratio.items() if k[:2] == g)
+        q = [x[max(math.ceil(p * len(x)) - 1, 0)] for p in (0.5, 0.2, 0.65)]
+        return len(x), max(q[0] * 1.1 + 6 * (q[2] - q[1]), 0.2)
+
+    def drawn(n, limit, above):
+        return min(n / (n + 20) * limit + 20 / (n + 20) * above, 3 * above)
+
+    groups = {g: own(g) for g in {k[:2] for k in ratio}}
+
+    def middle(keep):
+        every = [x for g, (n, x) in groups.items() if keep(g) for _ in range(n)]
+        return len(every), float(np.percentile(every, 50))
+    want = {g: drawn(*groups[g], drawn(*middle(lambda k: k[0] == g[0]), middle(lambda k: True)[1]))
+            for g in groups}
+    assert got.keys() == want.keys()
+    assert all(abs(got[g] - 0.05 * math.ceil(want[g] / 0.05)) < 1e-6 for g in want)
+
+
 # --- 10 sharding
 
 def test_sharding(docs, rows, no_docs):
