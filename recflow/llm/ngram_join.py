@@ -65,6 +65,7 @@ SLICE = 128                      # rows that a task turns into numpy arrays at o
 FLUSH = 1_000_000                # shingles a map task packs at once
 HUB_TOKENS = 8                   # rarest prefix shingles used in the hub rounds
 HUB_ROUNDS = 3
+HUBS = 4                         # hubs of a shingle list from the second round on
 HASH_BYTES = 5                   # of a shingle inside its bucket; the bucket number adds to them
 BUCKET_BITS = 24
 
@@ -264,13 +265,13 @@ def _groups(members: DataFrame) -> DataFrame:
 
 
 def _hub_pairs(members: DataFrame, turn: int) -> DataFrame:
-    """(a, b): classes with hubs of their shingle lists, one hub a list.
+    """(a, b): classes with hubs of their shingle lists.
 
     First turn: the hub is the list's most central group (the original among
     edited copies), and a class is paired with the hub it shares most of its
     rarest shingles with. Later turns: lists of other prefix shingles, drawn by
-    hash, with a random hub each, and a class is paired with all of them that
-    lie in another component."""
+    hash, with up to HUBS random hubs each, and a class is paired with all of them
+    that lie in another component."""
     groups = _groups(members)
     if turn == 0:
         drawn, first = F.slice("prefix", 1, HUB_TOKENS), F.col("lonely")
@@ -279,9 +280,9 @@ def _hub_pairs(members: DataFrame, turn: int) -> DataFrame:
             F.xxhash64(t, F.lit(turn)).alias("r"), t.alias("t")))), 1, HUB_TOKENS)["t"]
         first = F.lit(0.0)
     lists = groups.select("gid", "rep", "n", "comp", "lonely", F.explode(drawn).alias("t"))
-    hubs = lists.groupBy("t").agg(F.min(F.struct(
+    hubs = lists.groupBy("t", F.pmod(F.xxhash64(F.lit(-turn), "gid"), F.lit(HUBS if turn else 1))).agg(F.min(F.struct(
         first.alias("l"), F.xxhash64(F.lit(turn), "gid", "t").alias("r"), "gid", "rep", "n", "comp")
-        ).alias("hub"))
+        ).alias("hub")).select("t", "hub")
     met = (lists.join(hubs, "t").where(_similar_size("n", "hub.n"))
            .where("comp is null or hub.comp is null or comp != hub.comp or gid = hub.gid")
            .groupBy("gid", F.col("hub.rep").alias("b")).agg(F.count(F.lit(1)).alias("c")))
