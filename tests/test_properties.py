@@ -54,6 +54,30 @@ def test_chunked_pairs_equal_plain_pairs(spark, sf_small):
     a = {(r.item_a, r.item_b): (round(r.dot, 9), r.co) for r in plain.collect()}
     b = {(r.item_a, r.item_b): (round(r.dot, 9), r.co) for r in chunked.collect()}
     assert a == b
+    parts = cf.pair_aggregates(cen, chunk_size=7, item_raters=2, min_co=2)
+    c = {(r.item_a, r.item_b): (round(r.dot, 9), r.co) for r in parts.collect()}
+    assert c == {p: v for p, v in a.items() if v[1] >= 2} and c
+    users = {}
+    for r in cen.collect():
+        users.setdefault(r.user_id, []).append((r.item_id, r.centered))
+    brute = {}
+    for u in users.values():
+        for i, x in u:
+            for j, y in u:
+                if i < j:
+                    dot, co = brute.get((i, j), (0.0, 0))
+                    brute[i, j] = (dot + x * y, co + 1)
+    assert a == {p: (round(d, 9), n) for p, (d, n) in brute.items()}
+
+
+def test_pairs_are_shuffled_packed(spark, sf_small):
+    """One shuffled row per user and item, and no row of a pair before the last exchange."""
+    cen = cf.centered(C.ratings(spark, sf_small))
+    rows = cf.co_rated(cen, 3)
+    assert rows.count() <= cen.count()
+    assert rows.select(F.sum(F.size("rest"))).first()[0] > rows.count()
+    plan = cf.pair_aggregates(cen, min_co=3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate inline(rest") < plan.index("REPARTITION_BY_NUM")
 
 
 def test_ndcg_bounded_in_user_mode(spark, sf_small):
