@@ -3,11 +3,13 @@
 State = the category with the highest mean rating among the K state
 items (ties: alphabetical); action = the category of the action item;
 reward = normalised rating. One distributed aggregate over all
-trajectories gives n(s, a, s') and the reward sums; the iterations then
-work on that table, whose size is bounded by |S|^2 |A|."""
+trajectories gives n(s, a, s') and the reward sums; policy iteration then
+works on that table, whose size is bounded by |S|^2 |A|, to its fixed point."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,35 +61,74 @@ def allowed_actions(behaviour: DataFrame, tau: float) -> DataFrame:
             .filter(F.col("pi_b") >= F.lit(tau) * F.col("_mx")).select("state", "action"))
 
 
-def q_values(model: DataFrame, gamma: float = 0.99, tau: float = 0.0, iterations: int = 3,
-             checkpoint_every: int = 5) -> DataFrame:
-    """Fitted tabular Q iteration on the transition model, never terminal:
-    Q0 = 0; Q(t+1)(s, a) = rbar(s, a) + gamma sum_s' P(s'|s, a) max_{a' allowed in s'} Qt(s', a').
-    Lineage is cut by writing Q to the shared folder every ``checkpoint_every`` iterations."""
+def _squared(step: DataFrame, times: int) -> DataFrame:
+    """An affine map v -> M v + c applied 2^times times. ``step`` has a row
+    (state, target, x) per cell of M and one with target null per cell of c."""
+    for _ in range(times):
+        onward = step.select(F.col("state").alias("target"), F.col("target").alias("far"), F.col("x").alias("y"))
+        twice = (step.where("target is not null").join(onward, "target")
+                 .select("state", F.col("far").alias("target"), (F.col("x") * F.col("y")).alias("x")))
+        step = (step.where("target is null").unionByName(twice)
+                .groupBy("state", "target").agg(F.sum("x").alias("x")))
+    return step
+
+
+def evaluate_policy(rewards: DataFrame, transitions: DataFrame, policy: DataFrame, gamma: float,
+                    tolerance: float) -> DataFrame:
+    """(state, v): discounted value of a deterministic policy (state, action), never
+    terminal. One step of it is an affine map of the values; squaring the map doubles
+    the horizon, so about log2 of the horizon at which gamma^t / (1 - gamma) falls
+    below ``tolerance`` suffices. Two squarings are one job, written to the shared
+    folder; tables hold |S|^2 + |S| rows."""
+    from recflow.session import materialize
+    horizon = math.log(max(tolerance * (1 - gamma), 1e-300)) / math.log(gamma) if gamma > 0 else 1
+    step = (transitions.join(policy, ["state", "action"])
+            .select("state", F.col("next_state").alias("target"), (F.col("p") * F.lit(gamma)).alias("x"))
+            .unionByName(rewards.join(policy, ["state", "action"])
+                         .select("state", F.lit(None).cast("string").alias("target"), F.col("rbar").alias("x"))))
+    left = max(math.ceil(math.log2(max(horizon, 1))), 0)
+    while left > 0:
+        step = materialize(_squared(step, min(left, 2)), "q-horizon")
+        left -= 2
+    return step.where("target is null").select("state", F.col("x").alias("v"))
+
+
+def q_values(model: DataFrame, gamma: float = 0.99, tau: float = 0.0, tolerance: float = 1e-9,
+             max_rounds: int = 1000) -> DataFrame:
+    """The fixed point of the batch-constrained backup on the transition model, never
+    terminal: Q(s, a) = rbar(s, a) + gamma sum_s' P(s'|s, a) max_{a' allowed in s'} Q(s', a');
+    a state without a logged action is worth 0.
+
+    Policy iteration: the greedy allowed policy is evaluated to the end, then improved,
+    until no state's best action beats the policy's value by more than ``tolerance``.
+    The driver reads that one residual per round; every table has at most
+    |S|^2 |A| rows."""
     from recflow.session import materialize
+    if not 0 <= gamma < 1:
+        raise ValueError("gamma must lie in [0, 1)")
     sa = model.groupBy("state", "action").agg(F.sum("n").alias("n_sa"),
                                               F.sum("reward_sum").alias("_rs"))
-    # every iteration reads these tables (at most |S|^2 x |A| rows): written
-    # once, so their file sizes let the planner choose the joins
     sa = materialize(sa.select("state", "action", "n_sa", (F.col("_rs") / F.col("n_sa")).alias("rbar")),
                      "q-rewards")
     sas = materialize(model.join(sa.select("state", "action", "n_sa"), ["state", "action"])
                       .select("state", "action", "next_state", (F.col("n") / F.col("n_sa")).alias("p")),
                       "q-transitions")
     allowed = materialize(allowed_actions(behaviour_policy(model), tau), "q-allowed")
-    q = sa.select("state", "action", F.lit(0.0).alias("q"))
-    for t in range(iterations):
-        v = (q.join(allowed, ["state", "action"]).groupBy("state").agg(F.max("q").alias("v"))
-             .select(F.col("state").alias("next_state"), "v"))
-        ev = (sas.join(v, "next_state", "left")
+    q = sa.select("state", "action", F.col("rbar").alias("q"))
+    for _ in range(max_rounds):
+        policy = materialize(greedy_policy(q, allowed).select("state", "action"), "q-policy")
+        v = evaluate_policy(sa, sas, policy, gamma, tolerance)
+        ev = (sas.join(v.withColumnRenamed("state", "next_state"), "next_state", "left")
               .groupBy("state", "action")
               .agg(F.sum(F.col("p") * F.coalesce(F.col("v"), F.lit(0.0))).alias("ev")))
-        q = (sa.join(ev, ["state", "action"], "left")
-             .select("state", "action",
-                     (F.col("rbar") + F.lit(gamma) * F.coalesce("ev", F.lit(0.0))).alias("q")))
-        if checkpoint_every and (t + 1) % checkpoint_every == 0 and t + 1 < iterations:
-            q = materialize(q, "q-values")
-    return q
+        q = materialize(sa.join(ev, ["state", "action"], "left").select(
+            "state", "action", (F.col("rbar") + F.lit(gamma) * F.coalesce("ev", F.lit(0.0))).alias("q")),
+            "q-values")
+        best = q.join(allowed, ["state", "action"]).groupBy("state").agg(F.max("q").alias("best"))
+        residual = best.join(v, "state").agg(F.max(F.abs(F.col("best") - F.col("v")))).first()[0]
+        if residual is None or residual <= 10 * tolerance:
+            return q
+    raise RuntimeError(f"no stable policy after {max_rounds} rounds; the last residual was {residual}")
 
 
 def greedy_policy(q: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
@@ -100,11 +141,11 @@ def greedy_policy(q: DataFrame, allowed: DataFrame | None = None) -> DataFrame:
             .select("state", "action", "q"))
 
 
-def compare_policies(model: DataFrame, gamma: float, tau: float, iterations: int) -> DataFrame:
+def compare_policies(model: DataFrame, gamma: float, tau: float) -> DataFrame:
     """Greedy action and value per state, unconstrained against constrained."""
     beh = behaviour_policy(model)
-    qu = greedy_policy(q_values(model, gamma, 0.0, iterations))
-    qc = greedy_policy(q_values(model, gamma, tau, iterations), allowed_actions(beh, tau))
+    qu = greedy_policy(q_values(model, gamma))
+    qc = greedy_policy(q_values(model, gamma, tau), allowed_actions(beh, tau))
     return (qu.select("state", F.col("action").alias("action_unconstrained"),
                       F.col("q").alias("q_unconstrained"))
             .join(qc.select("state", F.col("action").alias("action_constrained"),

@@ -73,10 +73,7 @@ class Params:
     pair_chunk_size: int = 2048
     # constrained backup keeps a' with pi_b(a'|s') >= tau * max pi_b(.|s')
     bcq_threshold: float = 0.3
-    # backups of the tabular Q iteration; the oracle unrolls as many
-    q_iterations: int = 12
     # a threshold at which the constraint removes actions on the test binding
     strict_threshold: float = 0.97
-    checkpoint_every: int = 5
     history_cap: int = 50
     sample_size: int = 1000

@@ -68,7 +68,8 @@ TRAJ_COLS = ("user_id, rn, total_ratings, ts, state_item_ids, state_ratings, act
 
 def sql(*ctes: str, select: str) -> str:
     parts = [BASE] + [c.strip().rstrip(",") for c in ctes if c.strip()]
-    return "WITH " + ",\n".join(p.strip() for p in parts) + "\n" + select
+    recursive = any("_it AS (" in p for p in parts)
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(p.strip() for p in parts) + "\n" + select
 
 
 ORACLE: dict[str, str] = {}
@@ -637,39 +638,47 @@ sas AS (SELECT t.state, t.action, t.next_state, count(*) / max(sa.n_sa) AS p FRO
         JOIN sa USING (state, action) GROUP BY t.state, t.action, t.next_state)"""
 
 
-def q_iter_ctes(tau: float, name: str, iterations: int = 12) -> str:
-    parts = [f"""
+def q_ctes(tau: float, name: str) -> str:
+    """Value iteration by recursion until its error is far below the digits shown
+    (0.99^2600 < 1e-11); a state without a logged action loops with reward 0."""
+    return f"""
 {name}_ok AS (SELECT state, action FROM (
                 SELECT *, max(pi_b) OVER (PARTITION BY state) AS mx FROM beh)
-              WHERE pi_b >= {tau} * mx)""",
-             f"{name}_q0 AS (SELECT state, action, CAST(0 AS DOUBLE) AS q FROM sa)"]
-    for t in range(iterations):
-        parts.append(f"""
-{name}_v{t} AS (SELECT q.state AS next_state, max(q.q) AS v FROM {name}_q{t} q
-               JOIN {name}_ok USING (state, action) GROUP BY q.state)""")
-        parts.append(f"""
-{name}_q{t + 1} AS (SELECT sa.state, sa.action, sa.rbar + 0.99 * coalesce(e.ev, 0) AS q FROM sa LEFT JOIN (
-                  SELECT sas.state, sas.action, sum(sas.p * coalesce(v.v, 0)) AS ev FROM sas
-                  LEFT JOIN {name}_v{t} v USING (next_state) GROUP BY sas.state, sas.action) e
-                USING (state, action))""")
-    return ",".join(parts)
+              WHERE pi_b >= {tau} * mx),
+{name}_dead AS (SELECT DISTINCT next_state AS state FROM sas WHERE next_state NOT IN (SELECT state FROM sa)),
+{name}_r AS MATERIALIZED (SELECT sa.state, sa.action, rbar FROM sa JOIN {name}_ok USING (state, action)
+               UNION ALL SELECT state, '', 0 FROM {name}_dead),
+{name}_p AS MATERIALIZED (SELECT sas.state, sas.action, next_state, p FROM sas JOIN {name}_ok USING (state, action)
+               UNION ALL SELECT state, '', state, 1 FROM {name}_dead),
+{name}_it AS (
+  SELECT 0 AS t, state, CAST(0 AS DOUBLE) AS v FROM (SELECT DISTINCT state FROM {name}_r)
+  UNION ALL
+  SELECT t + 1, r.state, max(r.rbar + 0.99 * e.ev) FROM (
+    SELECT it.t, p.state, p.action, sum(p.p * it.v) AS ev FROM {name}_it it
+    JOIN {name}_p p ON p.next_state = it.state WHERE it.t < 2600 GROUP BY it.t, p.state, p.action) e
+  JOIN {name}_r r ON r.state = e.state AND r.action = e.action GROUP BY t, r.state),
+{name}_v AS (SELECT state AS next_state, v FROM {name}_it WHERE t = 2600),
+{name}_q AS (SELECT sa.state, sa.action, sa.rbar + 0.99 * coalesce(e.ev, 0) AS q FROM sa LEFT JOIN (
+               SELECT sas.state, sas.action, sum(sas.p * coalesce(v.v, 0)) AS ev FROM sas
+               LEFT JOIN {name}_v v USING (next_state) GROUP BY sas.state, sas.action) e
+             USING (state, action))"""
 
 
 ORACLE["policy_behaviour"] = sql(POLICY, select="""
 SELECT state, action, n, round(pi_b, 6) AS pi_b FROM beh""")
-ORACLE["q_unconstrained"] = sql(POLICY, q_iter_ctes(0.0, "qu"), select="""
-SELECT state, action, round(q, 6) AS q FROM qu_q12""")
-ORACLE["q_constrained"] = sql(POLICY, q_iter_ctes(0.3, "qc"), select="""
-SELECT state, action, round(q, 6) AS q FROM qc_q12""")
+ORACLE["q_unconstrained"] = sql(POLICY, q_ctes(0.0, "qu"), select="""
+SELECT state, action, round(q, 6) AS q FROM qu_q""")
+ORACLE["q_constrained"] = sql(POLICY, q_ctes(0.3, "qc"), select="""
+SELECT state, action, round(q, 6) AS q FROM qc_q""")
 GREEDY = """
 SELECT state, action, q FROM (
   SELECT q.*, row_number() OVER (PARTITION BY q.state ORDER BY round(q.q, 9) DESC, q.action) AS o
   FROM {src} q JOIN {ok} USING (state, action)) WHERE o = 1"""
-ORACLE["policy_greedy"] = sql(POLICY, q_iter_ctes(0.3, "qc"), select=f"""
-SELECT state, action, round(q, 6) AS q FROM ({GREEDY.format(src="qc_q12", ok="qc_ok")})""")
-ORACLE["policy_compare"] = sql(POLICY, q_iter_ctes(0.0, "qu"), q_iter_ctes(0.3, "qc"),
-                               f"gu AS ({GREEDY.format(src='qu_q12', ok='qu_ok')})",
-                               f"gc AS ({GREEDY.format(src='qc_q12', ok='qc_ok')})", select="""
+ORACLE["policy_greedy"] = sql(POLICY, q_ctes(0.3, "qc"), select=f"""
+SELECT state, action, round(q, 6) AS q FROM ({GREEDY.format(src="qc_q", ok="qc_ok")})""")
+ORACLE["policy_compare"] = sql(POLICY, q_ctes(0.0, "qu"), q_ctes(0.3, "qc"),
+                               f"gu AS ({GREEDY.format(src='qu_q', ok='qu_ok')})",
+                               f"gc AS ({GREEDY.format(src='qc_q', ok='qc_ok')})", select="""
 SELECT coalesce(gu.state, gc.state) AS state, gu.action AS action_unconstrained,
        round(gu.q, 6) AS q_unconstrained, gc.action AS action_constrained,
        round(gc.q, 6) AS q_constrained, CAST(gu.action = gc.action AS BIGINT) AS same_action
@@ -677,6 +686,12 @@ FROM gu FULL JOIN gc ON gu.state = gc.state""")
 
 ORACLE["policy_compare_strict"] = ORACLE["policy_compare"].replace("pi_b >= 0.3 * mx", "pi_b >= 0.97 * mx")
 
+DECADES = POLICY.replace("i.category", r"""coalesce(nullif(regexp_extract(i.title, '\((\d{3})\d\)', 1), '') || '0s',
+                'undated') AS category""", 1)
+ORACLE["policy_compare_decade"] = ORACLE["policy_compare"].replace(POLICY.strip(), DECADES.strip())
+ORACLE["policy_behaviour_decade"] = sql(DECADES, select="""
+SELECT state, action, n, round(pi_b, 6) AS pi_b,
+       CAST(pi_b >= 0.3 * max(pi_b) OVER (PARTITION BY state) AS BIGINT) AS allowed FROM beh""")
 
 
 def _value(name: str, src: str, ok: str) -> str:
@@ -690,9 +705,9 @@ FROM (SELECT t.reward, CASE WHEN g.action = t.action THEN 1 / b.pi_b ELSE 0 END
 
 
 ORACLE["policy_value"] = sql(
-    POLICY, q_iter_ctes(0.0, "qu"), q_iter_ctes(0.3, "qc"), q_iter_ctes(0.97, "qs"),
-    select=" UNION ALL ".join([_value("unconstrained", "qu_q12", "qu_ok"), _value("constrained", "qc_q12", "qc_ok"),
-                               _value("strict", "qs_q12", "qs_ok")]))
+    POLICY, q_ctes(0.0, "qu"), q_ctes(0.3, "qc"), q_ctes(0.97, "qs"),
+    select=" UNION ALL ".join([_value("unconstrained", "qu_q", "qu_ok"), _value("constrained", "qc_q", "qc_ok"),
+                               _value("strict", "qs_q", "qs_ok")]))
 
 # ---------------------------------------------------------------- vector retrieval
 ORACLE["vec_topk"] = sql("""

@@ -532,16 +532,21 @@ def q_ope_policy(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- tabular policies
-def _model(spark, sf_dir):
+def _model(spark, sf_dir, category: str = "category"):
     """Category transitions of the train trajectories, reduced once to the
     (state, action, next_state) table that all policy queries iterate on."""
     def build():
-        cats = tables.items(spark, sf_dir).select("item_id", "category")
+        cats = tables.items(spark, sf_dir).select("item_id", F.expr(category).alias("category"))
         # every rated item has a category here, so the join drops no step of a sequence
         tr = C.train_sequences(spark, sf_dir).join(cats, "item_id")
         t = traj.build_trajectories(tr, P.state_size, carry=("category",))
         return policy.transition_model(policy.transitions(t))
-    return C.stage(("transition_model", sf_dir), build)
+    return C.stage(("transition_model", sf_dir, category), build)
+
+
+# decade of release as category: titles without a year and those of 2000 are rare
+# enough for the threshold of 0.3 to remove them
+DECADE = r"coalesce(nullif(regexp_extract(title, '\\((\\d{3})\\d\\)', 1), '') || '0s', 'undated')"
 
 
 @query("policy_behaviour")
@@ -552,23 +557,21 @@ def q_policy_behaviour(spark, sf_dir):
 
 @query("q_unconstrained")
 def q_q_unconstrained(spark, sf_dir):
-    """Q2: twelve backups with the max over every observed action."""
-    return policy.q_values(_model(spark, sf_dir), P.gamma, 0.0, P.q_iterations,
-                           P.checkpoint_every)
+    """Q2: the fixed point with the max over every observed action."""
+    return policy.q_values(_model(spark, sf_dir), P.gamma)
 
 
 @query("q_constrained")
 def q_q_constrained(spark, sf_dir):
-    """Q3: twelve backups, max only over actions with pi_b >= 0.3 max pi_b."""
-    return policy.q_values(_model(spark, sf_dir), P.gamma, P.bcq_threshold,
-                           P.q_iterations, P.checkpoint_every)
+    """Q3: the fixed point, max only over actions with pi_b >= 0.3 max pi_b."""
+    return policy.q_values(_model(spark, sf_dir), P.gamma, P.bcq_threshold)
 
 
 @query("policy_greedy")
 def q_policy_greedy(spark, sf_dir):
     """Q4: greedy constrained action per state."""
     m = _model(spark, sf_dir)
-    q = policy.q_values(m, P.gamma, P.bcq_threshold, P.q_iterations, P.checkpoint_every)
+    q = policy.q_values(m, P.gamma, P.bcq_threshold)
     return policy.greedy_policy(q, policy.allowed_actions(policy.behaviour_policy(m),
                                                           P.bcq_threshold))
 
@@ -576,16 +579,28 @@ def q_policy_greedy(spark, sf_dir):
 @query("policy_compare")
 def q_policy_compare(spark, sf_dir):
     """Q5: unconstrained against constrained greedy actions per state."""
-    return policy.compare_policies(_model(spark, sf_dir), P.gamma, P.bcq_threshold,
-                                   P.q_iterations)
+    return policy.compare_policies(_model(spark, sf_dir), P.gamma, P.bcq_threshold)
 
 
 @query("policy_compare_strict")
 def q_policy_compare_strict(spark, sf_dir):
     """Q3 / Q5 with a threshold that removes actions: the constrained values
     and choices differ from the unconstrained ones."""
-    return policy.compare_policies(_model(spark, sf_dir), P.gamma, P.strict_threshold,
-                                   P.q_iterations)
+    return policy.compare_policies(_model(spark, sf_dir), P.gamma, P.strict_threshold)
+
+
+@query("policy_compare_decade")
+def q_policy_compare_decade(spark, sf_dir):
+    """Q2 / Q3 / Q5 on decades of release, where the threshold of 0.3 removes actions."""
+    return policy.compare_policies(_model(spark, sf_dir, DECADE), P.gamma, P.bcq_threshold)
+
+
+@query("policy_behaviour_decade")
+def q_policy_behaviour_decade(spark, sf_dir):
+    """Q1 / Q3 on decades of release: shares, and whether an action is allowed at 0.3."""
+    beh = policy.behaviour_policy(_model(spark, sf_dir, DECADE))
+    ok = policy.allowed_actions(beh, P.bcq_threshold).withColumn("allowed", F.lit(1))
+    return beh.join(ok, ["state", "action"], "left").fillna(0, ["allowed"])
 
 
 @query("policy_value")
@@ -597,7 +612,7 @@ def q_policy_value(spark, sf_dir):
     out = None
     for name, tau in (("unconstrained", 0.0), ("constrained", P.bcq_threshold),
                       ("strict", P.strict_threshold)):
-        q = policy.q_values(m, P.gamma, tau, P.q_iterations, P.checkpoint_every)
+        q = policy.q_values(m, P.gamma, tau)
         v = policy.policy_value(m, policy.greedy_policy(q, policy.allowed_actions(beh, tau)), P.clip) \
             .withColumn("policy", F.lit(name))
         out = v if out is None else out.unionByName(v)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from frames import frame
-from recflow.operators import cf, features, ope, ranking, splits, traj
+from recflow.operators import cf, features, ope, policy, ranking, splits, traj
 
 
 def test_k_edges_trajectory_cutoff(spark):
@@ -137,3 +137,38 @@ def test_cold_start_is_one_pass_not_k_core(spark):
     assert one.filter("item_id = 1").count() == 4
     core = splits.cold_start(df, 5, 10, 3)
     assert core.filter("item_id = 1").count() == 0
+
+
+def test_q_values_reach_the_fixed_point(spark):
+    """Against dense value iteration; a state without actions is worth 0, and the
+    threshold removes the best but rare action."""
+    import random
+    rng = random.Random(3)
+    rows = [("a", "x", "a", 90, 9.0), ("a", "y", "b", 10, 9.0), ("b", "x", "a", 50, 20.0),
+            ("b", "y", "end", 60, 30.0), ("c", "z", "end", 5, 5.0)]
+    states = [f"s{i}" for i in range(7)]
+    rows += [(s, a, t, rng.randint(1, 30), None) for s in states for a in "uvw"
+             for t in rng.sample([*states, "a", "end"], 3)]
+    rows = [(s, a, t, n, r if r is not None else n * rng.random()) for s, a, t, n, r in rows]
+    model = spark.createDataFrame(rows, "state string, action string, next_state string, n long, reward_sum double")
+    for gamma in (0.99, 0.5, 0.0):
+        found = {}
+        for tau in (0.0, 0.3):
+            n_sa, r_sa, n_s = {}, {}, {}
+            for s, a, _, n, r in rows:
+                n_sa[s, a] = n_sa.get((s, a), 0) + n
+                r_sa[s, a] = r_sa.get((s, a), 0) + r
+            ok = {s: [a for z, a in n_sa if z == s and n_sa[s, a] >= tau * max(
+                n for (y, _), n in n_sa.items() if y == s)] for s, _ in n_sa}
+            q = dict.fromkeys(n_sa, 0.0)
+            for _ in range(4000 if gamma > 0.9 else 200):
+                v = {s: max(q[s, a] for a in acts) for s, acts in ok.items()}
+                q = {(s, a): r_sa[s, a] / n_sa[s, a] + gamma * sum(
+                    n / n_sa[s, a] * v.get(t, 0.0) for z, b, t, n, _ in rows if (z, b) == (s, a)) for s, a in n_sa}
+            got = {(r.state, r.action): r.q for r in policy.q_values(model, gamma, tau).collect()}
+            assert got.keys() == q.keys()
+            assert max(abs(got[k] - q[k]) for k in q) < 1e-6
+            found[tau] = got
+        assert gamma == 0.0 or found[0.0] != found[0.3]
+    with pytest.raises(ValueError):
+        policy.q_values(model, 1.0)
