@@ -46,6 +46,33 @@ def test_blocked_topk_matches_numpy(spark):
         assert [i for _, i in sorted(got[1000 + q])] == order.tolist()
 
 
+def test_clustered_search_prunes_and_stays_exact(spark):
+    """Clusters, copies, zero vectors and depths that differ; few pairs are scored."""
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(12, 10))
+    items = np.vstack([centres[i % 12] + 0.15 * rng.normal(size=10) for i in range(1500)]
+                      + [centres[3]] * 100 + [np.zeros(10)] * 2)
+    queries = np.vstack([centres[i % 5] + 0.15 * rng.normal(size=10) for i in range(60)] + [np.zeros(10)])
+    depth = [5 + 3 * (i % 4) for i in range(61)]
+    idf = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(items)], "item_id long, vec array<double>")
+    qdf = spark.createDataFrame([(i, v.tolist(), depth[i]) for i, v in enumerate(queries)],
+                                "query_id long, vec array<double>, depth long").where("query_id < 60")
+    index = knn.ClusteredItems(idf, page_rows=40)
+    got = {}
+    for r in knn.rank_candidates(index.search(qdf, pack_rows=7), 20).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.item_id))
+    un = items / np.maximum(np.linalg.norm(items, axis=1, keepdims=True), 1e-300)
+    for q in range(60):
+        s = un @ (queries[q] / np.linalg.norm(queries[q]))
+        order = np.lexsort((np.arange(len(items)), -np.floor(s * 1e9 + 0.5)))[:depth[q]]
+        assert [i for _, i in sorted(got[q])][:depth[q]] == order.tolist()
+    assert index.scored_pairs() < 0.3 * 60 * len(items)
+    zero = spark.createDataFrame([(60, queries[60].tolist(), 3)], "query_id long, vec array<double>, depth long")
+    assert sorted(r.item_id for r in knn.rank_candidates(index.search(zero), 3).collect()) == [0, 1, 2]
+    none = knn.ClusteredItems(idf.where("item_id < 0"))
+    assert none.search(qdf).count() == 0
+
+
 def test_rank_probe_recommender_matches_brute_force(spark, sf_small):
     tr, te = C.train(spark, sf_small, staged=False), C.test(spark, sf_small, staged=False)
     users = te.select("user_id").distinct()
