@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recflow.operators.sampling import hash_sample
 from recflow.operators.sequence import numbered
 
 
@@ -139,9 +140,6 @@ def round_eligibility(rounds: DataFrame, state_size: int) -> DataFrame:
 
 def user_sample(ratings: DataFrame, n_users: int, seed: int) -> DataFrame:
     """Rows of ``n_users`` users drawn by md5(user_id:seed) order: the same
-    draw in any engine with md5, and a top-n with a fixed bound."""
-    from recflow.functions.columns import md5_key
-    users = (ratings.select("user_id").distinct()
-             .withColumn("_h", md5_key("user_id", F.lit(seed)))
-             .orderBy("_h", "user_id").limit(n_users).select("user_id"))
-    return ratings.join(F.broadcast(users), "user_id", "left_semi")
+    draw in any engine with md5."""
+    users = hash_sample(ratings.select("user_id").distinct(), n_users, ("user_id",), seed)
+    return ratings.join(users, "user_id", "left_semi")

@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recflow.functions.columns import EVENT_ORDER, md5_key, normalized_reward
+from recflow.functions.columns import EVENT_ORDER, normalized_reward
 from recflow.operators import sequence
+from recflow.operators.sampling import hash_sample
 from recflow.session import materialize
 
 
@@ -135,8 +136,7 @@ def sample_trajectories(traj: DataFrame, n: int, seed: int) -> DataFrame:
     """Exactly ``n`` transitions drawn by md5(user_id:rn:seed) order (a
     bounded replay-buffer draw); ``traj.sample`` when exact size is not
     needed."""
-    return (traj.withColumn("_h", md5_key("user_id", "rn", F.lit(seed)))
-            .orderBy("_h", "user_id", "rn").limit(n).drop("_h"))
+    return hash_sample(traj, n, ("user_id", "rn"), seed)
 
 
 def indexed_trajectories(ratings: DataFrame, index: DataFrame, state_size: int = 10,

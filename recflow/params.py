@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 # --- fixed values: constants whose values must match the reference pipeline ---
 # minimum ratings per user / per item, train share, number of time windows,
-# state length K, discount, cut-offs for ranking, evaluation sample, seed,
+# state length K, discount, cut-offs for ranking, evaluation sample, seed, replay capacity,
 # relevance threshold on the [0, 1] reward scale, IPS clip, co-rater minimum,
 # win/tie margin of the learning-curve comparison.
 MIN_USER_RATINGS = 10
@@ -25,6 +25,7 @@ TOP_N_RECOMMENDATIONS = 20
 TOP_N_PAIRS = 15
 TOP_N_CONTRIBUTORS = 5
 N_CANDIDATES = 2000
+REPLAY_CAPACITY = 100_000
 TIE_MARGIN = 0.003
 RATING_MIN = 0.5
 RATING_SPAN = 4.5
@@ -77,3 +78,12 @@ class Params:
     strict_threshold: float = 0.97
     history_cap: int = 50
     sample_size: int = 1000
+    replay_capacity: int = REPLAY_CAPACITY
+    # users that are given recommendations over all pairs
+    target_users: int = 20
+    # thresholds under which rows keep falling on the test binding
+    core_item: int = 20
+    core_user: int = 28
+    # approximate quantiles and the share of ranks they may be off by
+    probs: tuple[float, ...] = (0.5, 0.99)
+    rank_tolerance: float = 0.02

@@ -740,5 +740,49 @@ SELECT user_id, item_id, round(score, 6) AS score, rank FROM (
 WHERE rank <= 20""")
 
 
+# ---------------------------------------------------------------- further forms
+ORACLE["cold_start_kcore"] = sql("""
+core_it AS (
+  SELECT 0 AS step, user_id, item_id, rating, ts FROM interactions
+  UNION ALL
+  SELECT step + 1, user_id, item_id, rating, ts
+  FROM (SELECT *, count(*) FILTER (WHERE ci < 20 OR cu < 28) OVER () AS low
+        FROM (SELECT *, count(*) OVER (PARTITION BY item_id) AS ci,
+                     count(*) OVER (PARTITION BY user_id) AS cu FROM core_it))
+  WHERE low > 0 AND ci >= 20 AND cu >= 28)""", select="""
+SELECT user_id, item_id, round(rating, 6) AS rating, ts
+FROM (SELECT *, count(*) OVER (PARTITION BY item_id) AS ci, count(*) OVER (PARTITION BY user_id) AS cu
+      FROM core_it WHERE step = (SELECT max(step) FROM core_it))
+WHERE ci >= 20 AND cu >= 28""")
+
+ORACLE["traj_sample_replay"] = ORACLE["traj_sample"].replace("LIMIT 1000", "LIMIT 100000")
+
+ORACLE["time_window_stats_stream"] = ORACLE["time_window_stats"]
+
+ORACLE["round_metadata_json"] = sql(TIME, traj_ctes("rtrain", keys="round"), select="""
+SELECT e.round, 'round_' || e.round || '_trajectories.parquet' AS trajectory_file, e.train_rows, e.train_users,
+       coalesce(t.test_rows, 0) AS test_rows, coalesce(t.test_users, 0) AS test_users, e.eligible,
+       coalesce(j.n, 0) AS n_trajectories
+FROM relig e
+LEFT JOIN (SELECT round, count(*) AS test_rows, count(DISTINCT user_id) AS test_users
+           FROM rdata WHERE part = 'test' GROUP BY round) t USING (round)
+LEFT JOIN (SELECT round, count(*) AS n FROM traj GROUP BY round) j USING (round)""")
+
+ORACLE["approx_quantiles"] = sql(FEAT, TIME, traj_ctes("train"), """
+sizes AS (SELECT 'release_year' AS metric, 0 AS round, count(*) AS n FROM years
+          UNION ALL SELECT 'traj_per_user', 0, count(DISTINCT user_id) FROM traj
+          UNION ALL SELECT 'rating_time', round, count(*) FROM rdata WHERE part = 'train' GROUP BY round)""",
+    select="""
+SELECT metric, CAST(round AS BIGINT) AS round, CAST(p AS DOUBLE) AS p, n, CAST(1 AS BIGINT) AS ok
+FROM sizes, (VALUES (0.5), (0.99)) probs(p)
+WHERE n > 0""")
+
+_TARGETS = """
+targets AS (SELECT user_id FROM (SELECT DISTINCT user_id FROM ratings)
+            ORDER BY md5(concat_ws(':', user_id, 42)), user_id LIMIT 20)"""
+ORACLE["cf_recommend_target"] = sql(_TARGETS, cf_ctes(min_co=1).replace(
+    "WHERE rating >= user_mean", "WHERE rating >= user_mean AND user_id IN (SELECT user_id FROM targets)"),
+    select=TITLED.replace("round(score, 6)", "floor(score * 1e3 + 0.5) / 1e3"))
+
 for _name in list(ORACLE):
     ORACLE[_name] = _half_up(ORACLE[_name])

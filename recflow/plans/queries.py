@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recflow.functions.columns import fixed
-from recflow.operators import splits, traj
+from recflow.operators import kcore, splits, traj
 from recflow.plans import common as C
 from recflow.sources import tables
 
@@ -207,6 +207,12 @@ def q_item_content_vector(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- time windows
+from recflow.operators import quantiles  # noqa: E402
+from recflow.operators import rounds as rounds_op  # noqa: E402
+from recflow.session import materialize  # noqa: E402
+from recflow.streaming import windows as stream  # noqa: E402
+
+
 @query("time_window_stats")
 def q_time_window_stats(spark, sf_dir):
     """Four equal global time windows, last one closed."""
@@ -218,6 +224,15 @@ def _rounds(spark, sf_dir):
                                                                      P.n_windows), ("round", "part"))
 
 
+def _assigned(spark, sf_dir):
+    """Ratings with their window, written once."""
+    return C.stage(("assigned", sf_dir), lambda: splits.assign_windows(C.ratings(spark, sf_dir), P.n_windows))
+
+
+def _progress(spark, sf_dir):
+    return rounds_op.round_progress(_assigned(spark, sf_dir), P.n_windows, P.state_size)
+
+
 @query("backtest_rounds")
 def q_backtest_rounds(spark, sf_dir):
     """Expanding train windows and the next test window."""
@@ -226,20 +241,83 @@ def q_backtest_rounds(spark, sf_dir):
 
 @query("backtest_eligible")
 def q_backtest_eligible(spark, sf_dir):
-    """Rounds whose train rows >= (K+1) x train users."""
-    return splits.round_eligibility(_rounds(spark, sf_dir), P.state_size)
+    """Rounds whose train rows >= (K+1) x train users, from counts per window."""
+    return _progress(spark, sf_dir).select("round", "train_rows", "train_users", "eligible")
 
 
 @query("backtest_trajectories")
 def q_backtest_trajectories(spark, sf_dir):
     """Trajectories of every eligible round in one job."""
     rounds = _rounds(spark, sf_dir)
-    ok = splits.round_eligibility(rounds, P.state_size).filter(F.col("eligible") == 1)
+    ok = _progress(spark, sf_dir).filter(F.col("eligible") == 1)
     tr = (rounds.filter(F.col("part") == "train").drop("part")
           .join(F.broadcast(ok.select("round")), "round", "left_semi"))
     return traj.build_trajectories(tr, P.state_size, keys=("round",))
 
 
+@query("round_metadata_json")
+def q_round_metadata_json(spark, sf_dir):
+    """Per round the trajectory file, the sizes of both parts and the
+    number of trajectories (none where the round is not eligible), as JSON."""
+    meta = _progress(spark, sf_dir).select(
+        "round", F.format_string("round_%d_trajectories.parquet", "round").alias("trajectory_file"),
+        "train_rows", "train_users", "test_rows", "test_users", "eligible",
+        (F.col("train_trajectories") * F.col("eligible")).cast("bigint").alias("n_trajectories"))
+    path = scratch_path(spark, "rounds-json")
+    csv_io.write_json(meta, path)
+    return csv_io.read_json(spark, path, meta.schema)
+
+
+@query("time_window_stats_stream")
+def q_time_window_stats_stream(spark, sf_dir):
+    """B2 as a stream: the ratings arrive as files, one window after another, and closed
+    windows leave the stream as counts and user bitmaps."""
+    assigned = _assigned(spark, sf_dir)
+    source, out = scratch_path(spark, "arrivals"), scratch_path(spark, "closed-windows")
+    lo, hi = assigned.agg(F.min("ts"), F.max("ts")).first()
+    for w in range(P.n_windows):
+        assigned.where(F.col("window_id") == w).select("user_id", "ts").write.mode("append").parquet(source)
+    stream.closing_file(spark, source, lo, hi, P.n_windows)
+    stream.stream_window_counts(spark, source, out, lo, hi, P.n_windows)
+    return stream.streamed_window_stats(spark, out, lo, hi, P.n_windows)
+
+
+@query("cold_start_kcore")
+def q_cold_start_kcore(spark, sf_dir):
+    """B0 until no row falls: every item left has >= 20 rows and every user >= 28."""
+    return kcore.k_core(tables.interactions(spark, sf_dir), P.core_item, P.core_user)
+
+
+@query("traj_sample_replay")
+def q_traj_sample_replay(spark, sf_dir):
+    """R6 at the replay buffer's size: exactly 100,000 transitions (all, if fewer)."""
+    return traj.sample_trajectories(_traj(spark, sf_dir), P.replay_capacity, P.seed)
+
+
+@query("approx_quantiles")
+def q_approx_quantiles(spark, sf_dir):
+    """A10 / R3 / P4 from sketches: release year of the items, trajectories per user, and
+    rating time of the train rows of every round, merged from one sketch per window. Each
+    quantile is held against all rows: ok = 1 where its rank is off by 2 % at most."""
+    years = features.release_years(tables.items(spark, sf_dir))
+    per_user = materialize(_traj(spark, sf_dir).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rows")),
+                           "traj-per-user")
+    assigned = _assigned(spark, sf_dir)
+    out = None
+    for name, rows, value in (("release_year", years, "release_year"), ("traj_per_user", per_user, "n_rows")):
+        found = materialize(quantiles.quantiles(quantiles.sketches(rows, value), P.probs), "quantiles")
+        part = quantiles.rank_within(rows.withColumn("round", F.lit(0).cast("bigint")), value,
+                                     found.withColumn("round", F.lit(0).cast("bigint")),
+                                     P.rank_tolerance, ("round",)).withColumn("metric", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    found = materialize(quantiles.quantiles(quantiles.round_sketches(assigned, "ts", P.n_windows), P.probs,
+                                            ("round",)), "quantiles")
+    train_rows = assigned.join(F.broadcast(splits.round_table(spark, P.n_windows).where("part = 'train'")),
+                               "window_id")
+    return out.unionByName(quantiles.rank_within(train_rows, "ts", found, P.rank_tolerance, ("round",))
+                           .withColumn("metric", F.lit("rating_time")))
+
+
 # ---------------------------------------------------------------- sources
 @query("user_sample")
 def q_user_sample(spark, sf_dir):
@@ -390,6 +468,16 @@ def q_cf_recommend_unfiltered(spark, sf_dir):
     return recs.withColumn("score", fixed(F.col("score"), 3))
 
 
+@query("cf_recommend_target")
+def q_cf_recommend_target(spark, sf_dir):
+    """C4 / J11 for given users: every pair (co >= 1) counts, top 20 for 20 users drawn
+    in md5(user_id:seed) order, with titles. Scores to 3 decimals (see above)."""
+    cen = _cen(spark, sf_dir)
+    users = splits.hash_sample(cen.select("user_id").distinct(), P.target_users, ("user_id",), P.seed)
+    recs = cf.recommend_for(cen, users, P.top_n).withColumn("score", fixed(F.col("score"), 3))
+    return cf.with_titles(recs, tables.items(spark, sf_dir), "item_id")
+
+
 @query("cf_explain")
 def q_cf_explain(spark, sf_dir):
     """Top-5 contributing liked items of each user's first
@@ -492,10 +580,13 @@ def _curve(sf_dir: str, method: str, tr: DataFrame, te: DataFrame) -> DataFrame:
 
 @query("backtest_curve")
 def q_backtest_curve(spark, sf_dir):
-    """Popularity metrics and train rows for every round."""
-    tr, te = _round_parts(spark, sf_dir)
-    rows = tr.groupBy("round").agg(F.count(F.lit(1)).alias("train_rows"))
-    return _curve(sf_dir, "popularity", tr, te).drop("method").join(rows, "round")
+    """Popularity metrics and train rows for every round, from counts per window."""
+    assigned = _assigned(spark, sf_dir)
+    recs = rounds_op.popularity_backtest(assigned, P.n_windows, P.top_n)
+    s = ranking.evaluate(recs, rounds_op.round_test(assigned), P.k_values, P.relevance_threshold,
+                         "user", ("round",))
+    rows = _progress(spark, sf_dir).select("round", "train_rows")
+    return ranking.compare_table(s, P.k_values, ("round",)).join(rows, "round")
 
 
 @query("backtest_compare")
