@@ -332,7 +332,7 @@ SELECT round, part, count(*) AS n_rows, count(DISTINCT user_id) AS n_users,
        CAST(sum(ts) AS BIGINT) AS ts_sum FROM rdata WHERE round = 2 GROUP BY round, part""")
 ORACLE["traj_ordered_files"] = sql("""
 tn AS (SELECT user_id, greatest(count(*) - 10, 0) AS n FROM train GROUP BY user_id)""", select="""
-SELECT CAST(4 AS BIGINT) AS n_files, CAST(sum(n) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS overlaps FROM tn""")
+SELECT CAST(4 AS BIGINT) AS n_files, CAST(sum(n) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS overlaps, CAST(0 AS BIGINT) AS breaks FROM tn""")
 ORACLE["traj_index_inverse"] = sql("""
 often AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS idx
           FROM (SELECT item_id FROM train GROUP BY item_id HAVING count(*) >= 30))""", """
@@ -784,5 +784,18 @@ ORACLE["cf_recommend_target"] = sql(_TARGETS, cf_ctes(min_co=1).replace(
     "WHERE rating >= user_mean", "WHERE rating >= user_mean AND user_id IN (SELECT user_id FROM targets)"),
     select=TITLED.replace("round(score, 6)", "floor(score * 1e3 + 0.5) / 1e3"))
 
+ORACLE["traj_indexed_unknown"] = ORACLE["traj_indexed"].replace(
+    "idx AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS idx FROM ifeat)",
+    "idx AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS idx"
+    " FROM (SELECT item_id FROM train GROUP BY item_id HAVING count(*) >= 30))")
+
+ORACLE["item_features_recent"] = ORACLE["item_features"].replace(
+    "FROM ratings GROUP BY item_id",
+    "FROM ratings WHERE ts > (SELECT max(ts) FROM ratings) - 2592000 GROUP BY item_id")
+
+ORACLE["cf_recommend_untitled"] = sql(cf_ctes(), """
+known AS (SELECT item_id, CASE WHEN genres <> '(no genres listed)' THEN title END AS title
+          FROM items WHERE contains(title, '('))""", select=TITLED.replace("JOIN items i", "JOIN known i"))
+
 for _name in list(ORACLE):
     ORACLE[_name] = _half_up(ORACLE[_name])

@@ -165,6 +165,16 @@ def q_item_features(spark, sf_dir):
     return features.item_features(tables.items(spark, sf_dir), C.ratings(spark, sf_dir), G)
 
 
+@query("item_features_recent")
+def q_item_features_recent(spark, sf_dir):
+    """J3 where items are unrated: statistics of the last 30 days only; items without a
+    rating there are dropped."""
+    r = C.ratings(spark, sf_dir)
+    last = r.select(F.max("ts")).scalar()
+    return features.item_features(tables.items(spark, sf_dir),
+                                  r.filter(F.col("ts") > last - 86400 * 30), G)
+
+
 @query("user_stats")
 def q_user_stats(spark, sf_dir):
     """User mean, std, count, first and last ts, active days."""
@@ -367,18 +377,33 @@ def q_backtest_rounds_partitioned(spark, sf_dir):
 @query("traj_ordered_files")
 def q_traj_ordered_files(spark, sf_dir):
     """L1 / L2: trajectories written in (user_id, rn) order as a given number
-    of files; rows and order breaks of every file, by its place."""
+    of files: files whose ranges overlap, and rows that break the order inside a file."""
     path = scratch_path(spark, "traj-files")
     traj.write_trajectories(_traj(spark, sf_dir), path, 4)
-    rows = spark.read.parquet(path).select("user_id", "rn", F.col("_metadata.file_name").alias("file"))
-    per_file = rows.groupBy("file").agg(F.min(F.struct("user_id", "rn")).alias("lo"),
-                                        F.max(F.struct("user_id", "rn")).alias("hi"),
+    rows = spark.read.parquet(path).select(
+        F.struct("user_id", "rn").alias("at"), F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.row_index").alias("line"))
+    per_file = rows.groupBy("file").agg(F.min("at").alias("lo"), F.max("at").alias("hi"),
                                         F.count(F.lit(1)).alias("n"))
+    # every row meets the next one of its file
+    following = rows.select("file", (F.col("line") - 1).alias("line"), F.col("at").alias("next"))
+    breaks = rows.join(following, ["file", "line"]).agg(F.count(F.when(F.col("at") >= F.col("next"), 1)))
     # four files: one row each
     w = F.lag("hi").over(Window.orderBy("lo"))
     return per_file.withColumn("before", w).agg(
         F.count(F.lit(1)).alias("n_files"), F.sum("n").alias("n_rows"),
-        F.count(F.when(F.col("before") >= F.col("lo"), 1)).alias("overlaps"))
+        F.count(F.when(F.col("before") >= F.col("lo"), 1)).alias("overlaps")).withColumn(
+        "breaks", breaks.scalar())
+
+
+@query("traj_indexed_unknown")
+def q_traj_indexed_unknown(spark, sf_dir):
+    """P14 where states hold unknown items: indexes over the items rated at least 30
+    times, -1 for all others in state, action and next state."""
+    often = (C.train(spark, sf_dir).groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+             .filter(F.col("n") >= 30))
+    index = C.stage(("often", sf_dir), lambda: recommend.dense_index(often))
+    return traj.indexed_trajectories(C.train_sequences(spark, sf_dir), index, P.state_size)
 
 
 @query("traj_index_inverse")
@@ -478,6 +503,17 @@ def q_cf_recommend_target(spark, sf_dir):
     return cf.with_titles(recs, tables.items(spark, sf_dir), "item_id")
 
 
+@query("cf_recommend_untitled")
+def q_cf_recommend_untitled(spark, sf_dir):
+    """J7 where titles are missing: items without a year in the title are not in the
+    catalogue, and those without genres have no title there."""
+    cen = _cen(spark, sf_dir)
+    recs = cf.recommend(cen, cf.similarities(cen, P.min_co_raters, P.pair_chunk_size), P.top_n)
+    known = tables.items(spark, sf_dir).where(F.col("title").contains("(")).withColumn(
+        "title", F.when(F.col("genres") != tables.NO_GENRES, F.col("title")))
+    return cf.with_titles(recs, known, "item_id")
+
+
 @query("cf_explain")
 def q_cf_explain(spark, sf_dir):
     """Top-5 contributing liked items of each user's first
