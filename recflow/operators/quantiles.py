@@ -45,11 +45,18 @@ def round_sketches(assigned: DataFrame, value: str, n_windows: int, k: int = SKE
 def rank_within(rows: DataFrame, value: str, found: DataFrame, tolerance: float, keys=()) -> DataFrame:
     """Holds quantiles against all rows: adds ok = 1 where the share of smaller values is
     at most p + tolerance and the share of values up to it at least p - tolerance.
-    ``found`` has (keys, p, n, value), a few rows per key, and is broadcast."""
+    ``found`` has (keys, p, n, value), a few rows per key, and is broadcast; without keys
+    its few rows are read by the driver and asked of every row."""
     k = list(keys or ())
-    asked = F.broadcast(found.withColumnRenamed("value", "_q"))
     v = F.col(value).cast("double")
-    pairs = rows.join(asked, k) if k else rows.join(asked, v.isNotNull())
+    if k:
+        pairs = rows.join(F.broadcast(found.withColumnRenamed("value", "_q")), k)
+    else:
+        asked = [F.struct(F.lit(r["p"]).alias("p"), F.lit(r["n"]).cast("bigint").alias("n"),
+                          F.lit(r["value"]).alias("_q")) for r in found.collect()]
+        if not asked:
+            return found.select("p", "n", F.lit(1).alias("ok"))
+        pairs = rows.drop("p", "n").select("*", F.inline(F.array(*asked)))
     return pairs.groupBy(*k, "p", "n").agg(
         F.count(F.when(v < F.col("_q"), 1)).alias("_below"),
         F.count(F.when(v <= F.col("_q"), 1)).alias("_upto")).select(

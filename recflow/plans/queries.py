@@ -316,9 +316,8 @@ def q_approx_quantiles(spark, sf_dir):
     out = None
     for name, rows, value in (("release_year", years, "release_year"), ("traj_per_user", per_user, "n_rows")):
         found = materialize(quantiles.quantiles(quantiles.sketches(rows, value), P.probs), "quantiles")
-        part = quantiles.rank_within(rows.withColumn("round", F.lit(0).cast("bigint")), value,
-                                     found.withColumn("round", F.lit(0).cast("bigint")),
-                                     P.rank_tolerance, ("round",)).withColumn("metric", F.lit(name))
+        part = quantiles.rank_within(rows.select(value), value, found, P.rank_tolerance).withColumn(
+            "metric", F.lit(name)).withColumn("round", F.lit(0).cast("bigint"))
         out = part if out is None else out.unionByName(part)
     found = materialize(quantiles.quantiles(quantiles.round_sketches(assigned, "ts", P.n_windows), P.probs,
                                             ("round",)), "quantiles")
