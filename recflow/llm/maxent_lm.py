@@ -3,20 +3,28 @@
 Vocabulary. All words of the training documents are counted (one shuffle of
 map-side reduced counts). The ``MODEL_WORDS`` most frequent words form classes
 of ``CLASS_WORDS`` by rank; every other word, seen or unseen, belongs to one of
-``TAIL_CLASSES`` classes by its last byte.
-
-Model. P(word | context) = P(class | context) P(word | class, context). The
-class is a softmax over class scores: the class's share of the corpus plus
-weights of the previous word, of the word before it (a skip feature) and of the
-pair of both, hashed. Inside a class of frequent words the word is a softmax of
-corpus shares plus hashed weights of (class, previous word); inside a tail class
-it is the smoothed corpus share. With zero weights this is the unigram model.
+``TAIL_CLASSES`` classes by its last byte, there to one of ``CLASS_WORDS``
+buckets and in the bucket to one of ``LEAVES`` leaves, both by its own hash.
+Buckets and leaves in use, and the rows of every hashed table, follow the
+number of distinct words counted (``Weights.sized``).
+
+Model. P(word | context) = P(class | context) P(bucket or word | class, context)
+P(leaf | bucket, context) P(word | leaf). The class is a softmax over class
+scores: the class's share of the corpus plus weights of the previous word, of
+the word before it (a skip feature) and of the pair of both. Inside a class the
+frequent word or the bucket is a softmax of corpus shares plus hashed weights of
+(class, previous word); the leaf likewise with (bucket, previous word); inside a
+leaf it is the smoothed corpus share. A context word outside the frequent ones
+is a hashed row of its leaf. So every word carries n-gram and skip features, as
+context and as target. With zero weights this is the unigram model.
 
 Training. Documents are dealt into ``SLICES`` slices; one update per slice.
-Every task sums gradient and expected counts of its part in numpy, tables are
+Every task sums seen and expected counts of its part in numpy, tables are
 summed by a shuffle over table pieces, and the driver applies one step to the
-weights (fixed size, about 3 MB) and broadcasts them again. All training
-documents take part.
+weights (hashed tables of at most 10 MB) and broadcasts them again. Below the
+classes a row serves one class or bucket and one context row, so its expected
+counts follow from its seen ones; they are not shipped, and ``STEPS`` steps are
+taken on them. All training documents take part.
 
 Counts of words outside the ``DICTIONARY`` most frequent (a list of bounded
 size) come from an equality join of (document, word) with the counts, so every
@@ -55,13 +63,14 @@ HEAD_CLASSES = 16
 TAIL_CLASSES = 16
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
 MODEL_WORDS = CLASS_WORDS * HEAD_CLASSES
-BOS = MODEL_WORDS + TAIL_CLASSES     # context id before the first word
-CONTEXTS = BOS + 1
-PAIR_ROWS = 1 << 13                  # hashed rows of word pairs
-WORD_ROWS = 1 << 13                  # hashed rows of (class, previous word)
+LEAVES = 32                          # leaves of a bucket at most
+NODES = TAIL_CLASSES * CLASS_WORDS   # buckets of all tail classes
+HASH_BITS = 11                       # bits of a word's hash that name bucket and leaf
+BOS = (1 << 16) - 1                  # context id before the first word
 DICTIONARY = 1 << 17                 # words at most whose counts every task knows
 SLICES = 8
 RATE = 0.5
+STEPS = 4                            # steps on one slice's counts below the classes
 PRIOR = 8.0                          # pseudo-count that keeps rare rows near zero
 SMOOTH = 0.1
 FLUSH = 2_000_000                    # tokens counted at once in a task
@@ -90,8 +99,14 @@ def _texts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield b.slice(i, rows)
 
 
+def leaf_codes(h: np.ndarray, last: np.ndarray, bits: int) -> np.ndarray:
+    """Class (last byte) and ``bits`` bits of the hash: bucket first, then leaf."""
+    return last.astype(np.int64) % TAIL_CLASSES + TAIL_CLASSES * (
+        (h >> np.uint64(17)).astype(np.int64) & ((1 << bits) - 1))
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(h, tail, c) over the texts given."""
+    """(h, leaf, c) over the texts given."""
     def work(batches):
         held, n = [], 0
 
@@ -100,8 +115,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
             u, at, c = np.unique(h, return_index=True, return_counts=True)
             t = np.concatenate([x for _, x in held])[at]
             return pa.RecordBatch.from_arrays(
-                [pa.array(u.view(np.int64)), pa.array(t.astype(np.int32) % TAIL_CLASSES),
-                 pa.array(c.astype(np.int64))], ["h", "tail", "c"])
+                [pa.array(u.view(np.int64)), pa.array(leaf_codes(u, t, HASH_BITS).astype(np.int32)),
+                 pa.array(c.astype(np.int64))], ["h", "leaf", "c"])
         for b in _texts(batches):
             h, t, _ = tokens(b.column("text"))
             held.append((h, t))
@@ -111,8 +126,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 held, n = [], 0
         if held:
             yield flush()
-    return (docs.select("text").mapInArrow(work, "h long, tail int, c long")
-            .groupBy("h").agg(F.min("tail").alias("tail"), F.sum("c").alias("c")))
+    return (docs.select("text").mapInArrow(work, "h long, leaf int, c long")
+            .groupBy("h").agg(F.min("leaf").alias("leaf"), F.sum("c").alias("c")))
 
 
 @dataclass
@@ -120,12 +135,15 @@ class Vocabulary:
     """Fixed-size view of the counts."""
     n: int
     v: int
+    bits: int                   # hash bits that name bucket and leaf
     words: np.ndarray           # dictionary hashes, sorted
     counts: np.ndarray          # their counts
     ids: np.ndarray             # model word id, or -1
     class_log: np.ndarray       # natural log share of every class
     word_log: np.ndarray        # natural log share of every model word in its class
-    tail_norm: np.ndarray       # log10 of the tail classes' denominators
+    bucket_log: np.ndarray      # natural log share of every bucket in its tail class
+    leaf_log: np.ndarray        # natural log share of every leaf in its bucket
+    tail_norm: np.ndarray       # log10 of the leaves' denominators
 
     def lookup(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(self.words):
@@ -142,34 +160,48 @@ def build_vocabulary(counts: DataFrame) -> Vocabulary:
     step = F.floor(F.log2("c") * 16)
     hist = sorted(counts.groupBy(step.alias("b")).agg(F.count(F.lit(1)).alias("k")).collect(),
                   key=lambda r: -r["b"])
-    least, words = None, 0
+    chosen, words = F.lit(True), 0
     for r in hist:
-        words += r["k"]
-        if words > DICTIONARY:
+        if words + r["k"] > DICTIONARY:  # of the cut step, as many as fit, by hash
+            share = int((DICTIONARY - words) / r["k"] * (1 << 30))
+            chosen = (step > F.lit(r["b"])) | ((step == F.lit(r["b"]))
+                                               & (F.pmod("h", F.lit(1 << 30)) < F.lit(share)))
             break
-        least = r["b"]
-    top = counts.where(step >= F.lit(least) if least is not None else F.lit(False)).toPandas()
+        words += r["k"]
+    top = counts.where(chosen).toPandas()
     top = top.sort_values(["c", "h"], ascending=[False, True], ignore_index=True)
-    tails = counts.groupBy("tail").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).toPandas()
+    bits = int(np.clip((v >> 7).bit_length(), 0, HASH_BITS))   # 4 to 8 words a leaf
+    mask = (TAIL_CLASSES << bits) - 1
+    tails = counts.groupBy(F.col("leaf").bitwiseAND(mask).alias("leaf")).agg(
+        F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).toPandas()
     h, c = top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
     m = min(MODEL_WORDS, len(h))
     rank = np.arange(len(h))
     ids = np.where(rank < m, rank, -1)
+    tail_n, tail_v = np.zeros(mask + 1), np.zeros(mask + 1)
+    tail_n[tails["leaf"]], tail_v[tails["leaf"]] = tails["n"], tails["v"]
+    mt = top["leaf"].to_numpy(np.int64)[:m] & mask
+    tail_n -= np.bincount(mt, c[:m], mask + 1)
+    tail_v -= np.bincount(mt, minlength=mask + 1)
+    leaf_size = tail_n + SMOOTH * (tail_v + 1)
+    code = np.arange(mask + 1)
+    node = code % TAIL_CLASSES * CLASS_WORDS + code // TAIL_CLASSES % CLASS_WORDS
+    node_size = np.bincount(node, leaf_size, NODES)
     size = np.zeros(CLASSES)
     size[:HEAD_CLASSES] = np.bincount(rank[:m] // CLASS_WORDS, c[:m] + SMOOTH, HEAD_CLASSES)
-    tail_n, tail_v = np.zeros(TAIL_CLASSES), np.zeros(TAIL_CLASSES)
-    tail_n[tails["tail"]], tail_v[tails["tail"]] = tails["n"], tails["v"]
-    mt = top["tail"].to_numpy(np.int64)[:m]
-    tail_n -= np.bincount(mt, c[:m], TAIL_CLASSES)
-    tail_v -= np.bincount(mt, minlength=TAIL_CLASSES)
-    size[HEAD_CLASSES:] = tail_n + SMOOTH * (tail_v + 1)
+    size[HEAD_CLASSES:] = node_size.reshape(TAIL_CLASSES, CLASS_WORDS).sum(axis=1)
+
+    def log(x):
+        with np.errstate(divide="ignore"):
+            return np.maximum(np.log(x), -1e9).astype(np.float32)
     word_log = np.full((HEAD_CLASSES, CLASS_WORDS), -1e9, np.float32)
     word_log.ravel()[:m] = np.log(c[:m] + SMOOTH) - np.log(size[rank[:m] // CLASS_WORDS])
-    with np.errstate(divide="ignore"):
-        class_log = np.maximum(np.log(size) - np.log(size.sum()), -1e9).astype(np.float32)
+    leaf_log = np.full((NODES, LEAVES), -1e9, np.float32)
+    leaf_log[node, code // (TAIL_CLASSES * CLASS_WORDS)] = np.log(leaf_size / node_size[node])
     order = np.argsort(h)
-    return Vocabulary(n, v, h[order], c[order], ids[order], class_log, word_log,
-                      np.log10(size[HEAD_CLASSES:]))
+    return Vocabulary(n, v, bits, h[order], c[order], ids[order], log(size / size.sum()), word_log,
+                      log(node_size.reshape(TAIL_CLASSES, CLASS_WORDS) / size[HEAD_CLASSES:, None]),
+                      leaf_log, np.log10(leaf_size))
 
 
 def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
@@ -183,7 +215,7 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
             h, tail, begin = tokens(b.column("text"))
             at, known = voc.lookup(h)
             ids = np.where(known, voc.ids[at] if len(voc.ids) else -1, -1)
-            ids = np.where(ids >= 0, ids, MODEL_WORDS + tail.astype(np.int64) % TAIL_CLASSES).astype(np.uint16)
+            ids = np.where(ids >= 0, ids, MODEL_WORDS + leaf_codes(h, tail, voc.bits)).astype(np.uint16)
             log = np.where(known, logs[at] if len(logs) else 0.0, 0.0)
             sums = np.concatenate(([0.0], np.cumsum(log)))
             tsum = np.concatenate(([0.0], np.cumsum(np.where(ids >= MODEL_WORDS, log, 0.0))))
@@ -201,32 +233,81 @@ def encode(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
                                  "known long, log double, tail_log double, ids binary, rest binary")
 
 
+def _table(rows: int, width: int):
+    return field(default_factory=lambda: np.zeros((rows, width), np.float32))
+
+
 @dataclass
 class Weights:
-    prev: np.ndarray = field(default_factory=lambda: np.zeros((CONTEXTS, CLASSES), np.float32))
-    skip: np.ndarray = field(default_factory=lambda: np.zeros((CONTEXTS, CLASSES), np.float32))
-    pair: np.ndarray = field(default_factory=lambda: np.zeros((PAIR_ROWS, CLASSES), np.float32))
-    word: np.ndarray = field(default_factory=lambda: np.zeros((WORD_ROWS, CLASS_WORDS), np.float32))
+    prev: np.ndarray = _table(MODEL_WORDS + 1 + 64, CLASSES)   # frequent words, BOS, hashed rows
+    skip: np.ndarray = _table(MODEL_WORDS + 1 + 64, CLASSES)
+    pair: np.ndarray = _table(1024, CLASSES)
+    word: np.ndarray = _table(CLASSES * 16, CLASS_WORDS)       # (class, hashed context)
+    leaf: np.ndarray = _table(NODES, LEAVES)                   # (bucket, hashed context)
+
+    @classmethod
+    def sized(cls, v: int) -> Weights:
+        """Tables whose hashed rows follow the number of distinct words, up to
+        fixed sizes: what the driver holds and every task reads is bounded."""
+        def rows(share, least, most):
+            return int(np.clip(1 << (v // share).bit_length(), least, most))
+        context = MODEL_WORDS + 1 + rows(64, 64, 4096)
+        shapes = [(context, CLASSES), (context, CLASSES), (rows(32, 1024, 8192), CLASSES),
+                  (CLASSES * rows(512, 16, 512), CLASS_WORDS), (NODES * rows(1 << 15, 1, 16), LEAVES)]
+        return cls(*[np.zeros(x, np.float32) for x in shapes])
+
+    def like(self) -> Weights:
+        return Weights(*[np.zeros_like(x) for x in vars(self).values()])
 
 
-TABLES = ("prev", "skip", "pair", "word")
+CLASS_TABLES = ("prev", "skip", "pair")
+TABLES = (*CLASS_TABLES, "word", "leaf")
 
 
-def _chunks(ids: list[bytes]) -> Iterator[tuple]:
-    """(document, target, prev, skip, pair, class, word row) arrays of at most about CHUNK tokens."""
-    seqs = [np.frombuffer(x, np.uint16).astype(np.int32) for x in ids]
-    flat = np.concatenate(seqs) if seqs else np.zeros(0, np.int32)
-    doc = np.repeat(np.arange(len(seqs)), [len(s) for s in seqs])
-    place = np.arange(len(flat)) - np.repeat(
-        np.concatenate(([0], np.cumsum([len(s) for s in seqs])))[:-1], [len(s) for s in seqs])
+@dataclass
+class Tokens:
+    """Features of the tokens of some documents, one array entry a token."""
+    doc: np.ndarray
+    prev: np.ndarray            # rows of the class tables
+    skip: np.ndarray
+    pair: np.ndarray
+    cls: np.ndarray
+    word: np.ndarray            # cells of the word table
+    tail: np.ndarray            # which tokens lie in a leaf
+    leaf: np.ndarray            # cells of the leaf table, of those
+    code: np.ndarray            # their class, bucket and leaf
+
+    def chunks(self) -> Iterator[slice]:
+        for a in range(0, len(self.doc), CHUNK):
+            yield slice(a, a + CHUNK)
+
+
+def features(ids: list[bytes], w: Weights) -> Tokens:
+    seqs = [np.frombuffer(x, np.uint16) for x in ids]
+    flat = np.concatenate(seqs).astype(np.int64) if seqs else np.zeros(0, np.int64)
+    size = np.array([len(x) for x in seqs], np.int64)
+    doc = np.repeat(np.arange(len(seqs)), size)
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
     prev = np.where(place > 0, np.roll(flat, 1), BOS)
     skip = np.where(place > 1, np.roll(flat, 2), BOS)
-    pair = ((prev * np.int64(CONTEXTS) + skip) * np.int64(0x9E3779B1) >> 13) % PAIR_ROWS
-    cls = np.where(flat < MODEL_WORDS, flat // CLASS_WORDS, flat - MODEL_WORDS + HEAD_CLASSES)
-    row = ((cls * np.int64(CONTEXTS) + prev) * np.int64(0x85EBCA6B) >> 11) % WORD_ROWS
-    for a in range(0, len(flat), CHUNK):
-        s = slice(a, a + CHUNK)
-        yield doc[s], flat[s], prev[s], skip[s], pair[s], cls[s], row[s]
+    hashed = len(w.prev) - MODEL_WORDS - 1
+
+    def row(c):
+        far = MODEL_WORDS + 1 + (c * 0x9E3779B1 >> 9) % hashed
+        return np.where(c < MODEL_WORDS, c, np.where(c == BOS, MODEL_WORDS, far))
+    tail = flat >= MODEL_WORDS
+    code = flat - MODEL_WORDS
+    cls = np.where(tail, HEAD_CLASSES + code % TAIL_CLASSES, flat // CLASS_WORDS)
+    part = np.where(tail, code // TAIL_CLASSES, flat) % CLASS_WORDS
+    context = prev * 0x85EBCA6B >> 11
+    per_class, per_node = len(w.word) // CLASSES, len(w.leaf) // NODES
+    code = code[tail]
+    node = code % TAIL_CLASSES * CLASS_WORDS + part[tail]
+    return Tokens(
+        doc, row(prev), row(skip), ((prev << 16 | skip) * 0x9E3779B1 >> 13) % len(w.pair), cls,
+        (cls * per_class + context % per_class) * CLASS_WORDS + part, tail,
+        (node * per_node + (context[tail] >> 9) % per_node) * LEAVES
+        + code // (TAIL_CLASSES * CLASS_WORDS), code)
 
 
 def _softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,14 +320,29 @@ def _softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return z, (np.log(total) + top).ravel()
 
 
-def _class_scores(w: Weights, vocab: dict, prev, skip, pair) -> np.ndarray:
-    z = w.prev[prev]
-    z += w.skip[skip]
-    z += w.pair[pair]
+def _class_scores(w: Weights, vocab: dict, t: Tokens, s: slice) -> np.ndarray:
+    z = w.prev[t.prev[s]]
+    z += w.skip[t.skip[s]]
+    z += w.pair[t.pair[s]]
     z += vocab["class_log"]
     return z
 
 
+def _shares(name: str, vocab: dict, rows: int) -> np.ndarray:
+    """Log corpus shares beside the ``rows`` of the word or leaf table. Without
+    buckets in the vocabulary every tail class is one leaf."""
+    def single(n, width):
+        x = np.full((n, width), -1e9, np.float32)
+        x[:, 0] = 0
+        return x
+    if name == "word":
+        bucket = vocab.get("bucket_log", single(TAIL_CLASSES, CLASS_WORDS))
+        base = np.concatenate((vocab["word_log"], bucket))
+    else:
+        base = vocab.get("leaf_log", single(NODES, LEAVES))
+    return np.repeat(base, rows // len(base), axis=0)
+
+
 def _add_rows(out: np.ndarray, index: np.ndarray, rows: np.ndarray) -> None:
     """out[index] += rows, equal indices summed."""
     order = np.argsort(index.astype(np.uint16), kind="stable")
@@ -255,42 +351,40 @@ def _add_rows(out: np.ndarray, index: np.ndarray, rows: np.ndarray) -> None:
     out[i[begin]] += np.add.reduceat(rows[order], begin, axis=0)
 
 
-def gradient(ids: list[bytes], w: Weights, vocab: dict, expected: Weights, seen: Weights) -> None:
-    """Adds the model's expected counts and the seen counts of the documents."""
-    for _, flat, prev, skip, pair, cls, row in _chunks(ids):
-        p, _ = _softmax(_class_scores(w, vocab, prev, skip, pair))
-        for name, index in (("prev", prev), ("skip", skip), ("pair", pair)):
-            _add_rows(getattr(expected, name), index, p)
-            t = getattr(seen, name)
-            t += np.bincount(index * CLASSES + cls, minlength=t.size).reshape(t.shape)
-        head = flat < MODEL_WORDS
-        r, f = row[head], flat[head]
-        if len(r):
-            q, _ = _softmax(w.word[r] + vocab["word_log"][f // CLASS_WORDS])
-            _add_rows(expected.word, r, q)
-            t = seen.word
-            t += np.bincount(r * CLASS_WORDS + f % CLASS_WORDS, minlength=t.size).reshape(t.shape)
-
-
-def log_probability(ids: list[bytes], w: Weights, vocab: dict) -> np.ndarray:
+def gradient(t: Tokens, w: Weights, vocab: dict, expected: Weights) -> None:
+    """Adds the model's expected counts of the class tables."""
+    for s in t.chunks():
+        p, _ = _softmax(_class_scores(w, vocab, t, s))
+        for name in CLASS_TABLES:
+            _add_rows(getattr(expected, name), getattr(t, name)[s], p)
+
+
+def log_tables(w: Weights, vocab: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Natural log probabilities of every cell of the word and leaf tables."""
+    out = []
+    for name in ("word", "leaf"):
+        z = getattr(w, name) + _shares(name, vocab, len(getattr(w, name)))
+        _, norm = _softmax(z.copy())
+        out.append((z - norm[:, None]).ravel())
+    return out[0], out[1]
+
+
+def log_probability(ids: list[bytes], w: Weights, vocab: dict,
+                    logs: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
     """log10 probability of every document, tail words without their own counts."""
-    out = np.zeros(len(ids))
-    for doc, flat, prev, skip, pair, cls, row in _chunks(ids):
-        z = _class_scores(w, vocab, prev, skip, pair)
+    word_log, leaf_log = logs or log_tables(w, vocab)
+    t = features(ids, w)
+    log = word_log[t.word].astype(np.float64)
+    log[t.tail] += leaf_log[t.leaf]
+    for s in t.chunks():
+        cls = t.cls[s]
+        z = _class_scores(w, vocab, t, s)
         own = z[np.arange(len(cls)), cls].copy()
         _, norm = _softmax(z)
-        log = (own - norm).astype(np.float64)
-        head = flat < MODEL_WORDS
-        r, f = row[head], flat[head]
-        if len(r):
-            z = w.word[r] + vocab["word_log"][f // CLASS_WORDS]
-            own = z[np.arange(len(f)), f % CLASS_WORDS].copy()
-            _, norm = _softmax(z)
-            log[head] += own - norm
-        log /= np.log(10.0)
-        log[~head] -= vocab["tail_norm"][flat[~head] - MODEL_WORDS]
-        out += np.bincount(doc, log, minlength=len(ids))
-    return out
+        log[s] += own - norm
+    log /= np.log(10.0)
+    log[t.tail] -= vocab["tail_norm"][t.code]
+    return np.bincount(t.doc, log, minlength=len(ids))
 
 
 def _sum_pieces(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -306,26 +400,50 @@ def update(rows: DataFrame, weights: Weights, vocab: dict) -> Weights:
 
     def work(batches):
         plain, voc = sc.value
-        w, expected, seen = Weights(**plain), Weights(), Weights()
+        w = Weights(**plain)
+        expected, seen = w.like(), w.like()
+        held: list[Tokens] = []
+
+        def count():
+            for name in TABLES:
+                table = getattr(seen, name)
+                cells = [getattr(t, name) if name not in CLASS_TABLES
+                         else getattr(t, name) * CLASSES + t.cls for t in held]
+                table += np.bincount(np.concatenate(cells), minlength=table.size).reshape(table.shape)
+            held.clear()
         for b in _texts(batches):
-            gradient(b.column("ids").to_pylist(), w, voc, expected, seen)
+            t = features(b.column("ids").to_pylist(), w)
+            gradient(t, w, voc, expected)
+            held.append(t)
+            if sum(len(x.doc) for x in held) >= FLUSH // 4:
+                count()
+        if held:
+            count()
         for name in TABLES:
             e, s = getattr(expected, name), getattr(seen, name)
-            for k in range(0, len(e), PIECE_ROWS):
+            for k in range(0, len(s), PIECE_ROWS):
                 if s[k:k + PIECE_ROWS].any():
+                    told = e[k:k + PIECE_ROWS].tobytes() if name in CLASS_TABLES else b""
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([name]), pa.array([k], pa.int32()),
-                         pa.array([e[k:k + PIECE_ROWS].tobytes()], pa.binary()),
+                        [pa.array([name]), pa.array([k], pa.int32()), pa.array([told], pa.binary()),
                          pa.array([s[k:k + PIECE_ROWS].tobytes()], pa.binary())],
                         ["name", "piece", "expected", "seen"])
     kind = "name string, piece int, expected binary, seen binary"
     summed = (rows.select("ids").mapInArrow(work, kind).groupBy("name", "piece")
-              .applyInPandas(_sum_pieces, kind).collect())  # fixed size: the weight tables
+              .applyInPandas(_sum_pieces, kind).collect())  # bounded size: the weight tables
     out = Weights(**{k: v.copy() for k, v in vars(weights).items()})
+    shares = {name: _shares(name, vocab, len(getattr(out, name))) for name in ("word", "leaf")}
     for r in summed:
-        t = getattr(out, r["name"])[r["piece"]:r["piece"] + PIECE_ROWS]
-        e, s = (np.frombuffer(r[c], np.float32).reshape(t.shape) for c in ("expected", "seen"))
-        t += RATE * (s - e) / (np.maximum(s, e) + PRIOR)
+        at = slice(r["piece"], r["piece"] + PIECE_ROWS)
+        t = getattr(out, r["name"])[at]
+        s = np.frombuffer(r["seen"], np.float32).reshape(t.shape)
+        if r["name"] in CLASS_TABLES:
+            e = np.frombuffer(r["expected"], np.float32).reshape(t.shape)
+            t += RATE * (s - e) / (np.maximum(s, e) + PRIOR)
+            continue
+        for _ in range(STEPS):
+            e = _softmax(t + shares[r["name"]][at])[0] * s.sum(axis=1, keepdims=True)
+            t += RATE * (s - e) / (np.maximum(s, e) + PRIOR)
     sc.unpersist()
     return out
 
@@ -365,8 +483,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counts = stored(word_counts(docs.where("not held_out")), "lm-counts")
     vocab = build_vocabulary(counts)
     rows = stored(encode(docs, vocab), "lm-rows", partition_by="slice")
-    small = {k: getattr(vocab, k) for k in ("class_log", "word_log", "tail_norm")}
-    weights = Weights()
+    small = {k: getattr(vocab, k)
+             for k in ("class_log", "word_log", "bucket_log", "leaf_log", "tail_norm")}
+    weights = Weights.sized(vocab.v)
     for s in range(SLICES):
         weights = update(rows.where(F.col("slice") == s), weights, small)
     final = docs.sparkSession.sparkContext.broadcast((vars(weights), small))
@@ -374,8 +493,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def work(batches):
         plain, voc = final.value
         w = Weights(**plain)
+        logs = log_tables(w, voc)
         for b in _texts(batches):
-            log = log_probability(b.column("ids").to_pylist(), w, voc)
+            log = log_probability(b.column("ids").to_pylist(), w, voc, logs)
             keep = [b.column(c) for c in b.schema.names if c != "ids"]
             yield pa.RecordBatch.from_arrays([*keep, pa.array(log)],
                                              [*[c for c in b.schema.names if c != "ids"], "model"])
