@@ -504,6 +504,53 @@ def test_maxent_lm_is_a_distribution_and_learns(spark, monkeypatch):
     assert math.isclose(sum(10 ** x for x in logs), 1.0, rel_tol=1e-3)
 
 
+def test_maxent_lm_buckets_and_leaves_sum_to_one(spark):
+    """Frequent words and the leaves of all others share 1 in any context, with
+    the counted shares and random weights."""
+    text = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
+    voc = maxent_lm.build_vocabulary(maxent_lm.word_counts(text))
+    assert voc.bits > 4
+    small = {k: getattr(voc, k) for k in ("class_log", "word_log", "bucket_log", "leaf_log")}
+    small["tail_norm"] = np.zeros_like(voc.tail_norm)
+    rng = np.random.default_rng(1)
+    w = maxent_lm.Weights(*[rng.normal(size=t.shape).astype(np.float32)
+                            for t in vars(maxent_lm.Weights.sized(voc.v)).values()])
+    for context in ([3, 900], [maxent_lm.MODEL_WORDS + 77, maxent_lm.MODEL_WORDS + 5]):
+        tails = maxent_lm.TAIL_CLASSES << voc.bits
+        texts = [np.array([*context, x], np.uint16).tobytes() for x in range(maxent_lm.MODEL_WORDS + tails)]
+        before = maxent_lm.log_probability([np.array(context, np.uint16).tobytes()], w, small)[0]
+        assert math.isclose((10 ** (maxent_lm.log_probability(texts, w, small) - before)).sum(), 1.0, rel_tol=1e-3)
+
+
+def test_maxent_lm_learns_word_pairs_far_beyond_the_frequent_words(spark):
+    """Words of rank about 5,000 raise each other's score; a flat order of the
+    same words does not."""
+    rng = random.Random(11)
+    stream = [f"w{k}" for k in range(5000) for _ in range(40)]
+    rng.shuffle(stream)
+    at = sorted(rng.sample(range(len(stream)), 60))
+    for n, k in enumerate(reversed(at)):   # 30 times "left right", 30 times "plain" and "other" apart
+        stream[k:k] = ["left", "right"] if n % 2 else ["plain", rng.choice(stream), "other"]
+    learned = [i for i in range(100_000) if zlib.crc32(str(i).encode()) % 10]
+    held = [i for i in range(100_000) if not zlib.crc32(str(i).encode()) % 10][:3]
+    data = [(i, " ".join(stream[k:k + 200])) for i, k in zip(learned, range(0, len(stream), 200))]
+    data += list(zip(held, ["left right", "left other", "plain right"]))
+    got = {r.id: r for r in maxent_lm.score_documents(
+        spark.createDataFrame(data, "doc_id long, text string").repartition(4)).collect() if r.id in held}
+    together, other, plain = (got[i] for i in held)
+    assert abs(together.base_score - other.base_score) < 0.1 and abs(together.base_score - plain.base_score) < 0.1
+    assert together.score > other.score + 0.3 and together.score > plain.score + 0.3
+
+
+def test_maxent_lm_flat_vocabulary_keeps_model_words(spark, monkeypatch):
+    """When words of one count exceed the dictionary, part of them still fills it."""
+    monkeypatch.setattr(maxent_lm, "DICTIONARY", 200)
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(50))) for i in range(60)],
+                                 "doc_id long, text string")
+    voc = maxent_lm.build_vocabulary(maxent_lm.word_counts(docs))
+    assert 100 < len(voc.words) < 300 and (voc.ids >= 0).sum() == len(voc.words)
+
+
 # --- 9 quality rules
 
 def quality_brute(t):
