@@ -33,8 +33,9 @@ count is exact however large the vocabulary is. Words are 64-bit hashes.
 Defined results: a null or empty text has one token, the end; a null id counts
 as empty text for the split; without training documents all counts are 0 and
 both scores are those of one unseen word per token; repeated rows get equal
-scores; an empty table gives no rows; extra columns are kept, input columns
-named like an output are replaced.
+scores; words tied in count are ranked by hash; a very long text is one row with
+one array of token ids; an empty table gives no rows; extra columns are not
+returned, whatever their names.
 """
 
 from __future__ import annotations

@@ -18,8 +18,9 @@ matches: lengths of pieces and matches add up to code point offsets.
 
 Defined results: a null text is empty and has no spans; null owners and
 repositories count as one owner or repository; an empty table gives no rows;
-repeated rows are reported alike (their owner counts once); extra columns are
-kept, input columns named like an output are replaced.
+repeated rows are reported alike (their owner counts once); extra columns
+are not returned, whatever their names; spans that start together are ordered by
+kind; a very long text is one row with one span list.
 """
 
 from __future__ import annotations
