@@ -103,10 +103,12 @@ def test_knn_scoring_ships_without_the_package(tmp_path):
     import sys as _sys
 
     from pyspark import cloudpickle
-    blob = cloudpickle.dumps(knn._score_block)
-    code = ("import pickle, sys; import pandas as pd; f = pickle.loads(sys.stdin.buffer.read()); "
-            "q = pd.DataFrame({'query_id': [1], 'vec': [[1.0, 0.0]], 'depth': [1], 'exclude_self': [False]}); "
-            "i = pd.DataFrame({'item_id': [5, 6], 'vec': [[0.0, 1.0], [1.0, 0.1]]}); "
+    blob = cloudpickle.dumps(knn._score(2))
+    code = ("import pickle, sys; import numpy as np, pandas as pd; f = pickle.loads(sys.stdin.buffer.read()); "
+            "b = lambda x, t: np.array(x, t).tobytes(); "
+            "q = pd.DataFrame({'ids': [b([1], 'int64')], 'vecs': [b([1.0, 0.0], float)], "
+            "'depth': [b([1], 'int64')], 'low': [b([-1.5], float)], 'exclude_self': [False]}); "
+            "i = pd.DataFrame({'page_ids': [b([5, 6], 'int64')], 'page_vecs': [b([0.0, 1.0, 1.0, 0.1], float)]}); "
             "print(int(f(q, i).item_id.iloc[0]))")
     out = subprocess.run([_sys.executable, "-c", code], input=blob, capture_output=True,
                          cwd=str(tmp_path), env={"PATH": "/usr/bin:/bin"}, timeout=120)
