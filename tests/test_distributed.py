@@ -88,6 +88,18 @@ def test_rank_probe_recommender_matches_brute_force(spark, sf_small):
         assert [got[(u, k)] for k in range(1, len(want) + 1)] == want
 
 
+def test_copies_of_a_ranked_list_are_never_broadcast(spark):
+    ranking = spark.range(50).selectExpr("id AS item_id", "id + 1 AS list_rank")
+    users = spark.range(7).selectExpr("id AS user_id")
+    seen = users.selectExpr("user_id", "user_id AS item_id")
+    recs = recommend.recommend_from_ranking(ranking, users, seen, 3)
+    p = recs._jdf.queryExecution().executedPlan().toString()
+    probe = next(line for line in p.splitlines() if "Join [list_rank" in line)
+    assert "SortMergeJoin" in probe, probe
+    got = {(r.user_id, r.rank): r.item_id for r in recs.collect()}
+    assert got == {(u, k + 1): i for u in range(7) for k, i in enumerate([i for i in range(4) if i != u][:3])}
+
+
 def test_window_metadata_json_roundtrip(spark, sf_small, tmp_path):
     stats = splits.window_stats(C.ratings(spark, sf_small, staged=False), 4)
     path = str(tmp_path / "windows")
