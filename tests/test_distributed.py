@@ -88,6 +88,30 @@ def test_rank_probe_recommender_matches_brute_force(spark, sf_small):
         assert [got[(u, k)] for k in range(1, len(want) + 1)] == want
 
 
+def test_packs_grow_and_their_groups_prune_apart(spark, monkeypatch):
+    """Pages reach a few large packs; what a group scores is what it needs alone."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(10, 8))
+    items = np.vstack([centres[i % 10] + 0.1 * rng.normal(size=8) for i in range(1200)])
+    queries = np.vstack([centres[i % 10] + 0.1 * rng.normal(size=8) for i in range(200)])
+    idf = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(items)], "item_id long, vec array<double>")
+    qdf = spark.createDataFrame([(i, v.tolist(), 4 + i % 3) for i, v in enumerate(queries)],
+                                "query_id long, vec array<double>, depth long")
+    monkeypatch.setattr(knn, "PACKS", 2)
+    monkeypatch.setattr(knn, "GROUP", 10)
+    index = knn.ClusteredItems(idf, page_rows=30)
+    got = {}
+    for r in knn.rank_candidates(index.search(qdf), 20).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.item_id))
+    un = items / np.linalg.norm(items, axis=1, keepdims=True)
+    for q in range(200):
+        s = un @ (queries[q] / np.linalg.norm(queries[q]))
+        order = np.lexsort((np.arange(1200), -np.floor(s * 1e9 + 0.5)))[:4 + q % 3]
+        assert [i for _, i in sorted(got[q])][:4 + q % 3] == order.tolist()
+    assert index.visits[0].count() <= 3
+    assert index.scored_pairs() < 0.4 * 200 * 1200
+
+
 def test_copies_of_a_ranked_list_are_never_broadcast(spark):
     ranking = spark.range(50).selectExpr("id AS item_id", "id + 1 AS list_rank")
     users = spark.range(7).selectExpr("id AS user_id")
