@@ -43,6 +43,18 @@ def test_split_parts_are_pruned(spark, sf_small):
     assert "part" in pf[:pf.index("]")]
 
 
+def test_sequences_are_numbered_once_from_staged_ratings(spark, sf_small):
+    from recflow import session
+    from recflow.plans import common as C
+    for name in ("traj_indexed_unknown", "traj_index_inverse", "traj_build"):
+        start = len(session._written())
+        QUERIES[name](spark, sf_small)
+        wrote = [p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in session._written()[start:]]
+        # the range sample and the rows both read the filtered ratings as written
+        assert wrote.count("sequence") == 1 and wrote.count("cold_start") == 1, (name, wrote)
+    C.reset_stages()
+
+
 def test_percent_rank_has_no_row_level_single_partition(spark):
     stats = spark.createDataFrame([(i, i % 7) for i in range(200)], "item_id long, rating_count long")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
