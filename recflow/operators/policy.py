@@ -19,14 +19,15 @@ from recflow.functions.columns import normalized_reward, rank_key
 def top_category(ratings: Column, cats: Column) -> Column:
     """Category with the highest mean rating in the zipped arrays; ties go
     to the alphabetically first category. Pure array functions on a K-long
-    array: no shuffle."""
-    pairs = F.arrays_zip(ratings.alias("r"), cats.alias("c"))
-
-    def score(c):
-        sel = F.filter(pairs, lambda x: x["c"] == c)
-        mean = F.aggregate(sel, F.lit(0.0), lambda a, x: a + x["r"]) / F.size(sel)
-        return F.struct((-mean).alias("neg_mean"), c.alias("cat"))
-    return F.array_min(F.transform(F.array_distinct(cats), score))["cat"]
+    array: no shuffle. The pairs are zipped once (as the lambda's argument) and summed
+    in place; no filtered copy is made per category."""
+    def best(pairs):
+        def score(c):
+            total = F.aggregate(pairs, F.lit(0.0), lambda a, x: a + F.when(x["c"] == c, x["r"]).otherwise(0.0))
+            count = F.aggregate(pairs, F.lit(0), lambda a, x: a + F.when(x["c"] == c, 1).otherwise(0))
+            return F.struct((-(total / count)).alias("neg_mean"), c.alias("cat"))
+        return F.array_min(F.transform(F.array_distinct(pairs["c"]), score))["cat"]
+    return F.get(F.transform(F.array(F.arrays_zip(ratings.alias("r"), cats.alias("c"))), best), 0)
 
 
 def transitions(traj: DataFrame) -> DataFrame:

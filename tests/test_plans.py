@@ -55,6 +55,21 @@ def test_sequences_are_numbered_once_from_staged_ratings(spark, sf_small):
     C.reset_stages()
 
 
+def test_top_category_zips_its_pairs_once(spark):
+    import random
+    from recflow.operators import policy
+    rnd = random.Random(3)
+    rows = [([rnd.randrange(1, 11) / 2 for _ in range(n)], [rnd.choice("abcde") for _ in range(n)])
+            for n in (1, 2, 10, 10, 10, 10, 10, 10)]
+    df = spark.createDataFrame(rows, "r array<double>, c array<string>").select(
+        "r", "c", policy.top_category(F.col("r"), F.col("c")).alias("top"))
+    p = df._jdf.queryExecution().analyzed().toString()
+    assert p.count("arrays_zip") == 1 and p.index("arrays_zip") < p.index("array_distinct")
+    for r, c, top in df.collect():
+        mean = {x: sum(a for a, b in zip(r, c) if b == x) / c.count(x) for x in c}
+        assert top == min(mean, key=lambda x: (-mean[x], x))
+
+
 def test_percent_rank_has_no_row_level_single_partition(spark):
     stats = spark.createDataFrame([(i, i % 7) for i in range(200)], "item_id long, rating_count long")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
