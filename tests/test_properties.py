@@ -80,6 +80,14 @@ def test_pairs_are_shuffled_packed(spark, sf_small):
     assert plan.index("Generate inline(rest") < plan.index("REPARTITION_BY_NUM")
 
 
+def test_shuffled_packs_are_plain_arrays(spark, sf_small):
+    """No array of structs crosses the exchange: two arrays of numbers take half its bytes."""
+    cen = cf.centered(C.ratings(spark, sf_small))
+    plan = cf.pair_aggregates(cen, min_co=3)._jdf.queryExecution().executedPlan().toString()
+    sent = plan[plan.index("REPARTITION_BY_NUM"):].splitlines()[1]
+    assert "item_b AS _ids" in sent and "c_b AS _values" in sent and sent.count(",") == 4, sent
+
+
 def test_ndcg_bounded_in_user_mode(spark, sf_small):
     tr, te = C.train(spark, sf_small), C.test(spark, sf_small)
     recs = recommend.popularity_recommend(tr, te.select("user_id").distinct(), 20)
