@@ -3,6 +3,10 @@ sequences, and the reports and transforms built on them."""
 
 from __future__ import annotations
 
+import sys
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +15,9 @@ from recflow.operators import sequence
 from recflow.operators.sampling import hash_sample
 from recflow.session import materialize
 
+# packs are made in Python workers that need not have this package on their path
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def build_trajectories(ratings: DataFrame, state_size: int = 10, keys=(), carry=(),
                        block_rows: int = sequence.BLOCK_ROWS) -> DataFrame:
@@ -125,11 +132,51 @@ def prepare_trajectories(traj: DataFrame) -> DataFrame:
                     F.col("rn").cast("string")).alias("trajectory_id"))
 
 
+# rows of one range that is sorted as rows, and rows of one pack of it
+RANGE_ROWS, PACK_ROWS = 262_144, 1_024
+
+
+def _pack(rows: int):
+    def work(batches):
+        for batch in batches:
+            packs = []
+            for at in range(0, batch.num_rows, rows):
+                sink = pa.BufferOutputStream()
+                with pa.CompressedOutputStream(sink, "zstd") as out, pa.ipc.new_stream(out, batch.schema) as to:
+                    to.write_batch(batch.slice(at, rows))
+                packs.append(sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays([pa.array(packs, pa.binary())], ["pack"])
+    return work
+
+
+def _unpack(batches):
+    for batch in batches:
+        for pack in batch.column("pack"):
+            with pa.CompressedInputStream(pa.BufferReader(pack.as_buffer()), "zstd") as source:
+                yield from pa.ipc.open_stream(source)
+
+
+def ordered(traj: DataFrame, n_files: int, range_rows: int = RANGE_ROWS,
+            pack_rows: int = PACK_ROWS) -> DataFrame:
+    """``n_files`` range partitions on (user_id, rn), each in that order.
+
+    A file's task must not sort its share of all rows, which grows with the input and holds
+    every rating in about 2 K states. So rows are sorted in small ranges (about
+    ``range_rows`` each, however many there are) and leave them in packs of consecutive
+    rows, compressed whole: neighbouring states repeat each other. The packs are numbered in
+    order and written once; what a file's task sorts by number is its packs, and it unpacks
+    them one at a time."""
+    n = max(4 * n_files, -(-traj.count() // range_rows))
+    packs = (traj.repartitionByRange(n, "user_id", "rn").sortWithinPartitions("user_id", "rn")
+             .mapInArrow(_pack(pack_rows), "pack binary")
+             .withColumn("_at", F.monotonically_increasing_id()))
+    return (materialize(packs, "packs").repartitionByRange(n_files, "_at").sortWithinPartitions("_at")
+            .mapInArrow(_unpack, traj.schema))
+
+
 def write_trajectories(traj: DataFrame, path: str, n_files: int) -> None:
     """Ordered output: range partitions on (user_id, rn), sorted inside."""
-    (traj.repartitionByRange(n_files, "user_id", "rn")
-     .sortWithinPartitions("user_id", "rn")
-     .write.mode("overwrite").parquet(path))
+    ordered(traj, n_files).write.mode("overwrite").parquet(path)
 
 
 def sample_trajectories(traj: DataFrame, n: int, seed: int) -> DataFrame:

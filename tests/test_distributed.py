@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from recflow import session
 from recflow.functions.ordering import global_row_number, keyed_row_number
 from recflow.operators import knn, recommend, splits
 from recflow.plans import common as C
@@ -168,6 +169,34 @@ def test_ordered_trajectory_files(spark, sf_small, tmp_path):
         assert keys == sorted(keys)
 
 
+def test_ordered_files_sort_packs_not_rows(spark, tmp_path):
+    """Files hold all rows in order with any sizes of ranges and packs; the last sort, whose
+    input is a whole file, has compressed packs and no row."""
+    from recflow.operators import traj
+    rows = [(u, i, i % 10 / 2.0, i) for u in range(40) for i in range(900 if u == 3 else 30)]
+    t = traj.build_trajectories(spark.createDataFrame(
+        rows, "user_id long, item_id long, rating double, ts long"), 10)
+    t = t.withColumn("note", F.when(F.col("rn") % 2 == 0, F.lit("x"))).persist()
+    want = sorted(t.collect())
+    for sizes in ((262_144, 1_024), (100, 7)):
+        done = traj.ordered(t, 4, *sizes)
+        assert done.schema == t.schema
+        path = str(tmp_path / f"files{sizes[1]}")
+        done.write.parquet(path)
+        back = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("f"),
+                                               F.col("_metadata.row_index").alias("i")).collect()
+        files = sorted(([r[:-2] for r in sorted(back, key=lambda r: r.i) if r.f == f] for f in {r.f for r in back}),
+                       key=lambda x: x[0][:2])
+        assert len(files) == 4 and [r for f in files for r in f] == [tuple(r) for r in want]
+        assert max(map(len, files)) < len(want) / 2
+        last = done._jdf.queryExecution().optimizedPlan().toString()
+        assert last.index("MapInArrow") < last.index("Sort [_at") and "state_item_ids" not in last.split("Sort [_at")[1]
+    packs = spark.read.parquet([f for f in session._written() if "/packs-" in f][-2])
+    raw = t.select(F.sum(F.lit(8 * (4 * 10 + 6)))).first()[0]
+    assert packs.select(F.sum(F.length("pack"))).first()[0] < raw / 4
+    t.unpersist()
+
+
 def test_round_tables_written_partitioned_and_pruned(spark, sf_small, tmp_path):
     rounds = splits.backtest_rounds(C.ratings(spark, sf_small, staged=False), 4)
     path = str(tmp_path / "rounds")
